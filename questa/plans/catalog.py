@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cost import other_average
 from ..operators.joins import complete_cases
+from ..operators.order import exact_split, hash_split, prefix_sum, row_position
 from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_questionnaire,
                                   write_csv)
 from ..sources.tables import derived_survey, read_table
@@ -165,3 +166,45 @@ def q_csv_roundtrip(spark, sf_dir):
     return back.select(F.col("c_custkey").cast("bigint"), "c_name",
                        F.col("c_nationkey").cast("int"), F.col("c_acctbal").cast("double"),
                        "c_mktsegment")
+
+
+# ------------------------------------------------------------ order & splits
+
+@register("row_position", """
+SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS pos FROM customer""")
+def q_row_position(spark, sf_dir):
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
+    return row_position(cust, ["c_acctbal", "c_custkey"]).select("c_custkey", "pos")
+
+
+@register("prefix_sum", """
+SELECT l_orderkey, l_linenumber,
+       sum(l_quantity) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_qty
+FROM lineitem""")
+def q_prefix_sum(spark, sf_dir):
+    # (orderkey, linenumber) repeats in this data; the extra columns make the order total
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    li = read_table(spark, sf_dir, "lineitem", *order, "l_quantity")
+    return (prefix_sum(li, order, "l_quantity", out="running_qty")
+            .select("l_orderkey", "l_linenumber", "running_qty"))
+
+
+@register("hash_split", """
+SELECT o_orderkey, CASE WHEN substr(md5(concat('s', CAST(o_orderkey AS VARCHAR))), 1, 8) < 'c0000000'
+                        THEN 'train' ELSE 'valid' END AS split
+FROM orders""")
+def q_hash_split(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey")
+    return hash_split(orders, "o_orderkey", 0.75, salt="s")
+
+
+@register("exact_split", """
+SELECT o_orderkey, CASE WHEN rn <= ceil(CAST(0.2 AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT o_orderkey,
+             row_number() OVER (ORDER BY md5(concat('42:', CAST(o_orderkey AS VARCHAR))), o_orderkey) AS rn,
+             count(*) OVER () AS n
+      FROM orders)""")
+def q_exact_split(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey")
+    return exact_split(orders, "o_orderkey", 0.2, seed=42)
