@@ -15,15 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cost import other_average
+from ..operators.features import MeanImputer, Standardizer, poly2_terms
+from ..operators.knn import knn_regress_1d
+from ..operators.regression import mllib_ridge_pipeline, r2_by_group
 from ..operators.joins import complete_cases
 from ..operators.order import exact_split, hash_split, prefix_sum, row_position
 from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_questionnaire,
                                   write_csv)
 from ..sources.tables import derived_survey, read_table
 from ..session import scratch_path
-from . import cleaning
-from .sqlfrag import (CORRELATION_CTE, WITH_SURVEY, WORTH_CTE, cups_sql, equip_sql,
-                      spend_sql)
+from . import cleaning, correlation, worth
+from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, WITH_SURVEY, WORTH_CTE,
+                      WORTH_SPLIT_CTE, cups_sql, equip_sql, spend_sql)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -208,3 +211,197 @@ FROM (SELECT o_orderkey,
 def q_exact_split(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders", "o_orderkey")
     return exact_split(orders, "o_orderkey", 0.2, seed=42)
+
+
+# ------------------------------------------------------- features & ridge
+
+@register("mean_impute", WITH_SURVEY + f"""
+SELECT id, round(coalesce(c, avg(c) OVER ()), 6) AS cups_imputed
+FROM (SELECT id, {cups_sql(to='DOUBLE')} AS c FROM survey)""")
+def q_mean_impute(spark, sf_dir):
+    """Recoded cups/day of every respondent; unanswered ones get the mean."""
+    s = survey(spark, sf_dir).select("id", cleaning.cups_per_day(to="double").alias("c"))
+    imp = MeanImputer.fit(s, ["c"])
+    return s.select("id", r6(imp.expr("c")).alias("cups_imputed"))
+
+
+@register("minmax_scale", "WITH " + CORRELATION_FIT_CTE + """
+SELECT id, split, round(t, 6) AS t FROM scored""")
+def q_minmax_scale(spark, sf_dir):
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    return fit.data.select("id", "split", r6(fit.model.features()).alias("t"))
+
+
+@register("poly2", "WITH " + CORRELATION_FIT_CTE + """
+SELECT id, 1.0::DOUBLE AS bias, round(t, 6) AS t, round(t * t, 6) AS t2 FROM scored""")
+def q_poly2(spark, sf_dir):
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    one, t, t2 = poly2_terms(fit.model.features())
+    return fit.data.select("id", one.alias("bias"), r6(t).alias("t"), r6(t2).alias("t2"))
+
+
+@register("standardize", "WITH " + WORTH_SPLIT_CTE + """,
+st AS (SELECT avg(outside_cost) AS mo, stddev_pop(outside_cost) AS so, avg(brewing_cost) AS mb,
+              stddev_pop(brewing_cost) AS sb FROM dsplit WHERE split = 'train')
+SELECT id, split,
+       round(CASE WHEN so > 0 THEN (outside_cost - mo) / so ELSE outside_cost - mo END, 6) AS z_outside,
+       round(CASE WHEN sb > 0 THEN (brewing_cost - mb) / sb ELSE brewing_cost - mb END, 6) AS z_brewing
+FROM dsplit, st""")
+def q_standardize(spark, sf_dir):
+    d = worth.decision_split(survey(spark, sf_dir))
+    std = Standardizer.fit(d.filter(F.col("split") == "train"), ["outside_cost", "brewing_cost"])
+    return d.select("id", "split", r6(std.expr("outside_cost")).alias("z_outside"),
+                    r6(std.expr("brewing_cost")).alias("z_brewing"))
+
+
+_RIDGE_METRICS_SQL = """
+SELECT metric, round(value, 6) AS value FROM (
+  SELECT 'n_train' AS metric, CAST(n AS DOUBLE) AS value FROM model
+  UNION ALL SELECT 'impute_mean', mu FROM model
+  UNION ALL SELECT 'x_min', lo FROM model
+  UNION ALL SELECT 'x_max', hi FROM model
+  UNION ALL SELECT 'coef_bias', 0.0 FROM model
+  UNION ALL SELECT 'coef_t', b1 FROM model
+  UNION ALL SELECT 'coef_t2', b2 FROM model
+  UNION ALL SELECT 'intercept', b0 FROM model)"""
+
+
+@register("ridge_poly2", "WITH " + CORRELATION_FIT_CTE + _RIDGE_METRICS_SQL)
+def q_ridge_poly2(spark, sf_dir):
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    return correlation.coefficients(fit).select("metric", r6("value").alias("value"))
+
+
+@register("ridge_r2", "WITH " + CORRELATION_FIT_CTE + """,
+g AS (SELECT split, count(*) AS n, sum((cup_assumptions - yhat) * (cup_assumptions - yhat)) AS sse,
+             var_pop(cup_assumptions) * count(*) AS sst FROM pred GROUP BY split),
+r AS (SELECT split, n, CASE WHEN sst > 0 THEN 1 - sse / sst WHEN sse = 0 THEN 1.0 ELSE 0.0 END AS r2 FROM g)
+SELECT split, n, round(r2, 6) AS r2, round(CASE WHEN r2 >= 0 THEN sqrt(r2) END, 6) AS r FROM r""")
+def q_ridge_r2(spark, sf_dir):
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    return correlation.r2_table(fit).select("split", "n", r6("r2").alias("r2"), r6("r").alias("r"))
+
+
+@register("ridge_curve", "WITH " + CORRELATION_FIT_CTE + """,
+rng AS (SELECT min(spent_assumptions) AS glo, max(spent_assumptions) AS ghi FROM sp),
+grid AS (SELECT CAST(i AS INTEGER) AS i,
+                CASE WHEN i = 99 THEN ghi ELSE glo + i * ((ghi - glo) / 99) END AS x
+         FROM range(100) r(i), rng),
+gt AS (SELECT i, x, CASE WHEN hi > lo THEN (coalesce(x, mu) - lo) / (hi - lo)
+                         ELSE coalesce(x, mu) - lo END AS t FROM grid, model)
+SELECT i, round(x, 6) AS x, round(b0 + b1 * t + b2 * t * t, 6) AS y FROM gt, model""")
+def q_ridge_curve(spark, sf_dir):
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    return correlation.curve(fit).select("i", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@register("ridge_mllib", "WITH " + CORRELATION_FIT_CTE + """
+SELECT metric, round(value, 4) AS value FROM (
+  SELECT 'coef_t' AS metric, b1 AS value FROM model
+  UNION ALL SELECT 'coef_t2', b2 FROM model
+  UNION ALL SELECT 'intercept', b0 FROM model)""")
+def q_ridge_mllib(spark, sf_dir):
+    """The ridge fit as an MLlib Pipeline (O-43); same coefficients."""
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    m = fit.model
+    train = fit.data.filter(F.col("split") == "train").select(
+        m.scale.expr(F.col(correlation.X)).alias("x"), F.col(correlation.Y).cast("double").alias("y"))
+    sd = train.agg(F.stddev_pop("y")).first()[0]
+    model = mllib_ridge_pipeline(m.n_train, sd, m.alpha).fit(train)
+    lr = model.stages[-1]
+    rows = [("coef_t", float(lr.coefficients[0])), ("coef_t2", float(lr.coefficients[1])),
+            ("intercept", float(lr.intercept))]
+    return spark.createDataFrame(rows, "metric string, value double").select(
+        "metric", F.round("value", 4).alias("value"))
+
+
+@register("scatter_bins", "WITH " + CORRELATION_CTE + """
+SELECT CAST(floor(spent_assumptions / 0.5) AS BIGINT) AS bx, CAST(floor(cup_assumptions / 1.0) AS BIGINT) AS by,
+       count(*) AS n FROM correlation GROUP BY 1, 2""")
+def q_scatter_bins(spark, sf_dir):
+    data = cleaning.cleaned_correlation(survey(spark, sf_dir), key_unique=True)
+    return correlation.scatter_bins(data, correlation.X, correlation.Y, 0.5, 1.0)
+
+
+@register("jitter")
+def q_jitter(spark, sf_dir):
+    """Jittered scatter points (seeded randn; rows-only check)."""
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    return correlation.jitter(fit)
+
+
+# -------------------------------------------------------------------- k-NN
+
+_KNN_CUSTOMER_SQL = """
+WITH c AS (
+  SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y,
+         CASE WHEN substr(md5(concat('knn', CAST(c_custkey AS VARCHAR))), 1, 8) < 'c0000000'
+              THEN 'train' ELSE 'valid' END AS split
+  FROM customer),
+tr AS (SELECT * FROM c WHERE split = 'train'),
+nb AS (
+  SELECT q.c_custkey, q.split, q.y, t.y AS ty,
+         row_number() OVER (PARTITION BY q.c_custkey
+                            ORDER BY abs(t.x - q.x), t.x, t.c_custkey) AS rn
+  FROM c q, tr t),
+pred AS (SELECT c_custkey, split, any_value(y) AS y, avg(ty) AS pred FROM nb WHERE rn <= 5
+         GROUP BY c_custkey, split)"""
+
+
+@register("knn5", _KNN_CUSTOMER_SQL + """
+SELECT c_custkey, split, round(pred, 6) AS pred FROM pred""")
+def q_knn5(spark, sf_dir):
+    """5-NN regression of nation key on account balance (one real-valued
+    feature with distance ties), exact, against a brute-force oracle."""
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal", "c_nationkey")
+    data = hash_split(cust.select("c_custkey", F.col("c_acctbal").alias("x"),
+                                  F.col("c_nationkey").cast("double").alias("y")),
+                      "c_custkey", 0.75, salt="knn")
+    pred = knn_regress_1d(data.filter(F.col("split") == "train"), data, "x", "y", "c_custkey", k=5)
+    return pred.select("c_custkey", "split", r6("pred").alias("pred"))
+
+
+@register("knn5_r2", _KNN_CUSTOMER_SQL + """,
+g AS (SELECT split, count(*) AS n, sum((y - pred) * (y - pred)) AS sse,
+             var_pop(y) * count(*) AS sst FROM pred GROUP BY split),
+r AS (SELECT split, n, CASE WHEN sst > 0 THEN 1 - sse / sst WHEN sse = 0 THEN 1.0 ELSE 0.0 END AS r2 FROM g)
+SELECT split, n, round(r2, 6) AS r2, round(CASE WHEN r2 >= 0 THEN sqrt(r2) END, 6) AS r FROM r""")
+def q_knn5_r2(spark, sf_dir):
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal", "c_nationkey")
+    data = hash_split(cust.select("c_custkey", F.col("c_acctbal").alias("x"),
+                                  F.col("c_nationkey").cast("double").alias("y")),
+                      "c_custkey", 0.75, salt="knn")
+    pred = knn_regress_1d(data.filter(F.col("split") == "train"), data, "x", "y", "c_custkey", k=5)
+    return r2_by_group(pred, "y", "pred", "split").select(
+        "split", "n", r6("r2").alias("r2"), r6("r").alias("r"))
+
+
+def _knn_worth_sql(target: str, salt: str) -> str:
+    return "WITH " + WORTH_CTE + f""",
+pos AS (SELECT id, row_number() OVER (ORDER BY id) AS x, {target} AS y,
+               CASE WHEN substr(md5(concat('{salt}', id)), 1, 8) < 'c0000000'
+                    THEN 'train' ELSE 'valid' END AS split FROM decision),
+tr AS (SELECT * FROM pos WHERE split = 'train'),
+nb AS (
+  SELECT q.id, q.split, q.y, t.y AS ty,
+         row_number() OVER (PARTITION BY q.id ORDER BY abs(t.x - q.x), t.x, t.id) AS rn
+  FROM pos q, tr t),
+pred AS (SELECT id, split, any_value(y) AS y, avg(ty) AS pred FROM nb WHERE rn <= 5
+         GROUP BY id, split)
+SELECT id, split, round(y, 6) AS y, round(pred, 6) AS pred FROM pred"""
+
+
+@register("knn5_home", _knn_worth_sql("brewing_cost", "worth-home"))
+def q_knn5_home(spark, sf_dir):
+    """5-NN of the home brewing cost on the respondent's row position,
+    trained on a 75% split, predicted for every respondent."""
+    pos = worth.with_positions(worth.decision_table(survey(spark, sf_dir)))
+    pred = worth.knn_fit_predict(pos, "brewing_cost")
+    return pred.select("id", "split", r6("y").alias("y"), r6("pred").alias("pred"))
+
+
+@register("knn5_outside", _knn_worth_sql("outside_cost", "worth-outside"))
+def q_knn5_outside(spark, sf_dir):
+    pos = worth.with_positions(worth.decision_table(survey(spark, sf_dir)))
+    pred = worth.knn_fit_predict(pos, "outside_cost")
+    return pred.select("id", "split", r6("y").alias("y"), r6("pred").alias("pred"))

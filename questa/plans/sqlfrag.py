@@ -79,3 +79,38 @@ correlation AS (
   SELECT id, {cups_sql(to='DOUBLE')} AS cup_assumptions, {spend_sql()} AS spent_assumptions
   FROM survey WHERE id IS NOT NULL AND cups IS NOT NULL AND spend IS NOT NULL)
 """
+
+# correlation fit: keyed split, imputation, min-max, centred moments, 2x2 ridge solve
+CORRELATION_FIT_CTE = CORRELATION_CTE + """,
+sp AS (SELECT *, CASE WHEN substr(md5(concat('correlation', id)), 1, 8) < 'c0000000'
+                      THEN 'train' ELSE 'valid' END AS split FROM correlation),
+tr AS (SELECT * FROM sp WHERE split = 'train' AND cup_assumptions IS NOT NULL),
+f1 AS (SELECT avg(spent_assumptions) AS mu FROM tr),
+f2 AS (SELECT min(coalesce(spent_assumptions, mu)) AS lo, max(coalesce(spent_assumptions, mu)) AS hi
+       FROM tr, f1),
+tt AS (SELECT cup_assumptions AS y,
+              CASE WHEN hi > lo THEN (coalesce(spent_assumptions, mu) - lo) / (hi - lo)
+                   ELSE coalesce(spent_assumptions, mu) - lo END AS t
+       FROM tr, f1, f2),
+m AS (SELECT count(*) AS n, avg(t) AS mt, avg(t * t) AS mt2, avg(y) AS my, var_pop(t) AS v11,
+             var_pop(t * t) AS v22, covar_pop(t, t * t) AS v12, covar_pop(t, y) AS c1,
+             covar_pop(t * t, y) AS c2 FROM tt),
+s AS (SELECT *, n * v11 + 1.0 AS a11, n * v22 + 1.0 AS a22, n * v12 AS a12, n * c1 AS r1,
+             n * c2 AS r2 FROM m),
+b AS (SELECT *, (a22 * r1 - a12 * r2) / (a11 * a22 - a12 * a12) AS b1,
+             (a11 * r2 - a12 * r1) / (a11 * a22 - a12 * a12) AS b2 FROM s),
+model AS (SELECT n, mu, lo, hi, b1, b2, my - b1 * mt - b2 * mt2 AS b0 FROM b, f1, f2),
+scored AS (
+  SELECT sp.*, CASE WHEN hi > lo THEN (coalesce(spent_assumptions, mu) - lo) / (hi - lo)
+                    ELSE coalesce(spent_assumptions, mu) - lo END AS t
+  FROM sp, model),
+pred AS (SELECT scored.*, b0 + b1 * t + b2 * t * t AS yhat FROM scored, model)
+"""
+
+# worth decision with the seeded exact 80/20 split
+WORTH_SPLIT_CTE = WORTH_CTE + """,
+dsplit AS (
+  SELECT *, CASE WHEN rn <= ceil(CAST(0.2 AS DOUBLE) * cnt) THEN 'test' ELSE 'train' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY md5(concat('42:', id)), id) AS rn,
+               count(*) OVER () AS cnt FROM decision))
+"""
