@@ -1,0 +1,18 @@
+"""questa: survey analytics on Spark.
+
+Reads wide questionnaire tables, keeps complete cases, recodes banded
+answers, prices multi-select answers against a cost table and compares
+respondents; on top: polynomial ridge regression, exact 1-D k-NN regression,
+a logistic classifier, repeatable splits and distribution tests, each as a
+distributed DataFrame or MLlib job.
+"""
+
+import sys as _sys
+
+try:  # ship our functions to Python workers by value (no package install needed)
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
+__all__ = ["functions", "operators", "plans", "sources", "streaming"]

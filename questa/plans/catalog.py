@@ -18,6 +18,8 @@ from ..operators.cost import other_average
 from ..operators.features import MeanImputer, Standardizer, poly2_terms
 from ..operators.knn import knn_regress_1d
 from ..operators.regression import mllib_ridge_pipeline, r2_by_group
+from ..operators.stattests import (levene, levene_stat, long_form, mannwhitney,
+                                   mannwhitney_stat, normaltest)
 from ..operators.joins import complete_cases
 from ..operators.order import exact_split, hash_split, prefix_sum, row_position
 from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_questionnaire,
@@ -25,8 +27,9 @@ from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_question
 from ..sources.tables import derived_survey, read_table
 from ..session import scratch_path
 from . import cleaning, correlation, worth
-from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, WITH_SURVEY, WORTH_CTE,
-                      WORTH_SPLIT_CTE, cups_sql, equip_sql, spend_sql)
+from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, EVENTS_BASE, WITH_SURVEY,
+                      WORTH_CTE, WORTH_LONG, WORTH_SPLIT_CTE, cups_sql, equip_sql,
+                      levene_sql, mannwhitney_sql, normaltest_sql, spend_sql)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -405,3 +408,70 @@ def q_knn5_outside(spark, sf_dir):
     pos = worth.with_positions(worth.decision_table(survey(spark, sf_dir)))
     pred = worth.knn_fit_predict(pos, "outside_cost")
     return pred.select("id", "split", r6("y").alias("y"), r6("pred").alias("pred"))
+
+
+# ------------------------------------------------------------------ tests
+
+def _events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events", "event_type", "value")
+
+
+def _worth_long(spark, sf_dir):
+    d = worth.decision_table(survey(spark, sf_dir))
+    return long_form(d, ["outside_cost", "brewing_cost"], "g", "v")
+
+
+def _round_cols(df, cols):
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("normaltest", "WITH " + EVENTS_BASE + "," + normaltest_sql("ev_base", "event_type"))
+def q_normaltest(spark, sf_dir):
+    nt = normaltest(_events(spark, sf_dir), "value", ["event_type"])
+    return _round_cols(nt, ["skew_z", "kurt_z", "k2", "pvalue"])
+
+
+@register("worth_normaltest", "WITH " + WORTH_CTE + "," + WORTH_LONG + ","
+          + normaltest_sql("worth_long", "g"))
+def q_worth_normaltest(spark, sf_dir):
+    """Normality of the outside and home daily costs (the original test)."""
+    nt = normaltest(_worth_long(spark, sf_dir), "v", ["g"])
+    return _round_cols(nt, ["skew_z", "kurt_z", "k2", "pvalue"])
+
+
+@register("levene_w", "WITH " + EVENTS_BASE + "," + levene_sql("ev_base"))
+def q_levene_w(spark, sf_dir):
+    return _round_cols(levene_stat(_events(spark, sf_dir), "value", "event_type"), ["w"])
+
+
+@register("worth_levene_w", "WITH " + WORTH_CTE + "," + WORTH_LONG + "," + levene_sql("worth_long"))
+def q_worth_levene_w(spark, sf_dir):
+    return _round_cols(levene_stat(_worth_long(spark, sf_dir), "v", "g"), ["w"])
+
+
+@register("levene_p")
+def q_levene_p(spark, sf_dir):
+    """Levene's test with its F-distribution p-value (rows-only check: the
+    oracle engine has no incomplete beta)."""
+    return levene(_worth_long(spark, sf_dir), "v", "g")
+
+
+@register("mannwhitney_u", "WITH " + WORTH_CTE + "," + WORTH_LONG + ","
+          + mannwhitney_sql("worth_long", "outside_cost", "brewing_cost"))
+def q_mannwhitney_u(spark, sf_dir):
+    mw = mannwhitney_stat(_worth_long(spark, sf_dir), "v", "g", "outside_cost", "brewing_cost")
+    return _round_cols(mw, ["u1", "u", "z"])
+
+
+@register("events_mannwhitney_u", "WITH " + EVENTS_BASE + ","
+          + mannwhitney_sql("ev_base", "click", "view"))
+def q_events_mannwhitney_u(spark, sf_dir):
+    mw = mannwhitney_stat(_events(spark, sf_dir), "value", "event_type", "click", "view")
+    return _round_cols(mw, ["u1", "u", "z"])
+
+
+@register("mannwhitney_p")
+def q_mannwhitney_p(spark, sf_dir):
+    """U test with its normal-approximation p-value (rows-only check: the
+    oracle engine has no erfc)."""
+    return mannwhitney(_worth_long(spark, sf_dir), "v", "g", "outside_cost", "brewing_cost")

@@ -114,3 +114,73 @@ dsplit AS (
   FROM (SELECT *, row_number() OVER (ORDER BY md5(concat('42:', id)), id) AS rn,
                count(*) OVER () AS cnt FROM decision))
 """
+
+
+def normaltest_sql(base: str, group: str) -> str:
+    """D'Agostino-Pearson K² per group from a CTE ``base(g, v)``."""
+    return f"""
+nt_base AS (SELECT g, v FROM {base} WHERE v IS NOT NULL),
+nt_mu AS (SELECT g, avg(v) AS m FROM nt_base GROUP BY g),
+nt_mom AS (SELECT b.g, count(*) AS n, avg(power(v - m, 2)) AS m2, avg(power(v - m, 3)) AS m3,
+                  avg(power(v - m, 4)) AS m4 FROM nt_base b JOIN nt_mu u ON u.g = b.g GROUP BY b.g),
+nt_st AS (SELECT g, n, CAST(n AS DOUBLE) AS x, m3 / power(m2, 1.5) AS g1, m4 / (m2 * m2) - 3 AS ex
+          FROM nt_mom),
+nt_s1 AS (SELECT *, g1 * sqrt((x + 1) * (x + 3) / (6.0 * (x - 2))) AS y0,
+                 3.0 * (x * x + 27 * x - 70) * (x + 1) * (x + 3)
+                   / ((x - 2) * (x + 5) * (x + 7) * (x + 9)) AS beta2,
+                 ex + 3 AS b2, 3.0 * (x - 1) / (x + 1) AS e,
+                 24.0 * x * (x - 2) * (x - 3) / ((x + 1) * (x + 1) * (x + 3) * (x + 5)) AS varb2,
+                 6.0 * (x * x - 5 * x + 2) / ((x + 7) * (x + 9))
+                   * sqrt(6.0 * (x + 3) * (x + 5) / (x * (x - 2) * (x - 3))) AS sb1
+          FROM nt_st),
+nt_s2 AS (SELECT *, -1 + sqrt(2 * (beta2 - 1)) AS w2, (b2 - e) / sqrt(varb2) AS kx,
+                 6 + 8.0 / sb1 * (2.0 / sb1 + sqrt(1 + 4.0 / (sb1 * sb1))) AS a FROM nt_s1),
+nt_s3 AS (SELECT *, 1 / sqrt(0.5 * ln(w2)) AS delta, sqrt(2 / (w2 - 1)) AS alpha,
+                 CASE WHEN y0 = 0 THEN 1.0 ELSE y0 END AS yy,
+                 1 - 2.0 / (9 * a) AS term1, 1 + kx * sqrt(2.0 / (a - 4)) AS denom FROM nt_s2),
+nt_z AS (SELECT g, n,
+                CASE WHEN n >= 8 THEN delta * asinh(yy / alpha) END AS skew_z,
+                CASE WHEN n >= 8 THEN (term1 - sign(denom) * CASE WHEN denom <> 0
+                     THEN cbrt((1 - 2.0 / a) / abs(denom)) END) / sqrt(2.0 / (9 * a)) END AS kurt_z
+         FROM nt_s3)
+SELECT g AS {group}, n, round(skew_z, 6) AS skew_z, round(kurt_z, 6) AS kurt_z,
+       round(skew_z * skew_z + kurt_z * kurt_z, 6) AS k2,
+       round(exp(-(skew_z * skew_z + kurt_z * kurt_z) / 2), 6) AS pvalue
+FROM nt_z"""
+
+
+def levene_sql(base: str) -> str:
+    return f"""
+lv_base AS (SELECT g, v FROM {base} WHERE v IS NOT NULL),
+lv_med AS (SELECT g, quantile_cont(v, 0.5) AS md FROM lv_base GROUP BY g),
+lv_z AS (SELECT b.g, abs(v - md) AS z FROM lv_base b JOIN lv_med m ON m.g = b.g),
+lv_per AS (SELECT g, count(*) AS ni, avg(z) AS zi, var_pop(z) * count(*) AS ssi FROM lv_z GROUP BY g),
+lv_tot AS (SELECT count(*) AS k, CAST(sum(ni) AS BIGINT) AS n, sum(ni * zi) AS sz,
+                  sum(ni * zi * zi) AS szz, sum(ssi) AS within FROM lv_per)
+SELECT k, n, round((CAST(n AS DOUBLE) - k) / (k - 1) * (szz - sz * sz / n) / within, 6) AS w,
+       CAST(k - 1 AS DOUBLE) AS df1, CAST(n - k AS DOUBLE) AS df2
+FROM lv_tot"""
+
+
+def mannwhitney_sql(base: str, a: str, b: str) -> str:
+    return f"""
+mw_base AS (SELECT g, v FROM {base} WHERE v IS NOT NULL AND g IN ({q(a)}, {q(b)})),
+mw_pv AS (SELECT v, sum(CASE WHEN g = {q(a)} THEN 1 ELSE 0 END) AS c1, count(*) AS t
+          FROM mw_base GROUP BY v),
+mw_cr AS (SELECT *, coalesce(sum(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 AS cb FROM mw_pv),
+mw_s AS (SELECT CAST(sum(c1) AS DOUBLE) AS n1, CAST(sum(t) AS DOUBLE) AS nn,
+                CAST(sum(c1 * (2 * cb + t + 1)) AS DOUBLE) AS r1x2,
+                CAST(sum(t * t * t - t) AS DOUBLE) AS tie_term, max(t) AS max_t FROM mw_cr),
+mw_u AS (SELECT n1, nn - n1 AS n2, r1x2 / 2 - n1 * (n1 + 1) / 2 AS u1, tie_term, nn, max_t FROM mw_s),
+mw_z AS (SELECT *, greatest(u1, n1 * n2 - u1) AS u FROM mw_u)
+SELECT n1, n2, round(u1, 6) AS u1, round(u, 6) AS u, tie_term,
+       round((u - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * ((nn + 1) - tie_term / (nn * (nn - 1)))), 6) AS z,
+       (least(n1, n2) <= 8 AND max_t <= 1) AS exact_case
+FROM mw_z"""
+
+
+EVENTS_BASE = "ev_base AS (SELECT event_type AS g, value AS v FROM events)"
+WORTH_LONG = """worth_long AS (
+  SELECT 'outside_cost' AS g, outside_cost AS v FROM decision
+  UNION ALL SELECT 'brewing_cost' AS g, brewing_cost AS v FROM decision)"""
