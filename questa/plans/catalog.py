@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.classify import accuracy
 from ..operators.cost import other_average
 from ..operators.features import MeanImputer, Standardizer, poly2_terms
 from ..operators.knn import knn_regress_1d
@@ -27,6 +28,7 @@ from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_question
 from ..sources.tables import derived_survey, read_table
 from ..session import scratch_path
 from . import cleaning, correlation, worth
+from .report import correlation_report, worth_report
 from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, EVENTS_BASE, WITH_SURVEY,
                       WORTH_CTE, WORTH_LONG, WORTH_SPLIT_CTE, cups_sql, equip_sql,
                       levene_sql, mannwhitney_sql, normaltest_sql, spend_sql)
@@ -475,3 +477,44 @@ def q_mannwhitney_p(spark, sf_dir):
     """U test with its normal-approximation p-value (rows-only check: the
     oracle engine has no erfc)."""
     return mannwhitney(_worth_long(spark, sf_dir), "v", "g", "outside_cost", "brewing_cost")
+
+
+# ------------------------------------------------------- classifier & report
+
+@register("worth_means", "WITH " + WORTH_CTE + """
+SELECT 'mean_brewing_cost' AS metric, round(avg(brewing_cost), 6) AS value FROM decision
+UNION ALL SELECT 'mean_outside_cost', round(avg(outside_cost), 6) FROM decision""")
+def q_worth_means(spark, sf_dir):
+    return worth.means(worth.decision_table(survey(spark, sf_dir))).select(
+        "metric", r6("value").alias("value"))
+
+
+@register("logistic_accuracy")
+def q_logistic_accuracy(spark, sf_dir):
+    """Held-out accuracy of the logistic classifier (rows-only check: an
+    iterative fit)."""
+    res = worth.classify(survey(spark, sf_dir))
+    return accuracy(res.predictions).select(F.lit(res.n_train).alias("n_train"), "n_test",
+                                            "accuracy")
+
+
+@register("worth_report")
+def q_worth_report(spark, sf_dir):
+    """Every printed result of the worth analysis as one tidy table
+    (analysis, metric, value) (O-03): means, k-NN R² per split, class
+    counts, classifier accuracy and the four test p-values."""
+    return worth_report(survey(spark, sf_dir))
+
+
+@register("correlation_report", "WITH " + CORRELATION_FIT_CTE + """,
+g AS (SELECT split, count(*) AS n, sum((cup_assumptions - yhat) * (cup_assumptions - yhat)) AS sse,
+             var_pop(cup_assumptions) * count(*) AS sst FROM pred GROUP BY split),
+r AS (SELECT split, CASE WHEN sst > 0 THEN 1 - sse / sst WHEN sse = 0 THEN 1.0 ELSE 0.0 END AS r2 FROM g)
+SELECT 'ridge' AS analysis, metric, value FROM (""" + _RIDGE_METRICS_SQL + """)
+UNION ALL SELECT 'ridge', split || ':r2', round(r2, 6) FROM r
+UNION ALL SELECT 'ridge', split || ':r', round(CASE WHEN r2 >= 0 THEN sqrt(r2) END, 6) FROM r""")
+def q_correlation_report(spark, sf_dir):
+    """Printed results of the correlation analysis as (analysis, metric,
+    value): coefficients, intercept, R² and R on both splits (O-03)."""
+    rep = correlation_report(survey(spark, sf_dir))
+    return rep.select("analysis", "metric", r6("value").alias("value"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.classify import train_and_predict
 from ..operators.knn import knn_regress_1d
 from ..operators.order import exact_split, hash_split, row_position
 from ..operators.regression import r2_by_group
@@ -51,3 +52,17 @@ def knn_fit_predict(positioned: DataFrame, target: str, k: int = 5,
 
 def knn_r2(pred: DataFrame) -> DataFrame:
     return r2_by_group(pred, "y", "pred", "split")
+
+
+def classify(survey: DataFrame, key_unique: bool | None = True, reg: float | None = None):
+    """Logistic classifier of ``result`` on (outside_cost, brewing_cost),
+    trained on the seeded 80% split, scored on the 20% (O-48..O-51)."""
+    d = decision_split(survey, key_unique)
+    return train_and_predict(d, ["outside_cost", "brewing_cost"], "label", "split", reg=reg)
+
+
+def means(decision_df: DataFrame) -> DataFrame:
+    """Mean daily cost at home and outside (O-23) as (metric, value)."""
+    row = decision_df.agg(F.avg("brewing_cost").alias("mean_brewing_cost"),
+                          F.avg("outside_cost").alias("mean_outside_cost"))
+    return row.unpivot([], ["mean_brewing_cost", "mean_outside_cost"], "metric", "value")
