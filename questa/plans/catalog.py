@@ -518,3 +518,27 @@ def q_correlation_report(spark, sf_dir):
     value): coefficients, intercept, R² and R on both splits (O-03)."""
     rep = correlation_report(survey(spark, sf_dir))
     return rep.select("analysis", "metric", r6("value").alias("value"))
+
+
+# --------------------------------------------------------------- streaming
+
+@register("stream_cheaper_option_counts", "WITH " + WORTH_CTE + """
+SELECT cheaper_option, count(*) AS "count" FROM decision GROUP BY cheaper_option""")
+def q_stream_cheaper_option_counts(spark, sf_dir):
+    """The flagship result through the streaming path: the survey is written
+    as CSV files in two arrival batches, a file-source stream cleans and
+    prices them into a Parquet sink (exactly-once, checkpointed in the
+    shared folder), and the counts are read from that sink."""
+    from ..operators.order import hash_split as _hs
+    from ..streaming import start_cleaned_sink
+    src = scratch_path(spark, "stream-src")
+    s = to_questionnaire(survey(spark, sf_dir))
+    q = s.columns[0]
+    parts = _hs(s, q, 0.25, salt="arrival", labels=("a", "b"))
+    write_csv(parts.filter(F.col("split") == "a").drop("split"), src + "/batch=1")
+    write_csv(parts.filter(F.col("split") == "b").drop("split"), src + "/batch=2")
+    sink = scratch_path(spark, "stream-sink")
+    query = start_cleaned_sink(spark, src, sink)
+    query.awaitTermination()
+    out = spark.read.parquet(sink)
+    return cleaning.value_counts(out, "cheaper_option")
