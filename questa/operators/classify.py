@@ -33,12 +33,12 @@ def default_reg(n_train: int, alpha: float = 1e-4, batch: int = 200) -> float:
 
 
 def logistic_pipeline(features: Sequence[str], label: str = "label", reg: float = 5e-7,
-                      max_iter: int = 200) -> Pipeline:
+                      max_iter: int = 100, tol: float = 1e-6) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"),
         LogisticRegression(featuresCol="features", labelCol=label, regParam=reg,
                            elasticNetParam=0.0, standardization=False, maxIter=max_iter,
-                           tol=1e-9, family="binomial"),
+                           tol=tol, family="binomial"),
     ])
 
 

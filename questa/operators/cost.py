@@ -37,6 +37,24 @@ def other_average(dim: DataFrame, key: str, values: Sequence[str],
     return rest.unionByName(avg_row)
 
 
+def fill_other(table: Mapping[str, float], other_key: str = OTHER_KEY) -> dict[str, float]:
+    """Dictionary form of :func:`other_average` for a constant table: the
+    "Other" entry becomes the mean of the other entries (0 if none)."""
+    rest = [float(v) for k, v in table.items() if k != other_key]
+    out = {k: float(v) for k, v in table.items() if k != other_key}
+    out[other_key] = sum(rest) / len(rest) if rest else 0.0
+    return out
+
+
+def fixed_cost_map(upfront: Mapping[str, float] = METHOD_UPFRONT_COST,
+                   per_use: Mapping[str, float] = METHOD_PER_USE_COST) -> Column:
+    """The brew-method cost table with "Other" filled, as a constant map
+    column for the inline path (no job needed to build it)."""
+    up, pu = fill_other(upfront), fill_other(per_use)
+    keys = list(up) + [k for k in pu if k not in up]
+    return cost_map({k: (up.get(k, 0.0), pu.get(k, 0.0)) for k in keys})
+
+
 def fixed_cost_table(spark: SparkSession,
                      upfront: Mapping[str, float] = METHOD_UPFRONT_COST,
                      per_use: Mapping[str, float] = METHOD_PER_USE_COST) -> DataFrame:
@@ -56,6 +74,16 @@ def _bounded_rows(dim: DataFrame, limit: int):
     return rows if len(rows) <= limit else None
 
 
+def multiselect_cost_inline(df: DataFrame, options_col: str, qty_col: str, costs: Column,
+                            amortize: float = DAYS_PER_YEAR, out: str = "brewing_cost",
+                            sep: str = METHOD_SEPARATOR) -> DataFrame:
+    """Inline path with a constant cost map (see :func:`cost_map`)."""
+    best = "_best_costs"
+    return (df.withColumn(best, dearest_option_costs(options_col, costs, sep))
+            .withColumn(out, cost_from_best(options_col, qty_col, best, amortize))
+            .drop(best))
+
+
 def multiselect_cost(df: DataFrame, options_col: str, qty_col: str, dim: DataFrame,
                      key: str = "method", primary: str = "upfront",
                      secondary: str = "per_use", amortize: float = DAYS_PER_YEAR,
@@ -72,10 +100,7 @@ def multiselect_cost(df: DataFrame, options_col: str, qty_col: str, dim: DataFra
     rows = _bounded_rows(dim.select(key, primary, secondary), inline_max_rows)
     if rows is not None:
         costs = cost_map({r[0]: (r[1] or 0.0, r[2] or 0.0) for r in rows if r[0] is not None})
-        best = "_best_costs"
-        return (df.withColumn(best, dearest_option_costs(options_col, costs, sep))
-                .withColumn(out, cost_from_best(options_col, qty_col, best, amortize))
-                .drop(best))
+        return multiselect_cost_inline(df, options_col, qty_col, costs, amortize, out, sep)
     if id_col is None:
         raise ValueError("cost table too large to inline; pass id_col for the join path")
     return multiselect_cost_join(df, options_col, qty_col, dim, key, primary, secondary,

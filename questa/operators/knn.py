@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .order import prefix_sum, row_position
+from .order import prefix_sum_total, row_position
 
 
 def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: str,
@@ -37,14 +37,13 @@ def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: s
     tr = train.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
                       F.col(y).cast("double").alias("_y")).filter(F.col("_x").isNotNull())
     qr = query.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"))
-    n_train = tr.count()
-    if n_train == 0:
-        return query.withColumn(out, F.lit(None).cast("double"))
-
     both = (tr.select("_id", "_x", "_y", F.lit(1).alias("_w"))
             .unionByName(qr.select("_id", "_x", F.lit(None).cast("double").alias("_y"),
                                    F.lit(0).alias("_w"))))
-    ranked = prefix_sum(both, ["_x", "_w", "_id"], "_w", out="_cum", partitions=partitions)
+    ranked, n_train = prefix_sum_total(both, ["_x", "_w", "_id"], "_w", out="_cum",
+                                       partitions=partitions)
+    if n_train == 0:
+        return query.withColumn(out, F.lit(None).cast("double"))
     side_a = ranked.filter(F.col("_w") == 1).select(
         F.lit("A").alias("_side"), F.col("_cum").alias("_rank"), "_id", "_x", "_y")
     side_b = row_position(tr, [F.col("_x").desc(), F.col("_id").asc()], out="_rank",

@@ -49,12 +49,17 @@ def sorted_checkpoint(df: DataFrame, order_cols: Sequence[str | Column],
     return df.repartitionByRange(p, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
 
 
-def _offsets(tagged: DataFrame, agg: Column) -> list[tuple[int, int | float]]:
+def _offsets(tagged: DataFrame, agg: Column,
+             with_total: bool = False) -> list[tuple[int, int | float]]:
+    """(partition id, sum of all earlier partitions); one row per partition.
+    With ``with_total`` a last (-1, grand total) entry is appended."""
     rows = sorted(tagged.groupBy(_PID).agg(agg.alias("t")).collect(), key=lambda r: r[0])
     out, acc = [], 0
     for r in rows:
         out.append((int(r[0]), acc))
         acc += r["t"] or 0
+    if with_total:
+        out.append((-1, acc))
     return out
 
 
@@ -82,9 +87,19 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str,
     """Add ``out`` = running sum of ``weight`` in ``order_cols`` order (rows
     frame, inclusive of the current row unless ``inclusive=False``).  Null
     weights count as 0.  The output type is the weight's type."""
+    return prefix_sum_total(df, order_cols, weight, out, inclusive, partitions)[0]
+
+
+def prefix_sum_total(df: DataFrame, order_cols: Sequence[str | Column], weight: str,
+                     out: str = "cum", inclusive: bool = True,
+                     partitions: int | None = None) -> tuple[DataFrame, int | float]:
+    """:func:`prefix_sum` plus the grand total of the weights (known from the
+    per-partition totals, so no extra pass)."""
     ck = sorted_checkpoint(df, order_cols, partitions)
     tagged = ck.select("*", F.spark_partition_id().alias(_PID))
-    offsets = dict(_offsets(tagged, F.sum(F.col(weight))))
+    sums = _offsets(tagged, F.sum(F.col(weight)), with_total=True)
+    total = sums.pop()[1]
+    offsets = dict(sums)
     wtype = df.schema[weight].dataType
     integral = isinstance(wtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     out_type = T.LongType() if integral else T.DoubleType()
@@ -106,7 +121,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str,
             pdf[out] = cs if inclusive else cs - w
             yield pdf
 
-    return tagged.mapInPandas(run, schema)
+    return tagged.mapInPandas(run, schema), total
 
 
 # ------------------------------------------------------------------- splits
@@ -135,27 +150,28 @@ def hash_split(df: DataFrame, key: str, frac: float = 0.75, salt: str = "",
     return df.withColumn(out, F.when(h8 < F.lit(thr), F.lit(labels[0])).otherwise(F.lit(labels[1])))
 
 
-def _kth_smallest(hashed: DataFrame, key: str, k: int,
+def _kth_smallest(hashed: DataFrame, key: str, k: int, hist: list[tuple[str, int]],
                   max_bucket_rows: int = 5_000_000) -> tuple[str, object]:
-    """(hash, key) of the k-th smallest (hash, key), 1-based, by refining a
-    prefix histogram until the bucket holding rank k is small, then taking
-    one row with ``offset`` inside that bucket."""
-    prefix, plen, rest = "", 0, hashed
+    """(hash, key) of the k-th smallest (hash, key), 1-based.  ``hist`` is the
+    histogram of 4-hex-digit hash prefixes; the bucket holding rank k is
+    refined with longer prefixes until it is small, then one row is taken
+    with ``offset`` inside it."""
+    plen, rest = 4, hashed
     while True:
-        plen += 4
-        pcol = F.substring("_h", 1, plen)
-        hist = sorted((r[0], r[1]) for r in rest.groupBy(pcol.alias("b")).count().collect())
         acc = 0
         for b, c in hist:
             if acc + c >= k:
                 break
             acc += c
         k -= acc
-        prefix = b
-        rest = rest.filter(pcol == F.lit(prefix))
+        pcol = F.substring("_h", 1, plen)
+        rest = rest.filter(pcol == F.lit(b))
         if c <= max_bucket_rows or plen >= 32:
             row = rest.select("_h", key).orderBy("_h", key).offset(k - 1).limit(1).collect()[0]
             return row[0], row[1]
+        plen += 4
+        pcol = F.substring("_h", 1, plen)
+        hist = sorted((r[0], r[1]) for r in rest.groupBy(pcol.alias("b")).count().collect())
 
 
 def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
@@ -163,13 +179,16 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
     """Seeded split with an exact test size ceil(test_frac * n) (O-38): the
     test rows are the ones with the smallest (md5(seed:key), key)."""
     hashed = df.withColumn("_h", key_hash(key, f"{seed}:"))
-    n = hashed.count()
+    # one pass: 4-hex-digit prefix histogram (at most 65536 rows), n is its total
+    hist = sorted((r[0], r[1]) for r in hashed.groupBy(F.substring("_h", 1, 4).alias("b"))
+                  .count().collect())
+    n = sum(c for _, c in hist)
     t = math.ceil(test_frac * n)
     if t <= 0:
         return df.withColumn(out, F.lit(labels[0]))
     if t >= n:
         return df.withColumn(out, F.lit(labels[1]))
-    h_star, k_star = _kth_smallest(hashed.select("_h", key), key, t)
+    h_star, k_star = _kth_smallest(hashed.select("_h", key), key, t, hist)
     is_test = (F.col("_h") < F.lit(h_star)) | ((F.col("_h") == F.lit(h_star)) & (F.col(key) <= F.lit(k_star)))
     return (hashed.withColumn(out, F.when(is_test, F.lit(labels[1])).otherwise(F.lit(labels[0])))
             .drop("_h"))

@@ -54,9 +54,12 @@ class RidgePoly2:
 
 def fit_ridge_poly2(train: DataFrame, x: str, y: str, alpha: float = 1.0) -> RidgePoly2:
     train = train.filter(F.col(y).isNotNull())
-    imp = MeanImputer.fit(train, [x])
+    # one pass: the imputation mean lies inside [min, max] of the present
+    # values, so min/max of the imputed column equal those of the raw one
+    st = train.agg(F.avg(x).alias("m"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    imp = MeanImputer({x: st["m"]})
     xi = imp.expr(x)
-    scale = MinMax.fit(train, xi)
+    scale = MinMax(st["lo"], st["hi"])
     t = scale.expr(xi)
     m = (train.select(t.alias("t"), F.col(y).cast("double").alias("y"))
          .select("y", "t", (F.col("t") * F.col("t")).alias("t2"))

@@ -418,8 +418,8 @@ def _events(spark, sf_dir):
     return read_table(spark, sf_dir, "events", "event_type", "value")
 
 
-def _worth_long(spark, sf_dir):
-    d = worth.decision_table(survey(spark, sf_dir))
+def _worth_long(spark, sf_dir, materialized=False):
+    d = worth.decision_table(survey(spark, sf_dir), materialized=materialized)
     return long_form(d, ["outside_cost", "brewing_cost"], "g", "v")
 
 
@@ -448,14 +448,14 @@ def q_levene_w(spark, sf_dir):
 
 @register("worth_levene_w", "WITH " + WORTH_CTE + "," + WORTH_LONG + "," + levene_sql("worth_long"))
 def q_worth_levene_w(spark, sf_dir):
-    return _round_cols(levene_stat(_worth_long(spark, sf_dir), "v", "g"), ["w"])
+    return _round_cols(levene_stat(_worth_long(spark, sf_dir, True), "v", "g"), ["w"])
 
 
 @register("levene_p")
 def q_levene_p(spark, sf_dir):
     """Levene's test with its F-distribution p-value (rows-only check: the
     oracle engine has no incomplete beta)."""
-    return levene(_worth_long(spark, sf_dir), "v", "g")
+    return levene(_worth_long(spark, sf_dir, True), "v", "g")
 
 
 @register("mannwhitney_u", "WITH " + WORTH_CTE + "," + WORTH_LONG + ","

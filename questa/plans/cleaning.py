@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.codebooks import (CUPS_CODEBOOK, DAYS_PER_MONTH, EQUIP_CODEBOOK,
                                    RESULT_OUTSIDE, SPEND_CODEBOOK)
 from ..functions.expr import binary_label, cheaper_label, recode, result_label, strict_cast
-from ..operators.cost import fixed_cost_table, multiselect_cost
+from ..operators.cost import (fixed_cost_map, fixed_cost_table, multiselect_cost,
+                              multiselect_cost_inline)
 from ..operators.joins import complete_cases
 
 
@@ -41,13 +42,15 @@ def cleaned_worth(survey: DataFrame, key_unique: bool | None = None,
     """(id, cup_assumptions int, spent_assumptions double, eq_assumptions int,
     brewing_cost double) (O-36)."""
     cc = complete_cases(survey, "id", ["cups", "spend", "equip", "methods"], key_unique=key_unique)
-    cost_table = cost_table if cost_table is not None else fixed_cost_table(survey.sparkSession)
     recoded = cc.select("id", "methods",
                         cups_per_day().alias("cup_assumptions"),
                         spend_per_day().alias("spent_assumptions"),
                         equipment_cost().alias("eq_assumptions"))
-    priced = multiselect_cost(recoded, "methods", "cup_assumptions", cost_table,
-                              out="brewing_cost", id_col="id")
+    if cost_table is None:   # the fixed ten-method table: a constant map
+        priced = multiselect_cost_inline(recoded, "methods", "cup_assumptions", fixed_cost_map())
+    else:
+        priced = multiselect_cost(recoded, "methods", "cup_assumptions", cost_table,
+                                  out="brewing_cost", id_col="id")
     return priced.select("id", "cup_assumptions", "spent_assumptions", "eq_assumptions",
                          "brewing_cost")
 

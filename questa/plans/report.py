@@ -22,7 +22,7 @@ def tidy(df: DataFrame, analysis: str, metrics: list[str], prefix_col: str | Non
 
 
 def worth_report(survey: DataFrame) -> DataFrame:
-    d = worth.decision_table(survey)
+    d = worth.decision_table(survey, materialized=True)
     parts = [tidy(worth.means(d).groupBy().pivot("metric").agg(F.first("value")), "worth",
                   ["mean_brewing_cost", "mean_outside_cost"])]
     pos = worth.with_positions(d)
@@ -32,7 +32,7 @@ def worth_report(survey: DataFrame) -> DataFrame:
     counts = value_counts(d, "cheaper_option")
     parts.append(tidy(counts.withColumn("count", F.col("count").cast("double")), "cheaper_option",
                       ["count"], "cheaper_option"))
-    res = worth.classify(survey)
+    res = worth.classify_decision(d)
     parts.append(tidy(accuracy(res.predictions), "classifier", ["accuracy"]))
     two = long_form(d, ["outside_cost", "brewing_cost"], "g", "v")
     parts.append(tidy(normaltest(two, "v", ["g"]), "normaltest", ["pvalue"], "g"))

@@ -16,21 +16,32 @@ from ..operators.classify import train_and_predict
 from ..operators.knn import knn_regress_1d
 from ..operators.order import exact_split, hash_split, row_position
 from ..operators.regression import r2_by_group
+from ..session import materialize
 from .cleaning import cleaned_worth, decision
 
 TEST_SEED = 42
 KNN_SALTS = {"brewing_cost": "worth-home", "outside_cost": "worth-outside"}
 
 
-def decision_table(survey: DataFrame, key_unique: bool | None = True) -> DataFrame:
-    return decision(cleaned_worth(survey, key_unique=key_unique))
+def decision_table(survey: DataFrame, key_unique: bool | None = True,
+                   materialized: bool = False) -> DataFrame:
+    """Cleaned worth rows with the decision columns.  ``materialized`` writes
+    it once to the checkpoint folder: its lineage (lines joined to parts,
+    aggregated per order, joined to orders) is the expensive part, and the
+    multi-pass analyses below scan it several times."""
+    d = decision(cleaned_worth(survey, key_unique=key_unique))
+    return materialize(d) if materialized else d
+
+
+def split_decision(d: DataFrame, seed: int = TEST_SEED) -> DataFrame:
+    """``split`` in {train, test}: exactly ceil(0.2 n) test rows chosen by a
+    seeded hash (O-38)."""
+    return exact_split(d, "id", 0.2, seed=seed)
 
 
 def decision_split(survey: DataFrame, key_unique: bool | None = True,
                    seed: int = TEST_SEED) -> DataFrame:
-    """Decision table with ``split`` in {train, test}: exactly ceil(0.2 n)
-    test rows chosen by a seeded hash (O-38)."""
-    return exact_split(decision_table(survey, key_unique), "id", 0.2, seed=seed)
+    return split_decision(decision_table(survey, key_unique, materialized=True), seed)
 
 
 def with_positions(df: DataFrame, order: str = "id") -> DataFrame:
@@ -57,8 +68,12 @@ def knn_r2(pred: DataFrame) -> DataFrame:
 def classify(survey: DataFrame, key_unique: bool | None = True, reg: float | None = None):
     """Logistic classifier of ``result`` on (outside_cost, brewing_cost),
     trained on the seeded 80% split, scored on the 20% (O-48..O-51)."""
-    d = decision_split(survey, key_unique)
-    return train_and_predict(d, ["outside_cost", "brewing_cost"], "label", "split", reg=reg)
+    return classify_decision(decision_table(survey, key_unique, materialized=True), reg)
+
+
+def classify_decision(d: DataFrame, reg: float | None = None):
+    return train_and_predict(split_decision(d), ["outside_cost", "brewing_cost"], "label",
+                             "split", reg=reg)
 
 
 def means(decision_df: DataFrame) -> DataFrame:

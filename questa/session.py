@@ -64,3 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from
+    there: for inputs that several passes scan (fits, splits, tests), so
+    an expensive lineage is computed once and a lost executor re-reads the
+    written copy instead of recomputing it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
