@@ -60,3 +60,18 @@ def join_answers(frames: Sequence[DataFrame], key: str) -> DataFrame:
         f = f.filter(not_null_all(f.columns))
         out = f if out is None else out.join(f, key, "inner")
     return out
+
+
+BROADCAST_MAX_ROWS = 100_000
+
+
+def join_per_group(big: DataFrame, per_group: DataFrame, on: Sequence[str],
+                   how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a one-row-per-group table back to row-level data.
+
+    The per-group table is counted first (it is small and usually cached);
+    within ``max_rows`` it is broadcast, so a hot group costs nothing extra.
+    Beyond that it is a shuffle join, where AQE splits skewed partitions."""
+    n = per_group.limit(max_rows + 1).count()
+    side = F.broadcast(per_group) if n <= max_rows else per_group
+    return big.join(side, list(on), how)

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_per_group
+
 
 def exact_quantile(df: DataFrame, group_cols: Sequence[str], value: str, q: float = 0.5,
                    out: str = "quantile", accuracy: int = 10000) -> DataFrame:
@@ -23,7 +25,7 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value: str, q: floa
     (nulls ignored)."""
     g = list(group_cols)
     single = not g
-    if single:  # one group: a constant key, its one-row tables are broadcast
+    if single:  # one group: a constant key
         df, g = df.withColumn("_g", F.lit(0)), ["_g"]
     base = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     delta = 4.0 / accuracy
@@ -41,7 +43,7 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value: str, q: floa
             (F.floor(h) + 1).cast("long").alias("_k1"),
             (F.ceil(h) + 1).cast("long").alias("_k2"),
             (h - F.floor(h)).alias("_frac")).cache()
-        joined = base.join(F.broadcast(approx) if single else approx, g)
+        joined = join_per_group(base, approx, g)
         counts = joined.groupBy(*g).agg(
             F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"),
             F.sum(F.when(F.col("_v").between(F.col("_lo"), F.col("_hi")), 1).otherwise(0)).alias("_inb"))
@@ -55,7 +57,7 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value: str, q: floa
     inside = joined.filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).select(*g, "_v")
     ranked = inside.withColumn("_rn", F.row_number().over(Window.partitionBy(*g).orderBy("_v")))
     sel = checked.select(*g, "_n", "_below", "_k1", "_k2", "_frac")
-    picks = ranked.join(F.broadcast(sel) if single else sel, g)
+    picks = join_per_group(ranked, sel, g)
     picks = picks.filter((F.col("_rn") == F.col("_k1") - F.col("_below"))
                          | (F.col("_rn") == F.col("_k2") - F.col("_below")))
     res = picks.groupBy(*g).agg(
