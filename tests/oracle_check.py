@@ -46,6 +46,18 @@ def _rows(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+          "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_mismatches(sdf, rel) -> list[str]:
+    s = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in sdf.schema.fields}
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return [f"{c}: spark {s[c]} vs duck {d[c]}" for c in s if c in d and s[c] != d[c]]
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -63,6 +75,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
     ok_vals = ok_cols and ok_n and _rows(scols, srows) == _rows(dcols, drows)
     status = "OK " if ok_vals else "BAD"
     msg = f"{status} {name:28s} rows={len(srows):7d}/{len(drows):7d} spark={t1 - t0:6.2f}s duck={t2 - t1:5.2f}s"
+    tm = type_mismatches(sdf, rel)
+    if tm:
+        msg += f" TYPES {tm}"
     if not ok_cols:
         msg += f" cols spark={sorted(scols)} duck={sorted(dcols)}"
     elif not ok_vals and ok_n:
