@@ -542,3 +542,32 @@ def q_stream_cheaper_option_counts(spark, sf_dir):
     query.awaitTermination()
     out = spark.read.parquet(sink)
     return cleaning.value_counts(out, "cheaper_option")
+
+
+# ------------------------------------------------------------ CSV exports
+
+@register("correlation_csv", "WITH " + CORRELATION_CTE + """
+SELECT id, CAST(cup_assumptions AS INTEGER) AS cup_assumptions,
+       round(spent_assumptions, 6) AS spent_assumptions FROM correlation""")
+def q_correlation_csv(spark, sf_dir):
+    """Export the cleaned correlation table as CSV (numbers as text) and
+    read it back (O-02, O-15)."""
+    path = scratch_path(spark, "correlation-csv")
+    cleaning.export_correlation(survey(spark, sf_dir), path, key_unique=True)
+    back = read_csv_strings(spark, path)
+    return back.select("id", F.col("cup_assumptions").cast("int").alias("cup_assumptions"),
+                       r6(F.col("spent_assumptions").cast("double")).alias("spent_assumptions"))
+
+
+@register("worth_csv", "WITH " + WORTH_CTE + """
+SELECT id, cup_assumptions, round(spent_assumptions, 6) AS spent_assumptions, eq_assumptions,
+       round(brewing_cost, 6) AS brewing_cost FROM worth""")
+def q_worth_csv(spark, sf_dir):
+    """Export the cleaned worth table as CSV and read it back (O-02)."""
+    path = scratch_path(spark, "worth-csv")
+    cleaning.export_worth(survey(spark, sf_dir), path, key_unique=True)
+    back = read_csv_strings(spark, path)
+    return back.select("id", F.col("cup_assumptions").cast("int").alias("cup_assumptions"),
+                       r6(F.col("spent_assumptions").cast("double")).alias("spent_assumptions"),
+                       F.col("eq_assumptions").cast("int").alias("eq_assumptions"),
+                       r6(F.col("brewing_cost").cast("double")).alias("brewing_cost"))

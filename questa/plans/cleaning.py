@@ -15,6 +15,7 @@ from ..functions.expr import binary_label, cheaper_label, recode, result_label,
 from ..operators.cost import (fixed_cost_map, fixed_cost_table, multiselect_cost,
                               multiselect_cost_inline)
 from ..operators.joins import complete_cases
+from ..sources.survey_csv import write_csv
 
 
 def cups_per_day(col: str = "cups", to: str = "int") -> F.Column:
@@ -80,3 +81,18 @@ def cheaper_option_counts(survey: DataFrame, key_unique: bool | None = None) ->
 
 def survey_session(survey: DataFrame) -> SparkSession:
     return survey.sparkSession
+
+
+def export_correlation(survey: DataFrame, path: str, key_unique: bool | None = None) -> None:
+    """Write the cleaned correlation table as CSV (O-02); the daily spend is
+    written as text of the double, as the original export does (O-15)."""
+    df = cleaned_correlation(survey, key_unique=key_unique)
+    write_csv(df.select("id", F.col("cup_assumptions").cast("int").cast("string")
+                        .alias("cup_assumptions"),
+                        F.col("spent_assumptions").cast("string").alias("spent_assumptions")),
+              path)
+
+
+def export_worth(survey: DataFrame, path: str, key_unique: bool | None = None) -> None:
+    """Write the cleaned worth table as CSV (O-02)."""
+    write_csv(cleaned_worth(survey, key_unique=key_unique), path)
