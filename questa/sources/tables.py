@@ -4,7 +4,8 @@ The driver's data holds no survey, so a survey of the same shape is derived
 from ``orders``, ``lineitem`` and ``part`` (one respondent per order).  The
 derivation is a plain DataFrame plan: column-pruned scans, one join of
 ``lineitem`` with ``part`` (AQE picks broadcast or sort-merge from runtime
-sizes), one partial/final aggregate per order, one left join with orders.
+sizes), one partial/final ``bit_or`` aggregate per order, one left join with
+orders.
 """
 
 from __future__ import annotations
@@ -58,27 +59,41 @@ def _equip_expr() -> F.Column:
     return e
 
 
-def _method_expr() -> F.Column:
+def _method_labels() -> list[str]:
+    """Every method label the derivation can produce, in ascending order."""
+    return sorted(set(_METHOD_BY_LINENUMBER.values()) | {v for _, v in _METHOD_BY_TYPE_PREFIX})
+
+
+def _method_code_expr(labels: list[str]) -> F.Column:
+    """Index of the line's method in ``labels`` (null if none applies)."""
+    code = {v: i for i, v in enumerate(labels)}
     ln, ptype = F.col("l_linenumber"), F.col("p_type")
     e = None
     for k, v in _METHOD_BY_LINENUMBER.items():
-        e = F.when(ln == k, F.lit(v)) if e is None else e.when(ln == k, F.lit(v))
+        e = F.when(ln == k, F.lit(code[v])) if e is None else e.when(ln == k, F.lit(code[v]))
     for prefix, v in _METHOD_BY_TYPE_PREFIX:
-        e = e.when(ptype.startswith(prefix), F.lit(v))
+        e = e.when(ptype.startswith(prefix), F.lit(code[v]))
     return e
 
 
 def order_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(okey, methods): distinct methods of an order's lines, sorted, joined
-    by ', '.  ``collect_set`` is bounded by the handful of method labels, and
-    its partial aggregation runs map-side, so a hot order cannot blow up."""
+    by ', '.  The set is aggregated as a bitmask of method codes with
+    ``bit_or`` (8 bytes of state per order, partial aggregation map-side, so
+    a hot order costs nothing), then decoded in label order; ``array_join``
+    skips the nulls of absent methods."""
+    labels = _method_labels()
     lines = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber")
     parts = read_table(spark, sf_dir, "part", "p_partkey", "p_type")
     per_line = (lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
-                .select(F.col("l_orderkey").alias("okey"), _method_expr().alias("method"))
-                .filter(F.col("method").isNotNull()))
-    return (per_line.groupBy("okey")
-            .agg(F.array_join(F.array_sort(F.collect_set("method")), ", ").alias("methods")))
+                .select(F.col("l_orderkey").alias("okey"),
+                        _method_code_expr(labels).alias("code"))
+                .filter(F.col("code").isNotNull()))
+    masks = per_line.groupBy("okey").agg(
+        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), code)")).alias("mask"))
+    present = [F.when(F.col("mask").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(label))
+               for i, label in enumerate(labels)]
+    return masks.select("okey", F.array_join(F.array(*present), ", ").alias("methods"))
 
 
 def derived_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
