@@ -28,12 +28,6 @@ from pyspark.sql import types as T
 _PID, _MID = "_q_pid", "_q_mid"
 
 
-def _num_partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _cols(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_cols]
 
@@ -42,11 +36,13 @@ def sorted_checkpoint(df: DataFrame, order_cols: Sequence[str | Column],
                       partitions: int | None = None) -> DataFrame:
     """Range-partition + sort within partitions, then a reliable checkpoint.
 
-    The order must be total (end with a unique column) for positions to be
-    deterministic."""
-    p = _num_partitions(df, partitions)
+    Without ``partitions`` the range shuffle is sized by AQE (it merges only
+    adjacent ranges, so partition order stays range order).  The order must
+    be total (end with a unique column) for positions to be deterministic."""
     cols = _cols(order_cols)
-    return df.repartitionByRange(p, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    ranged = (df.repartitionByRange(int(partitions), *cols) if partitions
+              else df.repartitionByRange(*cols))
+    return ranged.sortWithinPartitions(*cols).checkpoint(eager=True)
 
 
 def _offsets(tagged: DataFrame, agg: Column,

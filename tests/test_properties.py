@@ -123,3 +123,18 @@ def test_curve_grid_is_inclusive(spark, sf_dir):
     lo, hi = fit.data.agg(F.min("spent_assumptions"), F.max("spent_assumptions")).first()
     assert len(xs) == 100 and xs[0] == lo and xs[-1] == hi
     assert np.all(np.diff(xs) > 0)
+
+
+def test_hot_value_is_split_across_range_partitions(spark):
+    """A third of the rows share one order value; the composite (value, id)
+    range partitioning still spreads them over several balanced tasks."""
+    from questa.operators.order import sorted_checkpoint
+    n = 30000
+    df = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0.0))
+                               .otherwise(F.col("id").cast("double")).alias("x"))
+    ck = sorted_checkpoint(df, ["x", "id"], partitions=8)
+    sizes = [r["count"] for r in ck.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * n / 8
+    pos = row_position(df, ["x", "id"], partitions=8)
+    hot = pos.filter(F.col("x") == 0).agg(F.min("pos"), F.max("pos")).first()
+    assert (hot[0], hot[1]) == (1, n // 3)
