@@ -21,11 +21,14 @@ def tidy(df: DataFrame, analysis: str, metrics: list[str], prefix_col: str | Non
                       F.col("value").cast("double").alias("value"))
 
 
-def worth_report(survey: DataFrame) -> DataFrame:
-    d = worth.decision_table(survey, materialized=True)
+def worth_report(survey: DataFrame | None = None, d: DataFrame | None = None,
+                 pos: DataFrame | None = None) -> DataFrame:
+    """All printed worth results; pass an already materialized decision table
+    ``d`` (and its positions ``pos``) to reuse them."""
+    d = d if d is not None else worth.decision_table(survey, materialized=True)
     parts = [tidy(worth.means(d).groupBy().pivot("metric").agg(F.first("value")), "worth",
                   ["mean_brewing_cost", "mean_outside_cost"])]
-    pos = worth.with_positions(d)
+    pos = pos if pos is not None else worth.with_positions(d)
     for target, name in (("brewing_cost", "knn_home"), ("outside_cost", "knn_outside")):
         r2 = worth.knn_r2(worth.knn_fit_predict(pos, target))
         parts.append(tidy(r2, name, ["r2", "r"], "split"))
@@ -45,8 +48,9 @@ def worth_report(survey: DataFrame) -> DataFrame:
     return out
 
 
-def correlation_report(survey: DataFrame) -> DataFrame:
-    fit = correlation.fit_correlation(survey)
+def correlation_report(survey: DataFrame | None = None,
+                       fit: correlation.CorrelationFit | None = None) -> DataFrame:
+    fit = fit if fit is not None else correlation.fit_correlation(survey)
     coefs = correlation.coefficients(fit).select(
         F.lit("ridge").alias("analysis"), "metric", "value")
     r2 = tidy(correlation.r2_table(fit), "ridge", ["r2", "r"], "split")
