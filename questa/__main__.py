@@ -42,8 +42,9 @@ def run_correlation(spark: SparkSession, survey_path: str, out: str) -> None:
     correlation.scatter_bins(fit.data, correlation.X, correlation.Y, 0.5, 1.0) \
         .write.mode("overwrite").parquet(f"{out}/chart_bins")
     report = correlation_report(fit=fit)
-    write_csv(report, f"{out}/correlation_metrics")
-    for r in report.collect():
+    rows = report.collect()          # a few metric rows; computed once
+    write_csv(spark.createDataFrame(rows, report.schema), f"{out}/correlation_metrics")
+    for r in rows:
         print(f"{r.analysis:12s} {r.metric:24s} {r.value}")
 
 
@@ -56,8 +57,9 @@ def run_worth(spark: SparkSession, survey_path: str, out: str) -> None:
         worth.knn_fit_predict(pos, target).write.mode("overwrite").parquet(f"{out}/chart_knn_{name}")
     cleaning.value_counts(d, "cheaper_option").write.mode("overwrite").parquet(f"{out}/chart_bars")
     report = worth_report(d=d, pos=pos)
-    write_csv(report, f"{out}/worth_metrics")
-    for r in report.collect():
+    rows = report.collect()
+    write_csv(spark.createDataFrame(rows, report.schema), f"{out}/worth_metrics")
+    for r in rows:
         print(f"{r.analysis:14s} {r.metric:36s} {r.value}")
 
 
