@@ -571,3 +571,19 @@ def q_worth_csv(spark, sf_dir):
                        r6(F.col("spent_assumptions").cast("double")).alias("spent_assumptions"),
                        F.col("eq_assumptions").cast("int").alias("eq_assumptions"),
                        r6(F.col("brewing_cost").cast("double")).alias("brewing_cost"))
+
+
+@register("chart_points", "WITH " + CORRELATION_FIT_CTE + """,
+rng AS (SELECT min(spent_assumptions) AS glo, max(spent_assumptions) AS ghi FROM sp),
+grid AS (SELECT CASE WHEN i = 99 THEN ghi ELSE glo + i * ((ghi - glo) / 99) END AS x
+         FROM range(100) r(i), rng),
+gt AS (SELECT x, CASE WHEN hi > lo THEN (coalesce(x, mu) - lo) / (hi - lo)
+                      ELSE coalesce(x, mu) - lo END AS t FROM grid, model)
+SELECT 'data' AS series, round(spent_assumptions, 6) AS x, round(cup_assumptions, 6) AS y FROM sp
+UNION ALL
+SELECT 'fit', round(x, 6), round(b0 + b1 * t + b2 * t * t, 6) FROM gt, model""")
+def q_chart_points(spark, sf_dir):
+    """Scatter points and fitted curve of the correlation plot as one
+    (series, x, y) table (O-04)."""
+    fit = correlation.fit_correlation(survey(spark, sf_dir))
+    return correlation.chart_series(fit).select("series", r6("x").alias("x"), r6("y").alias("y"))

@@ -69,3 +69,13 @@ def scatter_bins(data: DataFrame, x: str, y: str, wx: float, wy: float) -> DataF
     return (data.groupBy(F.floor(F.col(x) / wx).cast("long").alias("bx"),
                          F.floor(F.col(y) / wy).cast("long").alias("by"))
             .agg(F.count(F.lit(1)).alias("n")))
+
+
+def chart_series(fit: CorrelationFit, n: int = 100) -> DataFrame:
+    """Plot-ready long table (series, x, y): the data points and the fitted
+    curve (O-04).  The points are the whole table; a renderer facing a huge
+    table draws ``scatter_bins`` instead."""
+    pts = fit.data.select(F.lit("data").alias("series"), F.col(X).alias("x"),
+                          F.col(Y).cast("double").alias("y"))
+    fitted = curve(fit, n).select(F.lit("fit").alias("series"), "x", "y")
+    return pts.unionByName(fitted)

@@ -127,3 +127,15 @@ def test_negative_r2_gives_null_r(spark):
     assert df.select(safe_sqrt(F.lit(-1.0))).first()[0] is None
     assert df.select(safe_sqrt(F.lit(4.0))).first()[0] == 2.0
     assert not math.isnan(row.r2)
+
+
+def test_mlp_factory_trains(spark):
+    """The 16-8 perceptron (constructed but never trained by the original)
+    is available as an MLlib estimator."""
+    from pyspark.ml.feature import VectorAssembler
+    from questa.operators.classify import mlp_classifier
+    rows = [(float(i % 7), float(i % 5), float(i % 7 > i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, label double")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    model = mlp_classifier(2).setMaxIter(50).fit(df)
+    assert model.transform(df).select("prediction").count() == 200
