@@ -4,8 +4,9 @@ Spark's exact ``percentile``/``median`` keep a value->count map per group,
 which grows with the distinct values of a hot group.  Here the group's
 ``percentile_approx`` sketch (bounded memory) gives a bracket that provably
 holds the wanted order statistics; one join pass counts the rows below the
-bracket and keeps only the rows inside it (a ~4/accuracy slice), and a
-window over that slice picks the exact ranks.  Linear interpolation between
+bracket and keeps only the rows inside it (a ~8/accuracy slice), collapsed
+to one row per distinct value, and running counts over that slice pick the
+exact ranks.  A hot value, even the median itself, is one row there.  Linear interpolation between
 the two neighbouring order statistics, as numpy's default quantile does.
 """
 
@@ -16,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import join_per_group
 
 
@@ -42,26 +44,31 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value: str, q: floa
             (F.lit(float("inf")) if full else F.col("_br")[1]).alias("_hi"),
             (F.floor(h) + 1).cast("long").alias("_k1"),
             (F.ceil(h) + 1).cast("long").alias("_k2"),
-            (h - F.floor(h)).alias("_frac")).cache()
+            (h - F.floor(h)).alias("_frac"))
+        # one row per group, written once: a recomputed sketch may merge in a
+        # different order, and the bracket must stay the one that was checked
+        approx = materialize(approx)
         joined = join_per_group(base, approx, g)
         counts = joined.groupBy(*g).agg(
             F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"),
             F.sum(F.when(F.col("_v").between(F.col("_lo"), F.col("_hi")), 1).otherwise(0)).alias("_inb"))
-        checked = approx.join(counts, g).cache()
+        checked = materialize(approx.join(counts, g))
         bad = checked.filter((F.col("_below") >= F.col("_k1"))
                              | (F.col("_below") + F.col("_inb") < F.col("_k2"))).limit(1).count()
         if bad == 0 or full:
             break
-        approx.unpersist()
         delta *= 16
-    inside = joined.filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).select(*g, "_v")
-    ranked = inside.withColumn("_rn", F.row_number().over(Window.partitionBy(*g).orderBy("_v")))
+    # rows inside the bracket, duplicates collapsed (a hot value is one row)
+    inside = (joined.filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*g).orderBy("_v").rowsBetween(Window.unboundedPreceding,
+                                                         Window.currentRow)
+    ranked = inside.withColumn("_cum", F.sum("_c").over(w))
     sel = checked.select(*g, "_n", "_below", "_k1", "_k2", "_frac")
     picks = join_per_group(ranked, sel, g)
-    picks = picks.filter((F.col("_rn") == F.col("_k1") - F.col("_below"))
-                         | (F.col("_rn") == F.col("_k2") - F.col("_below")))
     res = picks.groupBy(*g).agg(
-        F.min("_v").alias("_v1"), F.max("_v").alias("_v2"),
+        F.min(F.when(F.col("_cum") >= F.col("_k1") - F.col("_below"), F.col("_v"))).alias("_v1"),
+        F.min(F.when(F.col("_cum") >= F.col("_k2") - F.col("_below"), F.col("_v"))).alias("_v2"),
         F.first("_frac").alias("_frac"), F.first("_n").alias("n"))
     res = res.select(*g, (F.col("_v1") + F.col("_frac") * (F.col("_v2") - F.col("_v1"))).alias(out), "n")
     return res.drop("_g") if single else res

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.special import f_sf_udf, normal_two_sided_p_udf
+from ..session import materialize
 from .joins import join_per_group
 from .order import prefix_sum
 from .quantile import exact_quantile
@@ -74,7 +75,7 @@ def levene_stat(df: DataFrame, value: str, group: str) -> DataFrame:
     (k, n, w, df1, df2).  Medians are exact (see ``exact_quantile``)."""
     v = F.col(value).cast("double")
     base = df.select(F.col(group).alias("_g"), v.alias("_v")).filter(F.col("_v").isNotNull())
-    med = exact_quantile(base, ["_g"], "_v", 0.5, out="_med").select("_g", "_med").cache()
+    med = materialize(exact_quantile(base, ["_g"], "_v", 0.5, out="_med").select("_g", "_med"))
     z = join_per_group(base, med, ["_g"]).select("_g", F.abs(F.col("_v") - F.col("_med")).alias("_z"))
     per = z.groupBy("_g").agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"),
                               (F.var_pop("_z") * F.count(F.lit(1))).alias("ssi"))

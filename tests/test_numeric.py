@@ -114,3 +114,12 @@ def test_mannwhitney_u_matches_pairwise_count_with_ties(spark):
     _, t = np.unique(np.concatenate([a, b]), return_counts=True)
     assert row.tie_term == pytest.approx(float(np.sum(t ** 3 - t)))
     assert not row.exact_case
+
+
+def test_exact_quantile_with_hot_median_value(spark):
+    vals = [5.0] * 3000 + [float(i) for i in range(6000)]
+    df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
+    got = exact_quantile(df, ["g"], "v", 0.5, accuracy=100).first()["quantile"]
+    assert got == float(np.median(vals))
+    got = exact_quantile(df, ["g"], "v", 0.37, accuracy=100).first()["quantile"]
+    assert got == pytest.approx(float(np.quantile(vals, 0.37)), abs=1e-12)
