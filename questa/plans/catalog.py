@@ -37,11 +37,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def positive_zero_rounds(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: DuckDB rounds a
+    tiny negative to -0.0 where Spark gives 0.0, and adding +0.0 turns -0.0
+    into 0.0 without changing any other value."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = positive_zero_rounds(sql[j + len(key):k - 1])
+        out.append(f"{sql[i:j]}(round({inner}) + 0.0)")
+        i = k
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE_SQL[name] = sql
+            ORACLE_SQL[name] = positive_zero_rounds(sql)
         return fn
     return deco
 
