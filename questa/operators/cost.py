@@ -138,18 +138,24 @@ def cost_from_best(options_col: str, qty_col: str, best_col: str,
 def multiselect_cost_join(df: DataFrame, options_col: str, qty_col: str, dim: DataFrame,
                           key: str, primary: str, secondary: str, amortize: float,
                           out: str, sep: str, id_col: str) -> DataFrame:
-    """Distributed path for large cost tables: ``posexplode`` the options,
-    left-join the table (AQE chooses broadcast or sort-merge from the runtime
-    size), keep per row the option maximising (cost, -position) with
-    ``max_by`` (partial aggregation; a row has few options), join back."""
-    opts = (df.select(id_col, F.posexplode(split_multiselect(options_col, sep)).alias("pos", "opt")))
-    costs = dim.select(F.col(key).alias("opt"), F.col(primary).alias("_p"),
+    """Distributed path for large cost tables: ``posexplode_outer`` the
+    options (a null answer keeps one row), left-join the table (AQE chooses
+    broadcast or sort-merge from the runtime size), then one aggregate per
+    row id keeps the whole input row of the option maximising (cost,
+    -position) with ``max_by``.  The input is read once (no join back), and
+    a row id has only a handful of options."""
+    rest = [c for c in df.columns if c != id_col]
+    opts = df.select("*", F.posexplode_outer(split_multiselect(options_col, sep))
+                     .alias("_pos", "_opt"))
+    costs = dim.select(F.col(key).alias("_opt"), F.col(primary).alias("_p"),
                        F.col(secondary).alias("_s"))
-    scored = opts.join(costs, "opt", "left").select(
-        id_col, "pos", F.coalesce("_p", F.lit(0.0)).alias("_p"), F.coalesce("_s", F.lit(0.0)).alias("_s"))
-    best = scored.groupBy(id_col).agg(
-        F.max_by(F.struct("_p", "_s"), F.struct(F.col("_p"), -F.col("pos"))).alias("_best"))
-    joined = df.join(best, id_col, "left")
-    cost = (F.col("_best._p") / F.lit(float(amortize)) + F.col("_best._s") * F.col(qty_col))
-    return (joined.withColumn(out, F.when(F.col(options_col).isNull(), F.lit(0.0)).otherwise(cost))
-            .drop("_best"))
+    scored = (opts.join(costs, "_opt", "left")
+              .withColumn("_p", F.coalesce("_p", F.lit(0.0)))
+              .withColumn("_s", F.coalesce("_s", F.lit(0.0))))
+    best = scored.groupBy(id_col).agg(F.max_by(
+        F.struct(*rest, "_p", "_s"),
+        F.struct(F.col("_p"), -F.coalesce(F.col("_pos"), F.lit(0)))).alias("_b"))
+    flat = best.select(id_col, "_b.*")
+    cost = F.col("_p") / F.lit(float(amortize)) + F.col("_s") * F.col(qty_col)
+    return (flat.withColumn(out, F.when(F.col(options_col).isNull(), F.lit(0.0)).otherwise(cost))
+            .select(*df.columns, out))
