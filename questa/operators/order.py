@@ -95,12 +95,18 @@ def prefix_sum_total(df: DataFrame, order_cols: Sequence[str | Column], weight:
     tagged = ck.select("*", F.spark_partition_id().alias(_PID))
     sums = _offsets(tagged, F.sum(F.col(weight)), with_total=True)
     total = sums.pop()[1]
-    offsets = dict(sums)
     wtype = df.schema[weight].dataType
     integral = isinstance(wtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     out_type = T.LongType() if integral else T.DoubleType()
-    schema = T.StructType([f for f in tagged.schema.fields if f.name != _PID]
-                          + [T.StructField(out, out_type)])
+    # each row carries its partition's offset (broadcast join of one row per
+    # partition: streams the sorted rows in order, no shuffle, and keeps the
+    # offsets out of the task closures)
+    cast = int if integral else float
+    off_df = df.sparkSession.createDataFrame([(p, cast(o)) for p, o in sums], T.StructType([
+        T.StructField(_PID, T.IntegerType()), T.StructField("_q_off", out_type)]))
+    tagged = tagged.join(F.broadcast(off_df), _PID)
+    schema = T.StructType([f for f in ck.schema.fields] + [T.StructField(out, out_type)])
+    drop = [_PID, "_q_off"]
 
     def run(batches):
         running = None
@@ -108,12 +114,12 @@ def prefix_sum_total(df: DataFrame, order_cols: Sequence[str | Column], weight:
             if pdf.empty:
                 continue
             if running is None:
-                running = offsets.get(int(pdf[_PID].iloc[0]), 0)
+                running = pdf["_q_off"].iloc[0]
             w = pdf[weight].fillna(0)
             w = w.astype("int64") if integral else w.astype("float64")
             cs = w.cumsum() + running
             running = cs.iloc[-1]
-            pdf = pdf.drop(columns=[_PID])
+            pdf = pdf.drop(columns=drop)
             pdf[out] = cs if inclusive else cs - w
             yield pdf
 
