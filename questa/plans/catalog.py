@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.classify import accuracy
-from ..operators.cost import other_average
+from ..operators.cost import fixed_cost_table, multiselect_cost, other_average
 from ..operators.features import MeanImputer, Standardizer, poly2_terms
 from ..operators.knn import knn_regress_1d
 from ..operators.regression import mllib_ridge_pipeline, r2_by_group
@@ -126,9 +126,9 @@ SELECT id, methods, cup_assumptions, round(brewing_cost, 6) AS brewing_cost FROM
 def q_brewing_cost(spark, sf_dir):
     s = survey(spark, sf_dir)
     cc = complete_cases(s, "id", ["cups", "spend", "equip", "methods"], key_unique=True)
-    df = cleaning.multiselect_cost(
+    df = multiselect_cost(
         cc.select("id", "methods", cleaning.cups_per_day().alias("cup_assumptions")),
-        "methods", "cup_assumptions", cleaning.fixed_cost_table(spark), id_col="id")
+        "methods", "cup_assumptions", fixed_cost_table(spark), id_col="id")
     return df.select("id", "methods", "cup_assumptions", r6("brewing_cost").alias("brewing_cost"))
 
 
@@ -138,9 +138,9 @@ def q_brewing_cost_join(spark, sf_dir):
     """Same answer through the distributed path used for large cost tables."""
     s = survey(spark, sf_dir)
     cc = complete_cases(s, "id", ["cups", "spend", "equip", "methods"], key_unique=True)
-    df = cleaning.multiselect_cost(
+    df = multiselect_cost(
         cc.select("id", "methods", cleaning.cups_per_day().alias("cup_assumptions")),
-        "methods", "cup_assumptions", cleaning.fixed_cost_table(spark), id_col="id",
+        "methods", "cup_assumptions", fixed_cost_table(spark), id_col="id",
         inline_max_rows=0)
     return df.select("id", "methods", "cup_assumptions", r6("brewing_cost").alias("brewing_cost"))
 

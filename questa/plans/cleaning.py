@@ -6,14 +6,13 @@ the scan) -> one projection holding every recode, cast and cost expression.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codebooks import (CUPS_CODEBOOK, DAYS_PER_MONTH, EQUIP_CODEBOOK,
                                    RESULT_OUTSIDE, SPEND_CODEBOOK)
 from ..functions.expr import binary_label, cheaper_label, recode, result_label, strict_cast
-from ..operators.cost import (fixed_cost_map, fixed_cost_table, multiselect_cost,
-                              multiselect_cost_inline)
+from ..operators.cost import fixed_cost_map, multiselect_cost, multiselect_cost_inline
 from ..operators.joins import complete_cases
 from ..sources.survey_csv import write_csv
 
@@ -79,10 +78,6 @@ def cheaper_option_counts(survey: DataFrame, key_unique: bool | None = None) ->
     return value_counts(decision(cleaned_worth(survey, key_unique=key_unique)), "cheaper_option")
 
 
-def survey_session(survey: DataFrame) -> SparkSession:
-    return survey.sparkSession
-
-
 def export_correlation(survey: DataFrame, path: str, key_unique: bool | None = None) -> None:
     """Write the cleaned correlation table as CSV (O-02); the daily spend is
     written as text of the double, as the original export does (O-15)."""
