@@ -123,3 +123,27 @@ def test_exact_quantile_with_hot_median_value(spark):
     assert got == float(np.median(vals))
     got = exact_quantile(df, ["g"], "v", 0.37, accuracy=100).first()["quantile"]
     assert got == pytest.approx(float(np.quantile(vals, 0.37)), abs=1e-12)
+
+
+def test_logistic_matches_newton(spark):
+    """MLlib logistic regression (standardization off) minimises mean
+    log-loss + reg/2 * |w|^2; compare with a numpy Newton solve."""
+    from questa.operators.classify import logistic_pipeline
+    rng = np.random.default_rng(21)
+    n = 400
+    X = np.column_stack([rng.normal(0, 1, n), rng.normal(0, 3, n)])
+    p = 1 / (1 + np.exp(-(0.8 * X[:, 0] - 0.3 * X[:, 1] + 0.2)))
+    y = (rng.random(n) < p).astype(float)
+    lam = 0.3
+    w = np.zeros(3)                        # intercept, w1, w2
+    A = np.column_stack([np.ones(n), X])
+    for _ in range(50):
+        mu = 1 / (1 + np.exp(-A @ w))
+        grad = A.T @ (mu - y) / n + lam * np.r_[0, w[1:]]
+        H = (A.T * (mu * (1 - mu))) @ A / n + lam * np.diag([0, 1, 1])
+        w -= np.linalg.solve(H, grad)
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(X, y)],
+                               "a double, b double, label double")
+    lr = logistic_pipeline(["a", "b"], "label", reg=lam, tol=1e-10).fit(df).stages[-1]
+    assert lr.intercept == pytest.approx(w[0], abs=1e-5)
+    assert list(lr.coefficients) == pytest.approx(list(w[1:]), abs=1e-5)
