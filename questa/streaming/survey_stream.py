@@ -70,11 +70,13 @@ def start_cleaned_sink(spark: SparkSession, src: str, out: str,
 
 
 def start_cheaper_counts(spark: SparkSession, src: str, query_name: str = "cheaper_counts",
-                         checkpoint: str | None = None) -> StreamingQuery:
+                         checkpoint: str | None = None,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Running counts per cheaper option into an in-memory table (for a
-    dashboard); state is two rows."""
-    counts = (cleaned_worth_stream(spark, src).groupBy("cheaper_option")
-              .agg(F.count(F.lit(1)).alias("count")))
+    dashboard); the aggregation state is two rows, kept across micro-batches
+    in the checkpoint's state store."""
+    stream = cleaned_worth_stream(spark, src, max_files_per_trigger=max_files_per_trigger)
+    counts = stream.groupBy("cheaper_option").agg(F.count(F.lit(1)).alias("count"))
     return (counts.writeStream.format("memory").queryName(query_name).outputMode("complete")
             .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-counts"))
             .trigger(availableNow=True).start())

@@ -21,8 +21,10 @@ def test_stream_matches_batch(spark, sf_dir, tmp_path):
     cols = ["id", "cup_assumptions", "eq_assumptions", "result", "cheaper_option"]
     assert sorted(streamed.select(*cols).collect()) == sorted(batch.select(*cols).collect())
 
-    c = start_cheaper_counts(spark, src, "cheaper_counts_test", str(tmp_path / "ckpt2"))
+    c = start_cheaper_counts(spark, src, "cheaper_counts_test", str(tmp_path / "ckpt2"),
+                             max_files_per_trigger=1)
     c.awaitTermination()
+    assert len(c.recentProgress) >= 2          # several micro-batches, state carried over
     got = {r.cheaper_option: r["count"] for r in spark.table("cheaper_counts_test").collect()}
     want = {r.cheaper_option: r["count"] for r in cleaning.value_counts(batch, "cheaper_option").collect()}
     assert got == want
