@@ -30,7 +30,7 @@ from ..session import scratch_path
 from . import cleaning, correlation, worth
 from .report import correlation_report, worth_report
 from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, EVENTS_BASE, WITH_SURVEY,
-                      WORTH_CTE, WORTH_LONG, WORTH_SPLIT_CTE, cups_sql, equip_sql,
+                      WORTH_CTE, WORTH_LONG, WORTH_PARTS, WORTH_SPLIT_CTE, cups_sql, equip_sql,
                       levene_sql, mannwhitney_sql, normaltest_sql, spend_sql)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -610,3 +610,23 @@ def q_chart_points(spark, sf_dir):
     (series, x, y) table (O-04)."""
     fit = correlation.fit_correlation(survey(spark, sf_dir))
     return correlation.chart_series(fit).select("series", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@register("metrics_report", "WITH " + CORRELATION_FIT_CTE.rstrip() + ",\n" + WORTH_PARTS.strip() + """,
+g AS (SELECT split, count(*) AS n, sum((cup_assumptions - yhat) * (cup_assumptions - yhat)) AS sse,
+             var_pop(cup_assumptions) * count(*) AS sst FROM pred GROUP BY split),
+r AS (SELECT split, CASE WHEN sst > 0 THEN 1 - sse / sst WHEN sse = 0 THEN 1.0 ELSE 0.0 END AS r2 FROM g)
+SELECT 'ridge' AS analysis, metric, value FROM (""" + _RIDGE_METRICS_SQL + """)
+UNION ALL SELECT 'ridge', split || ':r2', round(r2, 6) FROM r
+UNION ALL SELECT 'ridge', split || ':r', round(CASE WHEN r2 >= 0 THEN sqrt(r2) END, 6) FROM r
+UNION ALL SELECT 'worth', 'mean_brewing_cost', round(avg(brewing_cost), 6) FROM decision
+UNION ALL SELECT 'worth', 'mean_outside_cost', round(avg(outside_cost), 6) FROM decision""")
+def q_metrics_report(spark, sf_dir):
+    """The SQL-checkable printed results of both analyses in one tidy table
+    (analysis, metric, value): ridge coefficients, R and R² per split, and
+    the mean daily costs (O-03, O-23)."""
+    s = survey(spark, sf_dir)
+    corr = correlation_report(s)
+    means = worth.means(worth.decision_table(s)).select(
+        F.lit("worth").alias("analysis"), "metric", "value")
+    return corr.unionByName(means).select("analysis", "metric", r6("value").alias("value"))

@@ -184,3 +184,6 @@ EVENTS_BASE = "ev_base AS (SELECT event_type AS g, value AS v FROM events)"
 WORTH_LONG = """worth_long AS (
   SELECT 'outside_cost' AS g, outside_cost AS v FROM decision
   UNION ALL SELECT 'brewing_cost' AS g, brewing_cost AS v FROM decision)"""
+
+# the worth CTEs without the shared survey CTEs (to combine with another analysis)
+WORTH_PARTS = WORTH_CTE[len(SURVEY_SQL_CTE) + 1:]
