@@ -85,7 +85,8 @@ def levene_stat(df: DataFrame, value: str, group: str) -> DataFrame:
                   F.sum("ssi").alias("within"))
     k, n = F.col("k").cast("double"), F.col("n").cast("double")
     between = F.col("szz") - F.col("sz") * F.col("sz") / n
-    w = (n - k) / (k - 1) * between / F.col("within")
+    # one group, or no spread inside the groups: undefined, null (not an error)
+    w = F.try_divide((n - k) * between, (k - 1) * F.col("within"))
     return tot.select(F.col("k"), F.col("n"), w.alias("w"), (k - 1).alias("df1"), (n - k).alias("df2"))
 
 
@@ -130,8 +131,10 @@ def mannwhitney_stat(df: DataFrame, value: str, group: str, a: str, b: str,
                       nn.alias("nn"), F.col("max_t"))
     u = F.greatest(F.col("u1"), F.col("n1") * F.col("n2") - F.col("u1"))
     sd = F.sqrt(F.col("n1") * F.col("n2") / 12.0
-                * ((F.col("nn") + 1) - F.col("tie_term") / (F.col("nn") * (F.col("nn") - 1))))
-    z = (u - F.col("n1") * F.col("n2") / 2.0 - 0.5) / sd
+                * ((F.col("nn") + 1) - F.try_divide(F.col("tie_term"),
+                                                    F.col("nn") * (F.col("nn") - 1))))
+    # an empty sample or all values tied: z undefined, null (not an error)
+    z = F.try_divide(u - F.col("n1") * F.col("n2") / 2.0 - 0.5, sd)
     exact = (F.least(F.col("n1"), F.col("n2")) <= 8) & (F.col("max_t") <= 1)
     return out.select("n1", "n2", "u1", u.alias("u"), "tie_term", z.alias("z"),
                       exact.alias("exact_case"))

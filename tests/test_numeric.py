@@ -147,3 +147,13 @@ def test_logistic_matches_newton(spark):
     lr = logistic_pipeline(["a", "b"], "label", reg=lam, tol=1e-10).fit(df).stages[-1]
     assert lr.intercept == pytest.approx(w[0], abs=1e-5)
     assert list(lr.coefficients) == pytest.approx(list(w[1:]), abs=1e-5)
+
+
+def test_degenerate_tests_give_null_not_errors(spark):
+    one = _frame(spark, {"a": range(10)})
+    assert levene(one, "v", "g").first().w is None
+    row = mannwhitney(one, "v", "g", "a", "b").first()
+    assert row.z is None and row.pvalue is None
+    tied = _frame(spark, {"a": [1.0] * 5, "b": [1.0] * 5})
+    assert levene(tied, "v", "g").first().w is None
+    assert mannwhitney(tied, "v", "g", "a", "b").first().z is None
