@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 from .order import prefix_sum_total, row_position
 
 
@@ -43,7 +42,6 @@ def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: s
                                    F.lit(0).alias("_w"))))
     ranked, n_train = prefix_sum_total(both, ["_x", "_w", "_id"], "_w", out="_cum",
                                        partitions=partitions)
-    ranked = materialize(ranked)   # read by both sides below: one Python pass
     if n_train == 0:
         return query.withColumn(out, F.lit(None).cast("double"))
     side_a = ranked.filter(F.col("_w") == 1).select(
