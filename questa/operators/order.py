@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 _PID, _MID = "_q_pid", "_q_mid"
 
 
@@ -42,7 +44,7 @@ def sorted_checkpoint(df: DataFrame, order_cols: Sequence[str | Column],
     cols = _cols(order_cols)
     ranged = (df.repartitionByRange(int(partitions), *cols) if partitions
               else df.repartitionByRange(*cols))
-    return ranged.sortWithinPartitions(*cols).checkpoint(eager=True)
+    return materialize(ranged.sortWithinPartitions(*cols))
 
 
 def _offsets(tagged: DataFrame, agg: Column,

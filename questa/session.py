@@ -74,6 +74,15 @@ def materialize(df):
     """Write ``df`` once to the shared checkpoint folder and read it from
     there: for inputs that several passes scan (fits, splits, tests), so
     an expensive lineage is computed once and a lost executor re-reads the
-    written copy instead of recomputing it."""
+    written copy instead of recomputing it.
+
+    An eager checkpoint runs a counting job and then a writing job; ``df``
+    is persisted for that moment so the second job reads the first one's
+    result instead of recomputing the lineage."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
