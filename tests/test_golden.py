@@ -139,3 +139,40 @@ def test_mlp_factory_trains(spark):
     df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
     model = mlp_classifier(2).setMaxIter(50).fit(df)
     assert model.transform(df).select("prediction").count() == 200
+
+
+def test_generic_lookup_argmax_and_null_guard(spark):
+    from questa.functions.expr import (first_argmax, literal_map, lookup, null_guard,
+                                       split_multiselect)
+    m = literal_map({"a": 1.0, "b": 3.0, "c": 3.0})
+    df = spark.createDataFrame([("a, b, c",), ("c, b",), ("z",), (None,)], "s string")
+    rows = df.select(first_argmax(split_multiselect("s"), m).alias("best"),
+                     lookup(F.lit("z"), m, 7.0).alias("miss"),
+                     null_guard("s", F.lit(1.0)).alias("g")).collect()
+    assert [r.best for r in rows] == ["b", "c", "z", None]
+    assert all(r.miss == 7.0 for r in rows)
+    assert [r.g for r in rows] == [1.0, 1.0, 1.0, 0.0]
+
+
+def test_survey_reader_names_missing_questions(spark, tmp_path):
+    p = tmp_path / "s.csv"
+    p.write_text("Submission ID,Other\nr1,x\n")
+    with pytest.raises(ValueError, match="lacks questions"):
+        read_survey_csv(spark, str(p))
+
+
+def test_join_answers_equals_complete_cases(spark):
+    from questa.operators.joins import join_answers
+    df = spark.createDataFrame([("1", "x", "y"), ("2", None, "y"), ("3", "x", None), ("4", "u", "v")],
+                               "id string, a string, b string")
+    joined = join_answers([df.select("id", "a"), df.select("id", "b")], "id")
+    assert sorted(joined.collect()) == sorted(complete_cases(df, "id", ["a", "b"]).collect())
+
+
+def test_constant_cost_map_equals_spark_other_average(spark):
+    from questa.operators.cost import fill_other
+    from questa.functions.codebooks import METHOD_PER_USE_COST, METHOD_UPFRONT_COST
+    table = {r.method: (r.upfront, r.per_use) for r in fixed_cost_table(spark).collect()}
+    up, pu = fill_other(METHOD_UPFRONT_COST), fill_other(METHOD_PER_USE_COST)
+    for k, (u, p) in table.items():
+        assert u == pytest.approx(up[k], rel=1e-12) and p == pytest.approx(pu[k], rel=1e-12)
