@@ -47,7 +47,10 @@ def main() -> None:
     print(f"# Executed plans ({sf_dir}, local[8], AQE on)\n")
     print("Generated by `tests/plan_report.py`. Exchanges and joins are those of the final")
     print("adaptive plan of the returned DataFrame. Internal jobs (fits, histograms, offsets,")
-    print("checkpoint writes) run before it; a `checkpoint read` is such a written intermediate.\n")
+    print("checkpoint writes) run before it; a `checkpoint read` is such a written intermediate.")
+    print("At this size AQE turns the orders and parts joins into broadcast joins (both sides are a few")
+    print("MB). The library itself broadcasts only bounded tables: offsets, counted per-group tables and")
+    print("constant maps.\n")
     print("| query | exchanges | joins | parquet scans: pushed filters | ckpt reads | python | windows |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in entry.queries().items():
