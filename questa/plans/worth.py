@@ -44,9 +44,16 @@ def decision_split(survey: DataFrame, key_unique: bool | None = True,
     return split_decision(decision_table(survey, key_unique, materialized=True), seed)
 
 
-def with_positions(df: DataFrame, order: str = "id") -> DataFrame:
+KNN_COLUMNS = ("id", "brewing_cost", "outside_cost")
+
+
+def with_positions(df: DataFrame, order: str = "id",
+                   columns: tuple[str, ...] | None = KNN_COLUMNS) -> DataFrame:
     """Row position 1..n as the regression feature.  The original used the
-    implicit join order; here the order is explicit (the respondent id)."""
+    implicit join order; here the order is explicit (the respondent id).
+    Only ``columns`` are carried through the sort (all when None)."""
+    if columns is not None:
+        df = df.select(*columns)
     return row_position(df, [order], out="pos")
 
 
