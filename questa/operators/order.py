@@ -184,8 +184,9 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
     test rows are the ones with the smallest (md5(seed:key), key)."""
     hashed = df.withColumn("_h", key_hash(key, f"{seed}:"))
     # one pass: 4-hex-digit prefix histogram (at most 65536 rows), n is its total
-    hist = sorted((r[0], r[1]) for r in hashed.groupBy(F.substring("_h", 1, 4).alias("b"))
-                  .count().collect())
+    # (a null key hashes to null: that bucket sorts last, as NULLS LAST does)
+    hist = sorted(((r[0], r[1]) for r in hashed.groupBy(F.substring("_h", 1, 4).alias("b"))
+                   .count().collect()), key=lambda bc: (bc[0] is None, bc[0] or ""))
     n = sum(c for _, c in hist)
     t = math.ceil(test_frac * n)
     if t <= 0:
