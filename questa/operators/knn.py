@@ -33,10 +33,14 @@ def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: s
     """``query`` plus ``out`` = mean ``y`` of its ``k`` nearest training rows.
 
     ``id_col`` must be unique within ``train`` and within ``query`` (a row
-    may appear in both, as when scoring the training set)."""
-    tr = train.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
-                      F.col(y).cast("double").alias("_y")).filter(F.col("_x").isNotNull())
-    qr = query.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"))
+    may appear in both, as when scoring the training set).  Training rows
+    without x or y are left out; queries without x get a null prediction."""
+    tr = (train.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
+                       F.col(y).cast("double").alias("_y"))
+          .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
+    # a query without a feature value gets no prediction (null, via the final left join)
+    qr = (query.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"))
+          .filter(F.col("_x").isNotNull()))
     both = (tr.select("_id", "_x", "_y", F.lit(1).alias("_w"))
             .unionByName(qr.select("_id", "_x", F.lit(None).cast("double").alias("_y"),
                                    F.lit(0).alias("_w"))))

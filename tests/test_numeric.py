@@ -157,3 +157,12 @@ def test_degenerate_tests_give_null_not_errors(spark):
     tied = _frame(spark, {"a": [1.0] * 5, "b": [1.0] * 5})
     assert levene(tied, "v", "g").first().w is None
     assert mannwhitney(tied, "v", "g", "a", "b").first().z is None
+
+
+def test_knn_null_feature_and_target(spark):
+    df = spark.createDataFrame([(1, 1.0, 10.0), (2, 2.0, None), (3, 3.0, 30.0), (4, None, 40.0),
+                                (5, 4.0, 50.0)], "id long, x double, y double")
+    got = {r.id: r.pred for r in knn_regress_1d(df, df, "x", "y", "id", k=2).collect()}
+    assert got[4] is None                      # no feature, no prediction
+    assert got[1] == pytest.approx(20.0)       # neighbours 1 and 3 (2 has no target)
+    assert got[5] == pytest.approx(40.0)
