@@ -38,11 +38,13 @@ def read_survey_csv(spark: SparkSession, path: str,
            .option("escape", '"')
            .option("mode", "FAILFAST")
            .csv(path))
-    missing = [h for h in columns.values() if h not in raw.columns]
+    # header text -> column as read (a byte-order mark may precede the first header)
+    by_text = {c.lstrip("\ufeff"): c for c in raw.columns}
+    missing = [h for h in columns.values() if h not in by_text]
     if missing:
         raise ValueError(f"survey file lacks questions: {missing}")
     tokens = list(na_tokens)
-    return raw.select(*[na_tokens_to_null(F.col(_quoted(header)), tokens).alias(short)
+    return raw.select(*[na_tokens_to_null(F.col(_quoted(by_text[header])), tokens).alias(short)
                         for short, header in columns.items()])
 
 

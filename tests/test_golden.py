@@ -176,3 +176,10 @@ def test_constant_cost_map_equals_spark_other_average(spark):
     up, pu = fill_other(METHOD_UPFRONT_COST), fill_other(METHOD_PER_USE_COST)
     for k, (u, p) in table.items():
         assert u == pytest.approx(up[k], rel=1e-12) and p == pytest.approx(pu[k], rel=1e-12)
+
+
+def test_survey_reader_ignores_byte_order_mark(spark, tmp_path):
+    p = tmp_path / "bom.csv"
+    p.write_bytes("﻿Submission ID,Q\nr1,a\n".encode("utf-8"))
+    df = read_survey_csv(spark, str(p), {"id": "Submission ID", "q": "Q"})
+    assert [tuple(r) for r in df.collect()] == [("r1", "a")]
