@@ -144,3 +144,21 @@ def first_argmax(options: Column, score_map: Column, default: float = 0.0) -> Co
         (-i).alias("neg_pos"),
         m.alias("option")))
     return F.array_max(scored)["option"]
+
+
+# ------------------------------------------------------------ keyed random
+
+def _unit_from_hex(hex8: Column) -> Column:
+    """8 hex digits -> a uniform value strictly inside (0, 1)."""
+    return (F.conv(hex8, 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 32))
+
+
+def keyed_normal(key: str | Column, seed: int | str = 0) -> Column:
+    """A standard normal draw determined by (seed, key): Box-Muller on two
+    uniforms taken from md5(seed:key).  Unlike ``randn`` it does not depend
+    on partitioning, so a recomputed or repartitioned table gets the same
+    values, and SQL engines can reproduce it."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))
+    u1 = _unit_from_hex(F.substring(h, 1, 8))
+    u2 = _unit_from_hex(F.substring(h, 9, 8))
+    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * 3.141592653589793) * u2)

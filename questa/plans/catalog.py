@@ -351,11 +351,20 @@ def q_scatter_bins(spark, sf_dir):
     return correlation.scatter_bins(data, correlation.X, correlation.Y, 0.5, 1.0)
 
 
-@register("jitter")
+def _keyed_normal_sql(key: str, seed: int) -> str:
+    u = [f"((('0x' || substr(md5(concat('{seed}:', {key})), {start}, 8))::BIGINT + 0.5) / 4294967296)"
+         for start in (1, 9)]
+    return f"(sqrt(-2 * ln({u[0]})) * cos({2.0 * 3.141592653589793!r} * {u[1]}))"
+
+
+@register("jitter", "WITH " + CORRELATION_CTE + f"""
+SELECT id, round(spent_assumptions, 6) AS x,
+       round(cup_assumptions + 0.1 * {_keyed_normal_sql('id', 7)}, 6) AS y
+FROM correlation""")
 def q_jitter(spark, sf_dir):
-    """Jittered scatter points (seeded randn; rows-only check)."""
+    """Jittered scatter points: y plus a keyed N(0, 0.1²) draw (O-31)."""
     fit = correlation.fit_correlation(survey(spark, sf_dir))
-    return correlation.jitter(fit)
+    return correlation.jitter(fit).select("id", r6("x").alias("x"), r6("y").alias("y"))
 
 
 # -------------------------------------------------------------------- k-NN

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import keyed_normal
 from ..operators.order import hash_split
 from ..operators.regression import RidgePoly2, curve_grid, fit_ridge_poly2, r2_by_group
 from .cleaning import cleaned_correlation
@@ -57,10 +58,11 @@ def curve(fit: CorrelationFit, n: int = 100) -> DataFrame:
 
 
 def jitter(fit: CorrelationFit, sd: float = 0.1, seed: int = 7) -> DataFrame:
-    """Scatter points with Gaussian jitter on y (O-31); seeded, unlike the
-    original, but still partition-dependent, so compare distributions."""
+    """Scatter points with Gaussian jitter of sd ``sd`` on y (O-31).  The
+    draw is keyed by (seed, respondent id), so it is repeatable and does not
+    depend on partitioning (the original drew unseeded)."""
     return fit.data.select("id", F.col(X).alias("x"),
-                           (F.col(Y) + F.lit(sd) * F.randn(seed)).alias("y"))
+                           (F.col(Y) + F.lit(sd) * keyed_normal("id", seed)).alias("y"))
 
 
 def scatter_bins(data: DataFrame, x: str, y: str, wx: float, wy: float) -> DataFrame:

@@ -60,10 +60,15 @@ def test_exact_split_has_exact_size(spark, sf_dir, frac):
     assert sorted(s.collect()) == sorted(s2.collect())
 
 
-def test_jitter_mean_and_sd(spark):
-    df = spark.range(20000).select(F.lit(1.0).alias("y"), (F.lit(1.0) + 0.1 * F.randn(11)).alias("j"))
-    row = df.agg(F.avg(F.col("j") - F.col("y")).alias("m"), F.stddev(F.col("j") - F.col("y")).alias("s")).first()
-    assert abs(row.m) < 0.005 and abs(row.s - 0.1) < 0.005
+def test_keyed_normal_jitter_mean_sd_and_repeatability(spark):
+    from questa.functions.expr import keyed_normal
+    df = spark.range(40000).select(F.col("id"), (0.1 * keyed_normal("id", 11)).alias("j"))
+    row = df.agg(F.avg("j").alias("m"), F.stddev("j").alias("s"),
+                 F.avg((F.abs(F.col("j")) < 0.1).cast("double")).alias("one_sd")).first()
+    assert abs(row.m) < 0.003 and abs(row.s - 0.1) < 0.003
+    assert abs(row.one_sd - 0.6827) < 0.01              # normal shape
+    again = df.repartition(7).select("id", "j")
+    assert sorted(df.collect()) == sorted(again.collect())
 
 
 def test_recode_is_idempotent(spark, sf_dir):
