@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,26 +24,46 @@ def tidy(df: DataFrame, analysis: str, metrics: list[str], prefix_col: str | Non
 
 
 def worth_report(survey: DataFrame | None = None, d: DataFrame | None = None,
-                 pos: DataFrame | None = None) -> DataFrame:
+                 pos: DataFrame | None = None, threads: int = 4) -> DataFrame:
     """All printed worth results; pass an already materialized decision table
-    ``d`` (and its positions ``pos``) to reuse them."""
+    ``d`` (and its positions ``pos``) to reuse them.
+
+    The analyses are independent and each runs eager jobs while its plan is
+    built (checkpoints, fits, histograms), so they are built from a few
+    driver threads: Spark schedules concurrent jobs side by side, which
+    keeps executors busy while one analysis waits on a small job."""
     d = d if d is not None else worth.decision_table(survey, materialized=True)
-    parts = [tidy(worth.means(d).groupBy().pivot("metric").agg(F.first("value")), "worth",
-                  ["mean_brewing_cost", "mean_outside_cost"])]
     pos = pos if pos is not None else worth.with_positions(d)
-    for target, name in (("brewing_cost", "knn_home"), ("outside_cost", "knn_outside")):
-        r2 = worth.knn_r2(worth.knn_fit_predict(pos, target))
-        parts.append(tidy(r2, name, ["r2", "r"], "split"))
-    counts = value_counts(d, "cheaper_option")
-    parts.append(tidy(counts.withColumn("count", F.col("count").cast("double")), "cheaper_option",
-                      ["count"], "cheaper_option"))
-    res = worth.classify_decision(d)
-    parts.append(tidy(accuracy(res.predictions), "classifier", ["accuracy"]))
     two = long_form(d, ["outside_cost", "brewing_cost"], "g", "v")
-    parts.append(tidy(normaltest(two, "v", ["g"]), "normaltest", ["pvalue"], "g"))
-    parts.append(tidy(levene(two, "v", "g"), "levene", ["w", "pvalue"]))
-    parts.append(tidy(mannwhitney(two, "v", "g", "outside_cost", "brewing_cost"), "mannwhitney",
-                      ["u1", "pvalue"]))
+
+    def means():
+        return tidy(worth.means(d).groupBy().pivot("metric").agg(F.first("value")), "worth",
+                    ["mean_brewing_cost", "mean_outside_cost"])
+
+    def knn(target, name):
+        return tidy(worth.knn_r2(worth.knn_fit_predict(pos, target)), name, ["r2", "r"], "split")
+
+    def counts():
+        c = value_counts(d, "cheaper_option")
+        return tidy(c.withColumn("count", F.col("count").cast("double")), "cheaper_option",
+                    ["count"], "cheaper_option")
+
+    def classifier():
+        return tidy(accuracy(worth.classify_decision(d).predictions), "classifier", ["accuracy"])
+
+    builders = [
+        means,
+        lambda: knn("brewing_cost", "knn_home"),
+        lambda: knn("outside_cost", "knn_outside"),
+        counts,
+        classifier,
+        lambda: tidy(normaltest(two, "v", ["g"]), "normaltest", ["pvalue"], "g"),
+        lambda: tidy(levene(two, "v", "g"), "levene", ["w", "pvalue"]),
+        lambda: tidy(mannwhitney(two, "v", "g", "outside_cost", "brewing_cost"), "mannwhitney",
+                     ["u1", "pvalue"]),
+    ]
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        parts = list(pool.map(lambda build: build(), builders))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
