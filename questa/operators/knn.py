@@ -22,6 +22,8 @@ across partitions by the id in the composite sort key.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +46,20 @@ def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: s
     both = (tr.select("_id", "_x", "_y", F.lit(1).alias("_w"))
             .unionByName(qr.select("_id", "_x", F.lit(None).cast("double").alias("_y"),
                                    F.lit(0).alias("_w"))))
-    ranked, n_train = prefix_sum_total(both, ["_x", "_w", "_id"], "_w", out="_cum",
-                                       partitions=partitions)
+    # the two rankings are independent: their jobs (sample, sort, checkpoint,
+    # offsets) are submitted from two driver threads and run side by side
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        a_job = pool.submit(prefix_sum_total, both, ["_x", "_w", "_id"], "_w", "_cum", True,
+                            partitions)
+        b_job = pool.submit(row_position, tr, [F.col("_x").desc(), F.col("_id").asc()],
+                            "_rank", partitions)
+        ranked, n_train = a_job.result()
+        b_ranked = b_job.result()
     if n_train == 0:
         return query.withColumn(out, F.lit(None).cast("double"))
     side_a = ranked.filter(F.col("_w") == 1).select(
         F.lit("A").alias("_side"), F.col("_cum").alias("_rank"), "_id", "_x", "_y")
-    side_b = row_position(tr, [F.col("_x").desc(), F.col("_id").asc()], out="_rank",
-                          partitions=partitions).select(
-        F.lit("B").alias("_side"), "_rank", "_id", "_x", "_y")
+    side_b = b_ranked.select(F.lit("B").alias("_side"), "_rank", "_id", "_x", "_y")
     train_ranked = side_a.unionByName(side_b)
 
     queries = ranked.filter(F.col("_w") == 0).select(
