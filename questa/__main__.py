@@ -1,7 +1,7 @@
 """Command line: run an analysis on a survey CSV.
 
-    python -m questa correlation --survey GACTT.csv --out results/
-    python -m questa worth --survey GACTT.csv --out results/
+    python -m questa correlation --survey survey.csv --out results/
+    python -m questa worth --survey survey.csv --out results/
 
 Writes the cleaned table as CSV (``correlation.csv/`` or ``worth.csv/``,
 folders of part files), the chart data as Parquet, and the metrics table

@@ -48,7 +48,7 @@ def recode(col: str | Column, mapping: Mapping[str, str], unmatched: str = "pass
            name: str = "value") -> Column:
     """Replace exact labels by values in a single CASE (O-19).
 
-    unmatched: ``"pass"`` keeps the original text (the reference behaviour),
+    unmatched: ``"pass"`` keeps the original text (as the original analysis does),
     ``"null"`` gives null, ``"error"`` fails the job naming the label.
     """
     check_recode_chain(mapping)

@@ -94,7 +94,7 @@ def multiselect_cost(df: DataFrame, options_col: str, qty_col: str, dim: DataFra
                      id_col: str | None = None,
                      inline_max_rows: int = INLINE_MAX_ROWS) -> DataFrame:
     """Add ``out`` = cost of the dearest option (O-32); 0 when the answer is
-    null (the reference's null guard).
+    null (the original analysis' null guard).
 
     The cost table is inlined when it has at most ``inline_max_rows`` rows
     (checked with a bounded ``limit`` collect).  Otherwise ``id_col`` (a
