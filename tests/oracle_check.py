@@ -31,10 +31,12 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
+    """Exact values (both sides already round to 6 decimals themselves); only
+    -0.0 is folded into 0.0 and NaN made comparable."""
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
