@@ -155,11 +155,13 @@ def hash_split(df: DataFrame, key: str, frac: float = 0.75, salt: str = "",
 
 
 def _kth_smallest(hashed: DataFrame, key: str, k: int, hist: list[tuple[str, int]],
-                  max_bucket_rows: int = 5_000_000) -> tuple[str, object]:
+                  max_bucket_rows: int = 1_000_000) -> tuple[str, object]:
     """(hash, key) of the k-th smallest (hash, key), 1-based.  ``hist`` is the
     histogram of 4-hex-digit hash prefixes; the bucket holding rank k is
-    refined with longer prefixes until it is small, then one row is taken
-    with ``offset`` inside it."""
+    refined with longer prefixes until it holds at most ``max_bucket_rows``
+    rows (each refinement is one more filtered pass), then one row is taken
+    with ``offset`` inside it: that final ordered take gathers only the
+    bucket's rows, a bounded amount, in one task."""
     plen, rest = 4, hashed
     while True:
         acc = 0

@@ -143,3 +143,20 @@ def test_hot_value_is_split_across_range_partitions(spark):
     pos = row_position(df, ["x", "id"], partitions=8)
     hot = pos.filter(F.col("x") == 0).agg(F.min("pos"), F.max("pos")).first()
     assert (hot[0], hot[1]) == (1, n // 3)
+
+
+def test_exact_split_refines_large_buckets(spark, sf_dir):
+    """With a tiny bucket bound the k-th hash is found through refined
+    prefixes; the result equals the direct one."""
+    from questa.operators import order
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey")
+    hashed = orders.withColumn("_h", order.key_hash("o_orderkey", "42:"))
+    hist = sorted((r[0], r[1]) for r in hashed.groupBy(F.substring("_h", 1, 4).alias("b"))
+                  .count().collect())
+    n = sum(c for _, c in hist)
+    for k in (1, 7, n // 2, n):
+        direct = order._kth_smallest(hashed.select("_h", "o_orderkey"), "o_orderkey", k, hist)
+        refined = order._kth_smallest(hashed.select("_h", "o_orderkey"), "o_orderkey", k, hist,
+                                      max_bucket_rows=0)
+        want = hashed.orderBy("_h", "o_orderkey").offset(k - 1).first()
+        assert direct == refined == (want["_h"], want["o_orderkey"])
