@@ -49,10 +49,12 @@ def run_correlation(spark: SparkSession, survey_path: str, out: str) -> None:
 
 
 def run_worth(spark: SparkSession, survey_path: str, out: str) -> None:
-    survey = read_survey_csv(spark, survey_path)
+    # the k-NN feature is the row position in file order, as in the original
+    survey = read_survey_csv(spark, survey_path, row_order_col=worth.FILE_ORDER)
     cleaning.export_worth(survey, f"{out}/worth.csv")
-    d = worth.decision_table(survey, key_unique=None, materialized=True)
-    pos = worth.with_positions(d)
+    d = worth.decision_table(survey, key_unique=None, materialized=True,
+                             order_col=worth.FILE_ORDER)
+    pos = worth.with_positions(d, order=worth.FILE_ORDER)
     for target, name in (("brewing_cost", "home"), ("outside_cost", "outside")):
         worth.knn_fit_predict(pos, target).write.mode("overwrite").parquet(f"{out}/chart_knn_{name}")
     cleaning.value_counts(d, "cheaper_option").write.mode("overwrite").parquet(f"{out}/chart_bars")

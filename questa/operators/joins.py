@@ -35,20 +35,21 @@ def assert_unique_key(df: DataFrame, key: str) -> None:
 
 
 def complete_cases(df: DataFrame, key: str, answers: Sequence[str],
-                   key_unique: bool | None = None) -> DataFrame:
+                   key_unique: bool | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Rows whose key and every answer in ``answers`` are present (O-21).
 
     Equivalent to per-question ``dropna`` + inner joins on the key when the
     key is unique.  ``key_unique=None`` verifies that with one aggregate job;
     pass ``True`` for a declared primary key.  Duplicate keys are refused:
-    the join form would emit every pair of a key's rows.
+    the join form would emit every pair of a key's rows.  ``carry`` columns
+    (e.g. the file order) are kept without a null check.
     """
     if key_unique is None:
         assert_unique_key(df, key)
     elif key_unique is False:
         raise ValueError("complete_cases needs a unique key; deduplicate first")
     cols = [key, *answers]
-    return df.select(*cols).filter(not_null_all(cols))
+    return df.select(*cols, *carry).filter(not_null_all(cols))
 
 
 def join_answers(frames: Sequence[DataFrame], key: str) -> DataFrame:

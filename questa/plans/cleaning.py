@@ -30,19 +30,28 @@ def equipment_cost(col: str = "equip") -> F.Column:
     return strict_cast(recode(col, EQUIP_CODEBOOK), "int", name="equip")
 
 
-def cleaned_correlation(survey: DataFrame, key_unique: bool | None = None) -> DataFrame:
-    """(id, cup_assumptions double, spent_assumptions double) (O-35)."""
-    cc = complete_cases(survey, "id", ["cups", "spend"], key_unique=key_unique)
-    return cc.select("id", cups_per_day(to="double").alias("cup_assumptions"),
+def _carry(survey: DataFrame, order_col: str | None) -> list[str]:
+    return [order_col] if order_col and order_col in survey.columns else []
+
+
+def cleaned_correlation(survey: DataFrame, key_unique: bool | None = None,
+                        order_col: str | None = None) -> DataFrame:
+    """(id, cup_assumptions double, spent_assumptions double) (O-35), plus
+    ``order_col`` (the file order) when the survey has it."""
+    carry = _carry(survey, order_col)
+    cc = complete_cases(survey, "id", ["cups", "spend"], key_unique=key_unique, carry=carry)
+    return cc.select("id", *carry, cups_per_day(to="double").alias("cup_assumptions"),
                      spend_per_day().alias("spent_assumptions"))
 
 
 def cleaned_worth(survey: DataFrame, key_unique: bool | None = None,
-                  cost_table: DataFrame | None = None) -> DataFrame:
+                  cost_table: DataFrame | None = None, order_col: str | None = None) -> DataFrame:
     """(id, cup_assumptions int, spent_assumptions double, eq_assumptions int,
-    brewing_cost double) (O-36)."""
-    cc = complete_cases(survey, "id", ["cups", "spend", "equip", "methods"], key_unique=key_unique)
-    recoded = cc.select("id", "methods",
+    brewing_cost double) (O-36), plus ``order_col`` when the survey has it."""
+    carry = _carry(survey, order_col)
+    cc = complete_cases(survey, "id", ["cups", "spend", "equip", "methods"], key_unique=key_unique,
+                        carry=carry)
+    recoded = cc.select("id", "methods", *carry,
                         cups_per_day().alias("cup_assumptions"),
                         spend_per_day().alias("spent_assumptions"),
                         equipment_cost().alias("eq_assumptions"))
@@ -51,7 +60,7 @@ def cleaned_worth(survey: DataFrame, key_unique: bool | None = None,
     else:
         priced = multiselect_cost(recoded, "methods", "cup_assumptions", cost_table,
                                   out="brewing_cost", id_col="id")
-    return priced.select("id", "cup_assumptions", "spent_assumptions", "eq_assumptions",
+    return priced.select("id", *carry, "cup_assumptions", "spent_assumptions", "eq_assumptions",
                          "brewing_cost")
 
 

@@ -20,16 +20,17 @@ from ..session import materialize
 from .cleaning import cleaned_worth, decision
 
 TEST_SEED = 42
+FILE_ORDER = "_file_row"
 KNN_SALTS = {"brewing_cost": "worth-home", "outside_cost": "worth-outside"}
 
 
 def decision_table(survey: DataFrame, key_unique: bool | None = True,
-                   materialized: bool = False) -> DataFrame:
+                   materialized: bool = False, order_col: str | None = None) -> DataFrame:
     """Cleaned worth rows with the decision columns.  ``materialized`` writes
     it once to the checkpoint folder: its lineage (lines joined to parts,
     aggregated per order, joined to orders) is the expensive part, and the
     multi-pass analyses below scan it several times."""
-    d = decision(cleaned_worth(survey, key_unique=key_unique))
+    d = decision(cleaned_worth(survey, key_unique=key_unique, order_col=order_col))
     return materialize(d) if materialized else d
 
 
@@ -50,11 +51,14 @@ KNN_COLUMNS = ("id", "brewing_cost", "outside_cost")
 def with_positions(df: DataFrame, order: str = "id",
                    columns: tuple[str, ...] | None = KNN_COLUMNS) -> DataFrame:
     """Row position 1..n as the regression feature.  The original used the
-    implicit join order; here the order is explicit (the respondent id).
-    Only ``columns`` are carried through the sort (all when None)."""
+    order of its joined frame, i.e. the file order of the complete cases:
+    pass ``order=FILE_ORDER`` for a survey read with
+    ``read_survey_csv(..., row_order_col=FILE_ORDER)``.  The default orders
+    by respondent id.  Only ``columns`` are carried through the sort (all
+    when None); the order column breaks no ties as it is unique."""
     if columns is not None:
-        df = df.select(*columns)
-    return row_position(df, [order], out="pos")
+        df = df.select(*dict.fromkeys([*columns, order]))
+    return row_position(df, [order, "id"] if order != "id" else ["id"], out="pos")
 
 
 def knn_fit_predict(positioned: DataFrame, target: str, k: int = 5,

@@ -25,13 +25,19 @@ def _quoted(name: str) -> str:
 def read_survey_csv(spark: SparkSession, path: str,
                     columns: Mapping[str, str] = SHORT_NAMES,
                     na_tokens: Iterable[str] = PANDAS_NA_TOKENS,
-                    multiline: bool = True) -> DataFrame:
+                    multiline: bool = True, row_order_col: str | None = None) -> DataFrame:
     """Read a header CSV and return ``columns`` (short name -> header text)
     as string columns, NA tokens mapped to null.
 
     ``multiline`` handles quoted newlines inside answers; it makes each file
     a single split, so at scale turn it off for files known to be one record
     per line (or convert the survey to Parquet once).
+
+    ``row_order_col`` adds the file order of each record, taken right after
+    the scan with ``monotonically_increasing_id`` (increasing in file order
+    for one file: a multi-line file is one split, and the splits of a plain
+    file keep their offset order).  The original analysis' row positions
+    follow this order.
     """
     raw = (spark.read.option("header", True)
            .option("multiLine", multiline)
@@ -44,8 +50,9 @@ def read_survey_csv(spark: SparkSession, path: str,
     if missing:
         raise ValueError(f"survey file lacks questions: {missing}")
     tokens = list(na_tokens)
+    order = [F.monotonically_increasing_id().alias(row_order_col)] if row_order_col else []
     return raw.select(*[na_tokens_to_null(F.col(_quoted(by_text[header])), tokens).alias(short)
-                        for short, header in columns.items()])
+                        for short, header in columns.items()], *order)
 
 
 def to_questionnaire(df: DataFrame, columns: Mapping[str, str] = SHORT_NAMES) -> DataFrame:

@@ -183,3 +183,23 @@ def test_survey_reader_ignores_byte_order_mark(spark, tmp_path):
     p.write_bytes("﻿Submission ID,Q\nr1,a\n".encode("utf-8"))
     df = read_survey_csv(spark, str(p), {"id": "Submission ID", "q": "Q"})
     assert [tuple(r) for r in df.collect()] == [("r1", "a")]
+
+
+def test_positions_follow_file_order(spark, tmp_path):
+    """Read with a file-order column, the k-NN positions are the ranks of the
+    complete cases in file order (the original's row positions), not ids."""
+    from questa.plans import worth
+    header = ('"Submission ID","How many cups of coffee do you typically drink per day?",'
+              '"In total, much money do you typically spend on coffee in a month?",'
+              '"Approximately how much have you spent on coffee equipment in the past 5 years?",'
+              '"How do you brew coffee at home?"\n')
+    rows = ['z9,2,<$20,$20-$50,Pour over\n', 'a1,1,$20-$40,$50-$100,Espresso\n',
+            'm5,,<$20,$20-$50,Pour over\n', 'b2,3,>$100,Less than $20,French press\n']
+    p = tmp_path / "s.csv"
+    p.write_text(header + "".join(rows))
+    survey = read_survey_csv(spark, str(p), row_order_col=worth.FILE_ORDER)
+    d = worth.decision_table(survey, key_unique=None, order_col=worth.FILE_ORDER)
+    pos = {r.id: r.pos for r in worth.with_positions(d, order=worth.FILE_ORDER).collect()}
+    assert pos == {"z9": 1, "a1": 2, "b2": 3}          # m5 is not a complete case
+    by_id = {r.id: r.pos for r in worth.with_positions(d).collect()}
+    assert by_id == {"a1": 1, "b2": 2, "z9": 3}
