@@ -31,12 +31,17 @@ from .order import prefix_sum_total, row_position
 
 
 def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: str,
-                   k: int = 5, out: str = "pred", partitions: int | None = None) -> DataFrame:
+                   k: int = 5, out: str = "pred", partitions: int | None = None,
+                   unique_x: bool | None = None) -> DataFrame:
     """``query`` plus ``out`` = mean ``y`` of its ``k`` nearest training rows.
 
     ``id_col`` must be unique within ``train`` and within ``query`` (a row
     may appear in both, as when scoring the training set).  Training rows
-    without x or y are left out; queries without x get a null prediction."""
+    without x or y are left out; queries without x get a null prediction.
+
+    When the training x values are unique (``unique_x``; checked with one
+    aggregate when None), the left-side rank is ``n - a + 1`` and the second
+    sort is skipped; row positions are unique by construction."""
     tr = (train.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
                        F.col(y).cast("double").alias("_y"))
           .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
@@ -46,20 +51,32 @@ def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: s
     both = (tr.select("_id", "_x", "_y", F.lit(1).alias("_w"))
             .unionByName(qr.select("_id", "_x", F.lit(None).cast("double").alias("_y"),
                                    F.lit(0).alias("_w"))))
-    # the two rankings are independent: their jobs (sample, sort, checkpoint,
-    # offsets) are submitted from two driver threads and run side by side
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        a_job = pool.submit(prefix_sum_total, both, ["_x", "_w", "_id"], "_w", "_cum", True,
-                            partitions)
-        b_job = pool.submit(row_position, tr, [F.col("_x").desc(), F.col("_id").asc()],
-                            "_rank", partitions)
-        ranked, n_train = a_job.result()
-        b_ranked = b_job.result()
+    if unique_x is None:
+        unique_x = tr.groupBy("_x").count().filter(F.col("count") > 1).limit(1).count() == 0
+    if unique_x:
+        ranked, n_train = prefix_sum_total(both, ["_x", "_w", "_id"], "_w", "_cum", True,
+                                           partitions)
+        b_ranked = None
+    else:
+        # the two rankings are independent: their jobs (sample, sort,
+        # checkpoint, offsets) are submitted from two driver threads
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            a_job = pool.submit(prefix_sum_total, both, ["_x", "_w", "_id"], "_w", "_cum", True,
+                                partitions)
+            b_job = pool.submit(row_position, tr, [F.col("_x").desc(), F.col("_id").asc()],
+                                "_rank", partitions)
+            ranked, n_train = a_job.result()
+            b_ranked = b_job.result()
     if n_train == 0:
         return query.withColumn(out, F.lit(None).cast("double"))
     side_a = ranked.filter(F.col("_w") == 1).select(
         F.lit("A").alias("_side"), F.col("_cum").alias("_rank"), "_id", "_x", "_y")
-    side_b = b_ranked.select(F.lit("B").alias("_side"), "_rank", "_id", "_x", "_y")
+    if b_ranked is None:     # unique x: (x desc, id) order is the reverse of (x, id)
+        side_b = side_a.select(F.lit("B").alias("_side"),
+                               (F.lit(n_train) - F.col("_rank") + 1).alias("_rank"),
+                               "_id", "_x", "_y")
+    else:
+        side_b = b_ranked.select(F.lit("B").alias("_side"), "_rank", "_id", "_x", "_y")
     train_ranked = side_a.unionByName(side_b)
 
     queries = ranked.filter(F.col("_w") == 0).select(

@@ -69,7 +69,8 @@ def knn_fit_predict(positioned: DataFrame, target: str, k: int = 5,
     data = hash_split(positioned.select("id", "pos", F.col(target).alias("y")), "id", 0.75,
                       salt=salt)
     train = data.filter(F.col("split") == "train")
-    return knn_regress_1d(train, data, "pos", "y", "id", k=k)
+    # positions are unique by construction: no second ranking needed
+    return knn_regress_1d(train, data, "pos", "y", "id", k=k, unique_x=True)
 
 
 def knn_r2(pred: DataFrame) -> DataFrame:

@@ -166,3 +166,20 @@ def test_knn_null_feature_and_target(spark):
     assert got[4] is None                      # no feature, no prediction
     assert got[1] == pytest.approx(20.0)       # neighbours 1 and 3 (2 has no target)
     assert got[5] == pytest.approx(40.0)
+
+
+@pytest.mark.parametrize("unique_x", [None, True, False])
+def test_knn_unique_x_paths_agree(spark, unique_x):
+    rng = np.random.default_rng(8)
+    n = 300
+    x = rng.permutation(n).astype(float)               # unique feature values
+    y = rng.normal(0, 1, n)
+    train = np.arange(n)[rng.random(n) < 0.7]
+    df = spark.createDataFrame([(int(i), float(a), float(b)) for i, a, b in zip(range(n), x, y)],
+                               "id long, x double, y double")
+    tr = df.filter(F.col("id").isin([int(i) for i in train]))
+    got = {r.id: r.pred for r in knn_regress_1d(tr, df, "x", "y", "id", k=5,
+                                                 unique_x=unique_x).collect()}
+    want = _knn_brute(x[train], y[train], train, x, 5)
+    for i, w in zip(range(n), want):
+        assert got[i] == pytest.approx(w, abs=1e-12)
