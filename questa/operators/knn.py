@@ -69,15 +69,21 @@ def knn_regress_1d(train: DataFrame, query: DataFrame, x: str, y: str, id_col: s
             b_ranked = b_job.result()
     if n_train == 0:
         return query.withColumn(out, F.lit(None).cast("double"))
-    side_a = ranked.filter(F.col("_w") == 1).select(
-        F.lit("A").alias("_side"), F.col("_cum").alias("_rank"), "_id", "_x", "_y")
-    if b_ranked is None:     # unique x: (x desc, id) order is the reverse of (x, id)
-        side_b = side_a.select(F.lit("B").alias("_side"),
-                               (F.lit(n_train) - F.col("_rank") + 1).alias("_rank"),
-                               "_id", "_x", "_y")
+    train_a = ranked.filter(F.col("_w") == 1)
+    if b_ranked is None:
+        # unique x: (x desc, id) order is the reverse of (x, id), so each
+        # training row yields both of its rank rows from one projection
+        ranks = F.array(F.struct(F.lit("A").alias("s"), F.col("_cum").alias("r")),
+                        F.struct(F.lit("B").alias("s"),
+                                 (F.lit(n_train) - F.col("_cum") + 1).alias("r")))
+        train_ranked = (train_a.select(F.explode(ranks).alias("_sr"), "_id", "_x", "_y")
+                        .select(F.col("_sr.s").alias("_side"), F.col("_sr.r").alias("_rank"),
+                                "_id", "_x", "_y"))
     else:
+        side_a = train_a.select(F.lit("A").alias("_side"), F.col("_cum").alias("_rank"),
+                                "_id", "_x", "_y")
         side_b = b_ranked.select(F.lit("B").alias("_side"), "_rank", "_id", "_x", "_y")
-    train_ranked = side_a.unionByName(side_b)
+        train_ranked = side_a.unionByName(side_b)
 
     queries = ranked.filter(F.col("_w") == 0).select(
         F.col("_id").alias("_qid"), F.col("_x").alias("_qx"), F.col("_cum").alias("_r"))
