@@ -20,3 +20,15 @@ def test_cli_analyses(spark, sf_dir, tmp_path, capsys):
     assert spark.read.parquet(out + "/chart_bars").count() == 2
     metrics = read_csv_strings(spark, out + "/worth_metrics")
     assert metrics.filter("metric = 'accuracy'").count() == 1
+
+
+def test_worth_report_threads_do_not_change_results(spark, sf_dir):
+    from questa.plans import worth
+    from questa.plans.report import worth_report
+    d = worth.decision_table(derived_survey(spark, sf_dir), materialized=True)
+    pos = worth.with_positions(d)
+    one = {(r.analysis, r.metric): r.value for r in worth_report(d=d, pos=pos, threads=1).collect()}
+    four = {(r.analysis, r.metric): r.value for r in worth_report(d=d, pos=pos, threads=4).collect()}
+    assert one.keys() == four.keys() and len(one) == 19
+    for k in one:
+        assert one[k] == four[k] or abs(one[k] - four[k]) <= 1e-9 * max(1.0, abs(one[k])), k
