@@ -102,10 +102,16 @@ def multiselect_cost(df: DataFrame, options_col: str, qty_col: str, dim: DataFra
     """
     rows = _bounded_rows(dim.select(key, primary, secondary), inline_max_rows)
     if rows is not None:
+        keys = [r[0] for r in rows if r[0] is not None]
+        if len(keys) != len(set(keys)):
+            raise ValueError(f"cost table has repeated {key!r} values; one cost per option")
         costs = cost_map({r[0]: (r[1] or 0.0, r[2] or 0.0) for r in rows if r[0] is not None})
         return multiselect_cost_inline(df, options_col, qty_col, costs, amortize, out, sep)
     if id_col is None:
         raise ValueError("cost table too large to inline; pass id_col for the join path")
+    dup = dim.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"cost table has repeated {key!r} values (e.g. {dup[0][key]!r})")
     return multiselect_cost_join(df, options_col, qty_col, dim, key, primary, secondary,
                                  amortize, out, sep, id_col)
 

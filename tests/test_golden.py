@@ -203,3 +203,13 @@ def test_positions_follow_file_order(spark, tmp_path):
     assert pos == {"z9": 1, "a1": 2, "b2": 3}          # m5 is not a complete case
     by_id = {r.id: r.pos for r in worth.with_positions(d).collect()}
     assert by_id == {"a1": 1, "b2": 2, "z9": 3}
+
+
+@pytest.mark.parametrize("inline_max_rows", [256, 0])
+def test_cost_table_with_repeated_option_is_refused(spark, inline_max_rows):
+    dim = spark.createDataFrame([("Espresso", 1.0, 1.0), ("Espresso", 2.0, 2.0)],
+                                "method string, upfront double, per_use double")
+    df = spark.createDataFrame([("1", "Espresso", 1)], "id string, methods string, cups int")
+    with pytest.raises(ValueError, match="repeated"):
+        multiselect_cost(df, "methods", "cups", dim, id_col="id",
+                         inline_max_rows=inline_max_rows).collect()

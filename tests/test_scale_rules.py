@@ -19,6 +19,7 @@ BOUNDED_COLLECTS = {
     ("operators/order.py", "rest.groupBy(pcol"): "at most 65,536 prefix buckets",
     ("operators/order.py", ".count().collect()), key=lambda"): "at most 65,536 prefix buckets",
     ("operators/cost.py", "dim.limit(limit + 1)"): "at most limit + 1 rows",
+    ("operators/cost.py", "count\") > 1).limit(1)"): "at most one repeated key",
     ("operators/joins.py", ".limit(1).collect()"): "at most one duplicate key",
     ("__main__.py", "rows = report.collect()"): "a metrics table of a few rows",
 }
