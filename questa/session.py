@@ -86,3 +86,23 @@ def materialize(df):
         return held.checkpoint(eager=True)
     finally:
         held.unpersist()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers (once per context):
+    a zip of its sources is handed to the executors, whatever folder they run
+    in."""
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_questa_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="questa-src-"), "questa.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("questa", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._questa_shipped = True
