@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: A list of ids is broadcast up to this many rows (16 MB of longs).
 BROADCAST_IDS = 1_000_000
 
 
+def ready(spark: SparkSession) -> None:
+    """What the operators need of a session: the shared folder, and this
+    package on the executors."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

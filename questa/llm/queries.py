@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, langid, simhash
+from ..session import scratch_path
+from . import bpe, html, langid, simhash, urlfilter, warc
 from .common import read_table
 
 
@@ -23,6 +25,25 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(ids, path, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe)}
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html.extract(pages, html.learn(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+URL_RULES = (urlfilter.Rule("net", "/", "block"), urlfilter.Rule("example.net", "/en/", "allow"),
+             urlfilter.Rule("example.com", "/de/", "block"), urlfilter.Rule("org", "/fr/", "allow"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, URL_RULES, urlfilter.hosts_with_words(pages))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_html, op6_warc, op7_url_filter)}
 
 ORACLE_SQL: dict[str, str] = {}
