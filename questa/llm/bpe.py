@@ -76,7 +76,7 @@ class MergeReplay:
         self.byte = [self.rank[bytes([i])] for i in range(256)]
         self.pairs: dict[int, int] = {}
         self.table = None
-        #: word -> one-element list holding its packed ids (None: not made yet)
+        #: word -> [its packed ids, how many they are]
         self.known: dict[str, list] = {}
 
     def find(self, text: str) -> list[str]:
@@ -223,31 +223,39 @@ class MergeReplay:
                     break
         return [x for x in ids if x >= 0]
 
-    def encode_block(self, texts: Iterable[str]) -> list[bytes]:
-        """The packed ids of each text, one replay for the whole block."""
+    def block(self, texts: Iterable[str], words: bool = True) -> list[tuple[list[str], list[list]]]:
+        """Each text's pre-tokens (if asked for) and, for each, its entry
+        [packed ids, number of ids]; one replay for the words not known yet."""
         if len(self.known) > HELD_WORDS:
             self.known = {}
         known, new = self.known, []
 
         def add(word: str) -> list:
             new.append(word)
-            held = known[word] = [None]
-            return held
+            entry = known[word] = [b"", 0]
+            return entry
 
         get = known.get
-        split = [[get(w) or add(w) for w in self.find(t)] for t in texts]
+        out = []
+        for t in texts:
+            ws = self.find(t)
+            out.append((ws if words else [], [get(w) or add(w) for w in ws]))
         for w in new:
-            if len(w) > LONG:
+            if len(w) > LONG:  # not kept; its texts hold the entry
                 ids = self.replay_long(w.encode("utf-8", "surrogatepass"))
-                known.pop(w)[0] = np.asarray(ids, "<u4").tobytes()  # its texts hold it on
+                known.pop(w)[:] = np.asarray(ids, "<u4").tobytes(), len(ids)
         new = [w for w in new if len(w) <= LONG]
         if new:
             packed, ends = self.replay([w.encode("utf-8", "surrogatepass") for w in new])
             lo = 0
-            for w, hi in zip(new, (4 * ends).tolist()):
-                known[w][0] = packed[lo:hi]
+            for w, hi in zip(new, ends.tolist()):
+                known[w][:] = packed[4 * lo:4 * hi], hi - lo
                 lo = hi
-        return [b"".join([held[0] for held in ws]) for ws in split]
+        return out
+
+    def encode_block(self, texts: Iterable[str]) -> list[bytes]:
+        """The packed ids of each text."""
+        return [b"".join([e[0] for e in entries]) for _, entries in self.block(texts, words=False)]
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, in blocks of about BLOCK code points."""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, html, langid, simhash, urlfilter, warc
+from . import bpe, html, langid, simhash, tokencounts, urlfilter, warc
 from .common import read_table
 
 
@@ -30,6 +30,28 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages, html.learn(pages)).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def document_edits(docs: DataFrame) -> DataFrame:
+    """Four edits of each document, from its own text: its first line goes, its
+    source is put in the middle, the last tenth is replaced by the first 40
+    characters, and a line with its language is appended."""
+    n = F.length("text")
+    edit = lambda seq, start, stop, new: F.struct(
+        F.lit(seq).alias("seq"), F.lit(start).cast("long").alias("start"),
+        F.lit(stop).cast("long").alias("stop"), new.alias("new"))
+    none, end = F.lit(""), F.lit(2 ** 40)
+    return docs.select("doc_id", F.inline(F.array(
+        edit(1, F.lit(0), F.instr("text", "\n"), none),
+        edit(2, F.floor(n / 2), F.floor(n / 2), F.coalesce("source", none)),
+        edit(3, F.floor(n * 0.6), F.floor(n * 0.7), F.substring("text", 1, 40)),
+        edit(4, end, end, F.concat(F.lit("\nlang: "), F.coalesce("lang", none))))))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return tokencounts.edited_counts(docs, document_edits(docs), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                     public_tokenizers.PATTERN)
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -44,6 +66,6 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, URL_RULES, urlfilter.hosts_with_words(pages))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_html, op6_warc, op7_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_html, op5_token_counts, op6_warc, op7_url_filter)}
 
 ORACLE_SQL: dict[str, str] = {}
