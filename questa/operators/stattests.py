@@ -2,9 +2,7 @@
 
 Each test makes its data pass(es) in Spark and ends in a one-row (or
 one-row-per-group) table of statistics; the formulas are column
-expressions.  Only the final p-value of Levene's and the Mann-Whitney test
-needs a special function (incomplete beta, erfc), applied by an
-Arrow-batched pandas UDF to that one row.
+expressions, the p-values included (``functions.special``).
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.special import f_sf_udf, normal_two_sided_p_udf
+from ..functions.special import EXACT_U_MAX, f_sf, rank_sum_tail, two_sided_normal_p
 from ..session import materialize
 from .joins import join_per_group
 from .order import prefix_sum
@@ -53,10 +51,11 @@ def kurtosis_z(n: Column, excess: Column) -> Column:
 def normaltest(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """D'Agostino-Pearson K² test per group (O-52): one aggregate pass
     (count, population skewness and excess kurtosis), then formulas.
-    p = exp(-K²/2), the chi-square(2) tail.  Null below 8 observations."""
+    p = exp(-K²/2), the chi-square(2) tail.  Null below 8 observations.  Rows
+    with a null group or value are left out."""
     g = list(group_cols)
     v = F.col(value).cast("double")
-    agg = (df.filter(v.isNotNull()).groupBy(*g)
+    agg = (df.filter(v.isNotNull()).na.drop(subset=g or [value]).groupBy(*g)
            .agg(F.count(F.lit(1)).alias("n"), F.skewness(v).alias("skew"),
                 F.kurtosis(v).alias("kurt")))
     n = F.col("n").cast("double")
@@ -72,19 +71,23 @@ def normaltest(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> Dat
 
 def levene_stat(df: DataFrame, value: str, group: str) -> DataFrame:
     """Levene/Brown-Forsythe W with median centring (O-53), one row:
-    (k, n, w, df1, df2).  Medians are exact (see ``exact_quantile``)."""
+    (k, n, w, df1, df2).  Medians are exact (see ``exact_quantile``).  Rows
+    with a null group or value are left out."""
     v = F.col(value).cast("double")
-    base = df.select(F.col(group).alias("_g"), v.alias("_v")).filter(F.col("_v").isNotNull())
+    base = df.select(F.col(group).alias("_g"), v.alias("_v")).filter(
+        F.col("_v").isNotNull() & F.col("_g").isNotNull())
     med = materialize(exact_quantile(base, ["_g"], "_v", 0.5, out="_med").select("_g", "_med"))
     z = join_per_group(base, med, ["_g"]).select("_g", F.abs(F.col("_v") - F.col("_med")).alias("_z"))
     per = z.groupBy("_g").agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"),
                               (F.var_pop("_z") * F.count(F.lit(1))).alias("ssi"))
+    per = materialize(per)
+    # the mean first (one number), then squares around it: nothing cancels
+    mean = per.agg(F.sum(F.col("ni") * F.col("zi")) / F.sum("ni")).first()[0]
+    off = F.col("zi") - F.lit(mean).cast("double")
     tot = per.agg(F.count(F.lit(1)).alias("k"), F.sum("ni").alias("n"),
-                  F.sum(F.col("ni") * F.col("zi")).alias("sz"),
-                  F.sum(F.col("ni") * F.col("zi") * F.col("zi")).alias("szz"),
-                  F.sum("ssi").alias("within"))
+                  F.sum(F.col("ni") * off * off).alias("between"), F.sum("ssi").alias("within"))
     k, n = F.col("k").cast("double"), F.col("n").cast("double")
-    between = F.col("szz") - F.col("sz") * F.col("sz") / n
+    between = F.col("between")
     # one group, or no spread inside the groups: undefined, null (not an error)
     w = F.try_divide((n - k) * between, (k - 1) * F.col("within"))
     return tot.select(F.col("k"), F.col("n"), w.alias("w"), (k - 1).alias("df1"), (n - k).alias("df2"))
@@ -92,7 +95,7 @@ def levene_stat(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def levene(df: DataFrame, value: str, group: str) -> DataFrame:
     stat = levene_stat(df, value, group)
-    return stat.withColumn("pvalue", f_sf_udf(F.col("w"), F.col("df1"), F.col("df2")))
+    return stat.withColumn("pvalue", f_sf(F.col("w"), F.col("df1"), F.col("df2")))
 
 
 # ---------------------------------------------------------- Mann-Whitney
@@ -142,8 +145,14 @@ def mannwhitney_stat(df: DataFrame, value: str, group: str, a: str, b: str,
 
 def mannwhitney(df: DataFrame, value: str, group: str, a: str, b: str,
                 partitions: int | None = None) -> DataFrame:
+    """:func:`mannwhitney_stat` with ``pvalue``: exact where ``exact_case`` is
+    set and U has at most EXACT_U_MAX values (for a larger second sample the
+    normal approximation is used), else from ``z``."""
     stat = mannwhitney_stat(df, value, group, a, b, partitions)
-    return stat.withColumn("pvalue", normal_two_sided_p_udf(F.col("z")))
+    m, n = F.least("n1", "n2"), F.greatest("n1", "n2")
+    counted = F.col("exact_case") & (m >= 1) & (m * n <= EXACT_U_MAX)
+    return stat.withColumn("pvalue", F.when(
+        counted, F.least(F.lit(1.0), 2 * rank_sum_tail(m, n, F.ceil("u")))).otherwise(two_sided_normal_p(F.col("z"))))
 
 
 def long_form(df: DataFrame, cols: Sequence[str], group: str = "g", value: str = "v") -> DataFrame:
