@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, html, langid, simhash, tokencounts, urlfilter, warc
+from . import bpe, decontam, html, langid, quality, secrets, simhash, tokencounts, urlfilter, warc
 from .common import read_table
 
 
@@ -66,6 +66,19 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, URL_RULES, urlfilter.hosts_with_words(pages))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_html, op5_token_counts, op6_warc, op7_url_filter)}
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(read_table(spark, sf_dir, "documents")))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_html, op5_token_counts, op6_warc, op7_url_filter,
+                                    op8_secrets, op9_quality, op10_decontamination)}
 
 ORACLE_SQL: dict[str, str] = {}
