@@ -310,8 +310,9 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids",
     return encoded.withColumn(out, back(encoded[ids]))
 
 
-def digests(decoded: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of encoded, decoded rows."""
+def digests(decoded: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256, *carry) of encoded, decoded
+    rows."""
     return decoded.select(key, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"))
+                          F.sha2("decoded", 256).alias("decoded_sha256"), *carry)
