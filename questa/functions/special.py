@@ -139,7 +139,7 @@ def erfc(t: Column) -> Column:
 def two_sided_normal_p(z: Column) -> Column:
     """min(1, erfc(z / sqrt 2)): twice the upper tail, so 1 for a negative z
     (as a continuity correction can make it)."""
-    return F.least(F.lit(1.0), erfc(z / math.sqrt(2.0)))
+    return F.when(z.isNotNull(), F.least(F.lit(1.0), erfc(z / math.sqrt(2.0))))
 
 
 #: Exact rank-sum tails are counted up to this many values of U.

@@ -5,8 +5,7 @@ option with the highest *primary* cost (first option wins ties, unknown
 options cost 0), then ``primary / amortize + secondary * quantity`` for that
 same option.  A small cost table (the normal case: ten methods) is inlined as
 constant maps, so the whole thing is one codegen'd projection with no join
-and no shuffle.  A large table takes the distributed path: explode, join,
-``max_by`` per row id.
+and no shuffle.  A large table is joined to the distinct answers.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.codebooks import (DAYS_PER_YEAR, METHOD_PER_USE_COST, METHOD_SEPARATOR,
                                    METHOD_UPFRONT_COST, OTHER_KEY)
 from ..functions.expr import split_multiselect
+from .joins import join_per_group
 
 # A constant map lookup scans its keys linearly, so inlining pays only for
 # small tables (measured: faster than the join path at 10-100 entries, 20x
@@ -91,29 +91,28 @@ def multiselect_cost(df: DataFrame, options_col: str, qty_col: str, dim: DataFra
                      key: str = "method", primary: str = "upfront",
                      secondary: str = "per_use", amortize: float = DAYS_PER_YEAR,
                      out: str = "brewing_cost", sep: str = METHOD_SEPARATOR,
-                     id_col: str | None = None,
                      inline_max_rows: int = INLINE_MAX_ROWS) -> DataFrame:
-    """Add ``out`` = cost of the dearest option (O-32); 0 when the answer is
-    null (the original analysis' null guard).
+    """Add ``out`` = cost of the dearest option (O-32), one row per input row;
+    0 when the answer is null (the original analysis' null guard).
 
     The cost table is inlined when it has at most ``inline_max_rows`` rows
-    (checked with a bounded ``limit`` collect).  Otherwise ``id_col`` (a
-    unique row id) is required and the distributed path is used.
+    (checked with a bounded ``limit`` collect), else joined; both give the
+    same rows.  A null option in the table is ignored, a null cost counts as
+    0, a repeated option is refused.
     """
-    rows = _bounded_rows(dim.select(key, primary, secondary), inline_max_rows)
+    dim = dim.filter(F.col(key).isNotNull()).select(
+        F.col(key), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in (primary, secondary)])
+    rows = _bounded_rows(dim, inline_max_rows)
     if rows is not None:
-        keys = [r[0] for r in rows if r[0] is not None]
-        if len(keys) != len(set(keys)):
+        if len(rows) != len({r[0] for r in rows}):
             raise ValueError(f"cost table has repeated {key!r} values; one cost per option")
-        costs = cost_map({r[0]: (r[1] or 0.0, r[2] or 0.0) for r in rows if r[0] is not None})
+        costs = cost_map({r[0]: (r[1], r[2]) for r in rows})
         return multiselect_cost_inline(df, options_col, qty_col, costs, amortize, out, sep)
-    if id_col is None:
-        raise ValueError("cost table too large to inline; pass id_col for the join path")
     dup = dim.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"cost table has repeated {key!r} values (e.g. {dup[0][key]!r})")
     return multiselect_cost_join(df, options_col, qty_col, dim, key, primary, secondary,
-                                 amortize, out, sep, id_col)
+                                 amortize, out, sep)
 
 
 def cost_map(table: Mapping[str, tuple[float, float]]) -> Column:
@@ -146,25 +145,22 @@ def cost_from_best(options_col: str, qty_col: str, best_col: str,
 
 def multiselect_cost_join(df: DataFrame, options_col: str, qty_col: str, dim: DataFrame,
                           key: str, primary: str, secondary: str, amortize: float,
-                          out: str, sep: str, id_col: str) -> DataFrame:
-    """Distributed path for large cost tables: ``posexplode_outer`` the
-    options (a null answer keeps one row), left-join the table (AQE chooses
-    broadcast or sort-merge from the runtime size), then one aggregate per
-    row id keeps the whole input row of the option maximising (cost,
-    -position) with ``max_by``.  The input is read once (no join back), and
-    a row id has only a handful of options."""
-    rest = [c for c in df.columns if c != id_col]
-    opts = df.select("*", F.posexplode_outer(split_multiselect(options_col, sep))
-                     .alias("_pos", "_opt"))
-    costs = dim.select(F.col(key).alias("_opt"), F.col(primary).alias("_p"),
-                       F.col(secondary).alias("_s"))
-    scored = (opts.join(costs, "_opt", "left")
-              .withColumn("_p", F.coalesce("_p", F.lit(0.0)))
-              .withColumn("_s", F.coalesce("_s", F.lit(0.0))))
-    best = scored.groupBy(id_col).agg(F.max_by(
-        F.struct(*rest, "_p", "_s"),
-        F.struct(F.col("_p"), -F.coalesce(F.col("_pos"), F.lit(0)))).alias("_b"))
-    flat = best.select(id_col, "_b.*")
-    cost = F.col("_p") / F.lit(float(amortize)) + F.col("_s") * F.col(qty_col)
-    return (flat.withColumn(out, F.when(F.col(options_col).isNull(), F.lit(0.0)).otherwise(cost))
+                          out: str, sep: str) -> DataFrame:
+    """Path for large cost tables.  The winning option depends on the answer
+    alone, so each *distinct* answer is exploded and priced once (the table is
+    broadcast while a count shows it is small, else shuffled), and the rows
+    get their answer's result back by a left join: no row key is needed and
+    no rows are merged."""
+    text, best = "_cost_answer", "_best_costs"
+    answers = df.select(F.col(options_col).alias(text)).filter(F.col(text).isNotNull()).distinct()
+    options = answers.select(text, F.posexplode(split_multiselect(text, sep)).alias("_pos", "_opt"))
+    costs = dim.select(F.col(key).alias("_opt"), F.struct(F.col(primary).alias("p"),
+                                                          F.col(secondary).alias("s")).alias("_c"))
+    scored = join_per_group(options, costs, ["_opt"], how="left")
+    won = scored.groupBy(text).agg(F.max_by(
+        F.struct("_c"), F.struct(F.coalesce(F.col("_c.p"), F.lit(0.0)), -F.col("_pos"))).alias("_w"))
+    won = won.select(text, F.col("_w._c").alias(best))
+    rows = df.withColumn(text, F.col(options_col))
+    return (join_per_group(rows, won, [text], how="left")
+            .withColumn(out, cost_from_best(options_col, qty_col, best, amortize))
             .select(*df.columns, out))

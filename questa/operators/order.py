@@ -20,7 +20,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from decimal import Decimal
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,7 +87,8 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str,
                partitions: int | None = None) -> DataFrame:
     """Add ``out`` = running sum of ``weight`` in ``order_cols`` order (rows
     frame, inclusive of the current row unless ``inclusive=False``).  Null
-    weights count as 0.  The output type is the weight's type."""
+    weights count as 0.  Integers give a long, decimals an exact decimal of the
+    same scale, other weights a double."""
     return prefix_sum_total(df, order_cols, weight, out, inclusive, partitions)[0]
 
 
@@ -99,11 +103,13 @@ def prefix_sum_total(df: DataFrame, order_cols: Sequence[str | Column], weight:
     total = sums.pop()[1]
     wtype = df.schema[weight].dataType
     integral = isinstance(wtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    out_type = T.LongType() if integral else T.DoubleType()
+    decimal = isinstance(wtype, T.DecimalType)
+    out_type = (T.LongType() if integral else T.DecimalType(38, wtype.scale) if decimal
+                else T.DoubleType())
     # each row carries its partition's offset (broadcast join of one row per
     # partition: streams the sorted rows in order, no shuffle, and keeps the
     # offsets out of the task closures)
-    cast = int if integral else float
+    cast = int if integral else Decimal if decimal else float
     off_df = df.sparkSession.createDataFrame([(p, cast(o)) for p, o in sums], T.StructType([
         T.StructField(_PID, T.IntegerType()), T.StructField("_q_off", out_type)]))
     tagged = tagged.join(F.broadcast(off_df), _PID)
@@ -117,9 +123,13 @@ def prefix_sum_total(df: DataFrame, order_cols: Sequence[str | Column], weight:
                 continue
             if running is None:
                 running = pdf["_q_off"].iloc[0]
-            w = pdf[weight].fillna(0)
-            w = w.astype("int64") if integral else w.astype("float64")
-            cs = w.cumsum() + running
+            if decimal:  # exact: Python decimals, as the JVM sends them
+                w = pdf[weight].map(lambda x: Decimal(0) if x is None or x != x else x).astype(object)
+                cs = pd.Series(list(accumulate(w)), index=w.index, dtype=object) + running
+            else:
+                w = pdf[weight].fillna(0)
+                w = w.astype("int64") if integral else w.astype("float64")
+                cs = w.cumsum() + running
             running = cs.iloc[-1]
             pdf = pdf.drop(columns=drop)
             pdf[out] = cs if inclusive else cs - w
@@ -171,10 +181,15 @@ def _kth_smallest(hashed: DataFrame, key: str, k: int, hist: list[tuple[str, int
             acc += c
         k -= acc
         pcol = F.substring("_h", 1, plen)
+        if b is None:
+            raise ValueError(f"{key!r} has null values, which cannot be split by rank")
         rest = rest.filter(pcol == F.lit(b))
-        if c <= max_bucket_rows or plen >= 32:
+        if c <= max_bucket_rows:
             row = rest.select("_h", key).orderBy("_h", key).offset(k - 1).limit(1).collect()[0]
             return row[0], row[1]
+        if plen >= 32:  # all rows left have the same hash, so the same key
+            row = rest.select("_h", key).limit(1).collect()[0]
+            return row[0], row[1]
         plen += 4
         pcol = F.substring("_h", 1, plen)
         hist = sorted((r[0], r[1]) for r in rest.groupBy(pcol.alias("b")).count().collect())
@@ -183,7 +198,8 @@ def _kth_smallest(hashed: DataFrame, key: str, k: int, hist: list[tuple[str, int
 def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
                 out: str = "split", labels: tuple[str, str] = ("train", "test")) -> DataFrame:
     """Seeded split with an exact test size ceil(test_frac * n) (O-38): the
-    test rows are the ones with the smallest (md5(seed:key), key)."""
+    test rows are the ones with the smallest (md5(seed:key), key).  The cut
+    must fall on a unique, non-null key, else a ValueError is raised."""
     hashed = df.withColumn("_h", key_hash(key, f"{seed}:"))
     # one pass: 4-hex-digit prefix histogram (at most 65536 rows), n is its total
     # (a null key hashes to null: that bucket sorts last, as NULLS LAST does)
@@ -196,6 +212,9 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
     if t >= n:
         return df.withColumn(out, F.lit(labels[1]))
     h_star, k_star = _kth_smallest(hashed.select("_h", key), key, t, hist)
+    at_cut = hashed.filter((F.col("_h") == F.lit(h_star)) & (F.col(key) == F.lit(k_star)))
+    if at_cut.offset(1).limit(1).count():
+        raise ValueError(f"key {key!r} is not unique ({k_star!r}); the split would not have the exact size")
     is_test = (F.col("_h") < F.lit(h_star)) | ((F.col("_h") == F.lit(h_star)) & (F.col(key) <= F.lit(k_star)))
     return (hashed.withColumn(out, F.when(is_test, F.lit(labels[1])).otherwise(F.lit(labels[0])))
             .drop("_h"))

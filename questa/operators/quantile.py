@@ -1,74 +1,45 @@
 """Exact quantiles per group without holding a group in one place.
 
 Spark's exact ``percentile``/``median`` keep a value->count map per group,
-which grows with the distinct values of a hot group.  Here the group's
-``percentile_approx`` sketch (bounded memory) gives a bracket that provably
-holds the wanted order statistics; one join pass counts the rows below the
-bracket and keeps only the rows inside it (a ~8/accuracy slice), collapsed
-to one row per distinct value, and running counts over that slice pick the
-exact ranks.  A hot value, even the median itself, is one row there.  Linear interpolation between
-the two neighbouring order statistics, as numpy's default quantile does.
+which grows with the distinct values of a hot group.  Here rows are counted
+per (group, value), the counts get running sums in (group, value) order (a
+range shuffle, so a group is split over many tasks), and the rows whose running
+count crosses the wanted ranks give the quantile.  A hot value is one row.
+Linear interpolation between the two neighbouring order statistics, as numpy's
+default quantile does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .joins import join_per_group
+from .joins import join_per_group, not_null_all
+from .order import prefix_sum
 
 
 def exact_quantile(df: DataFrame, group_cols: Sequence[str], value: str, q: float = 0.5,
-                   out: str = "quantile", accuracy: int = 10000) -> DataFrame:
+                   out: str = "quantile") -> DataFrame:
     """(group..., out, n) with the exact ``q`` quantile of ``value`` per group
-    (nulls ignored)."""
+    (rows with a null group or value are left out)."""
     g = list(group_cols)
     single = not g
     if single:  # one group: a constant key
         df, g = df.withColumn("_g", F.lit(0)), ["_g"]
-    base = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    delta = 4.0 / accuracy
-    for attempt in range(6):
-        full = delta >= 1.0
-        lo_q, hi_q = max(0.0, q - delta), min(1.0, q + delta)
-        h = (F.col("_n") - 1) * F.lit(q)
-        approx = base.groupBy(*g).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx("_v", [lo_q, hi_q], accuracy).alias("_br"))
-        approx = approx.select(
-            *g, "_n",
-            (F.lit(float("-inf")) if full else F.col("_br")[0]).alias("_lo"),
-            (F.lit(float("inf")) if full else F.col("_br")[1]).alias("_hi"),
-            (F.floor(h) + 1).cast("long").alias("_k1"),
-            (F.ceil(h) + 1).cast("long").alias("_k2"),
-            (h - F.floor(h)).alias("_frac"))
-        # one row per group, written once: a recomputed sketch may merge in a
-        # different order, and the bracket must stay the one that was checked
-        approx = materialize(approx)
-        joined = join_per_group(base, approx, g)
-        counts = joined.groupBy(*g).agg(
-            F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"),
-            F.sum(F.when(F.col("_v").between(F.col("_lo"), F.col("_hi")), 1).otherwise(0)).alias("_inb"))
-        checked = materialize(approx.join(counts, g))
-        bad = checked.filter((F.col("_below") >= F.col("_k1"))
-                             | (F.col("_below") + F.col("_inb") < F.col("_k2"))).limit(1).count()
-        if bad == 0 or full:
-            break
-        delta *= 16
-    # rows inside the bracket, duplicates collapsed (a hot value is one row)
-    inside = (joined.filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*g).orderBy("_v").rowsBetween(Window.unboundedPreceding,
-                                                         Window.currentRow)
-    ranked = inside.withColumn("_cum", F.sum("_c").over(w))
-    sel = checked.select(*g, "_n", "_below", "_k1", "_k2", "_frac")
-    picks = join_per_group(ranked, sel, g)
-    res = picks.groupBy(*g).agg(
-        F.min(F.when(F.col("_cum") >= F.col("_k1") - F.col("_below"), F.col("_v"))).alias("_v1"),
-        F.min(F.when(F.col("_cum") >= F.col("_k2") - F.col("_below"), F.col("_v"))).alias("_v2"),
-        F.first("_frac").alias("_frac"), F.first("_n").alias("n"))
+    base = df.select(*g, F.col(value).cast("double").alias("_v")).filter(not_null_all([*g, "_v"]))
+    counts = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = prefix_sum(counts, [*g, "_v"], "_c", out="_before", inclusive=False)
+    per = cum.groupBy(*g).agg(F.min("_before").alias("_first"), F.sum("_c").alias("n"))
+    h = (F.col("n") - 1) * F.lit(q)
+    per = per.select(*g, "n", (h - F.floor(h)).alias("_frac"),
+                     (F.col("_first") + F.floor(h)).alias("_k1"), (F.col("_first") + F.ceil(h)).alias("_k2"))
+    ranked = join_per_group(cum, per, g)
+    holds = lambda k: (F.col("_before") <= F.col(k)) & (F.col(k) < F.col("_before") + F.col("_c"))
+    res = (ranked.filter(holds("_k1") | holds("_k2")).groupBy(*g).agg(
+        F.max(F.when(holds("_k1"), F.col("_v"))).alias("_v1"),
+        F.max(F.when(holds("_k2"), F.col("_v"))).alias("_v2"),
+        F.first("_frac").alias("_frac"), F.first("n").alias("n")))
     res = res.select(*g, (F.col("_v1") + F.col("_frac") * (F.col("_v2") - F.col("_v1"))).alias(out), "n")
     return res.drop("_g") if single else res

@@ -21,7 +21,8 @@ from ..operators.knn import knn_regress_1d
 from ..operators.regression import mllib_ridge_pipeline, r2_by_group
 from ..operators.stattests import (levene, levene_stat, long_form, mannwhitney,
                                    mannwhitney_stat, normaltest)
-from ..operators.joins import complete_cases
+from ..functions.codebooks import DAYS_PER_YEAR
+from ..operators.joins import complete_cases, join_answers
 from ..operators.order import exact_split, hash_split, prefix_sum, row_position
 from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_questionnaire,
                                   write_csv)
@@ -29,9 +30,9 @@ from ..sources.tables import derived_survey, read_table
 from ..session import scratch_path
 from . import cleaning, correlation, worth
 from .report import correlation_report, worth_report
-from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, EVENTS_BASE, WITH_SURVEY,
+from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, cost_values_sql, EVENTS_BASE, WITH_SURVEY,
                       WORTH_CTE, WORTH_LONG, WORTH_PARTS, WORTH_SPLIT_CTE, cups_sql, equip_sql,
-                      levene_sql, mannwhitney_sql, normaltest_sql, spend_sql)
+                      levene_p_sql, levene_sql, mannwhitney_p_sql, mannwhitney_sql, normaltest_sql, spend_sql)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -128,7 +129,7 @@ def q_brewing_cost(spark, sf_dir):
     cc = complete_cases(s, "id", ["cups", "spend", "equip", "methods"], key_unique=True)
     df = multiselect_cost(
         cc.select("id", "methods", cleaning.cups_per_day().alias("cup_assumptions")),
-        "methods", "cup_assumptions", fixed_cost_table(spark), id_col="id")
+        "methods", "cup_assumptions", fixed_cost_table(spark))
     return df.select("id", "methods", "cup_assumptions", r6("brewing_cost").alias("brewing_cost"))
 
 
@@ -140,11 +141,39 @@ def q_brewing_cost_join(spark, sf_dir):
     cc = complete_cases(s, "id", ["cups", "spend", "equip", "methods"], key_unique=True)
     df = multiselect_cost(
         cc.select("id", "methods", cleaning.cups_per_day().alias("cup_assumptions")),
-        "methods", "cup_assumptions", fixed_cost_table(spark), id_col="id",
+        "methods", "cup_assumptions", fixed_cost_table(spark),
         inline_max_rows=0)
     return df.select("id", "methods", "cup_assumptions", r6("brewing_cost").alias("brewing_cost"))
 
 
+@register("brewing_cost_nullable", WITH_SURVEY + ",\n" + cost_values_sql() + f""",
+opts AS (SELECT id, unnest(string_split(methods, ', ')) AS opt,
+                unnest(range(1, len(string_split(methods, ', ')) + 1)) AS pos
+         FROM survey WHERE methods IS NOT NULL),
+best AS (SELECT id, upfront, per_use FROM (
+           SELECT o.id, c.upfront, c.per_use,
+                  row_number() OVER (PARTITION BY o.id ORDER BY coalesce(c.upfront, 0) DESC, o.pos) AS rn
+           FROM opts o LEFT JOIN cost_table c ON c.method = o.opt) WHERE rn = 1)
+SELECT s.id, round(CASE WHEN s.methods IS NULL THEN 0.0 ELSE coalesce(b.upfront, 0) / {DAYS_PER_YEAR}
+                        + coalesce(b.per_use, 0) * {cups_sql("s.cups")} END, 6) AS brewing_cost
+FROM survey s LEFT JOIN best b ON b.id = s.id WHERE s.cups IS NOT NULL""")
+def q_brewing_cost_nullable(spark, sf_dir):
+    """Null answers reach the null guard (O-17): priced 0."""
+    rows = survey(spark, sf_dir).filter(F.col("cups").isNotNull()).select(
+        "id", "methods", cleaning.cups_per_day().alias("cup_assumptions"))
+    return multiselect_cost(rows, "methods", "cup_assumptions", fixed_cost_table(spark)).select(
+        "id", r6("brewing_cost").alias("brewing_cost"))
+
+
+@register("join_answers", WITH_SURVEY + """
+SELECT a.id, a.cups, b.spend FROM survey a JOIN survey b ON a.id = b.id
+WHERE a.cups IS NOT NULL AND b.spend IS NOT NULL""")
+def q_join_answers(spark, sf_dir):
+    """Answers of two tables joined on the respondent (O-20)."""
+    s = survey(spark, sf_dir)
+    return join_answers([s.select("id", "cups"), s.select("id", "spend")], "id")
+
+
 @register("cost_decision", "WITH " + WORTH_CTE + """
 SELECT id, round(outside_cost, 6) AS outside_cost, round(brewing_cost, 6) AS brewing_cost,
        result, cheaper_option, label FROM decision""")
@@ -483,11 +512,23 @@ def q_worth_levene_w(spark, sf_dir):
     return _round_cols(levene_stat(_worth_long(spark, sf_dir, True), "v", "g"), ["w"])
 
 
-@register("levene_p")
+def _levene_p(df, value, group):
+    return _round_cols(levene(df, value, group), ["w"]).withColumn("pvalue", F.round("pvalue", 5))
+
+
+def _mannwhitney_p(df, *args):
+    return _round_cols(mannwhitney(df, *args), ["u1", "u", "z"]).withColumn("pvalue", F.round("pvalue", 5))
+
+
+@register("levene_p", "WITH " + WORTH_CTE + "," + WORTH_LONG + "," + levene_p_sql("worth_long"))
 def q_levene_p(spark, sf_dir):
-    """Levene's test with its F-distribution p-value (rows-only check: the
-    oracle engine has no incomplete beta)."""
-    return levene(_worth_long(spark, sf_dir, True), "v", "g")
+    """Levene's test with its F-distribution p-value (oracle: Simpson sums)."""
+    return _levene_p(_worth_long(spark, sf_dir, True), "v", "g")
+
+
+@register("events_levene_p", "WITH " + EVENTS_BASE + "," + levene_p_sql("ev_base"))
+def q_events_levene_p(spark, sf_dir):
+    return _levene_p(_events(spark, sf_dir), "value", "event_type")
 
 
 @register("mannwhitney_u", "WITH " + WORTH_CTE + "," + WORTH_LONG + ","
@@ -504,11 +545,16 @@ def q_events_mannwhitney_u(spark, sf_dir):
     return _round_cols(mw, ["u1", "u", "z"])
 
 
-@register("mannwhitney_p")
+@register("mannwhitney_p", "WITH " + WORTH_CTE + "," + WORTH_LONG + ","
+          + mannwhitney_p_sql("worth_long", "outside_cost", "brewing_cost"))
 def q_mannwhitney_p(spark, sf_dir):
-    """U test with its normal-approximation p-value (rows-only check: the
-    oracle engine has no erfc)."""
-    return mannwhitney(_worth_long(spark, sf_dir), "v", "g", "outside_cost", "brewing_cost")
+    """U test with its p-value (oracle: Simpson sums)."""
+    return _mannwhitney_p(_worth_long(spark, sf_dir), "v", "g", "outside_cost", "brewing_cost")
+
+
+@register("events_mannwhitney_p", "WITH " + EVENTS_BASE + "," + mannwhitney_p_sql("ev_base", "click", "view"))
+def q_events_mannwhitney_p(spark, sf_dir):
+    return _mannwhitney_p(_events(spark, sf_dir), "value", "event_type", "click", "view")
 
 
 # ------------------------------------------------------- classifier & report

@@ -59,7 +59,7 @@ def cleaned_worth(survey: DataFrame, key_unique: bool | None = None,
         priced = multiselect_cost_inline(recoded, "methods", "cup_assumptions", fixed_cost_map())
     else:
         priced = multiselect_cost(recoded, "methods", "cup_assumptions", cost_table,
-                                  out="brewing_cost", id_col="id")
+                                  out="brewing_cost")
     return priced.select("id", *carry, "cup_assumptions", "spent_assumptions", "eq_assumptions",
                          "brewing_cost")
 

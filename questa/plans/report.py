@@ -37,8 +37,7 @@ def worth_report(survey: DataFrame | None = None, d: DataFrame | None = None,
     two = long_form(d, ["outside_cost", "brewing_cost"], "g", "v")
 
     def means():
-        return tidy(worth.means(d).groupBy().pivot("metric").agg(F.first("value")), "worth",
-                    ["mean_brewing_cost", "mean_outside_cost"])
+        return worth.means(d).select(F.lit("worth").alias("analysis"), "metric", "value")
 
     def knn(target, name):
         return tidy(worth.knn_r2(worth.knn_fit_predict(pos, target)), name, ["r2", "r"], "split")

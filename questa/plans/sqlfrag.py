@@ -162,6 +162,33 @@ SELECT k, n, round((CAST(n AS DOUBLE) - k) / (k - 1) * (szz - sz * sz / n) / wit
 FROM lv_tot"""
 
 
+def _unrounded(sql: str) -> str:
+    """A statistic's SQL without its rounding to 6 digits, to compute on."""
+    return sql.replace(", 6)", ", 15)")
+
+
+def simpson(f: str, top: str, steps: int = 4000) -> str:
+    """Simpson's rule for the SQL expression ``f`` of ``t`` over 0..``top``."""
+    return (f"(SELECT sum(wt * ({f})) * {top} / {steps} / 3 FROM (SELECT i * {top} / {steps} AS t, "
+            f"CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS wt "
+            f"FROM range({steps + 1}) AS r(i)))")
+
+
+def levene_p_sql(base: str) -> str:
+    """Statistic and p: 1 less the integral of the density of sqrt(F)."""
+    density = ("2 * exp(lgamma((df1 + df2) / 2) - lgamma(df1 / 2) - lgamma(df2 / 2) + df1 / 2 * ln(df1 / df2)"
+               " - (df1 + df2) / 2 * ln(1 + df1 / df2 * t * t)) * power(t, df1 - 1)")
+    return (f"lv_w AS (WITH {_unrounded(levene_sql(base))})\nSELECT k, n, round(w, 6) AS w, df1, df2, round(1 - "
+            + simpson(density, "sqrt(w)") + ", 5) AS pvalue FROM lv_w")
+
+
+def mannwhitney_p_sql(base: str, a: str, b: str) -> str:
+    """Statistic and p: twice the upper normal tail, at most 1."""
+    area = simpson("exp(-t * t / 2) / sqrt(2 * pi())", "abs(z)")
+    return (f"mw_all AS (WITH {_unrounded(mannwhitney_sql(base, a, b))})\nSELECT n1, n2, round(u1, 6) AS u1, round(u, 6) AS u, tie_term, round(z, 6) AS z, exact_case, "
+            f"round(least(1, CASE WHEN z < 0 THEN 1 ELSE 1 - 2 * {area} END), 5) AS pvalue FROM mw_all")
+
+
 def mannwhitney_sql(base: str, a: str, b: str) -> str:
     return f"""
 mw_base AS (SELECT g, v FROM {base} WHERE v IS NOT NULL AND g IN ({q(a)}, {q(b)})),

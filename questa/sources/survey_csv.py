@@ -22,6 +22,15 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def csv_options(multiline: bool = True) -> dict:
+    """The one CSV contract of the batch reader, the stream and the sink: a
+    header, doubled quotes, blanks and line breaks inside answers kept.  A
+    record that is too short is padded with nulls (as pandas does); surplus
+    fields of a long one are left out."""
+    return {"header": True, "escape": '"', "multiLine": multiline, "mode": "PERMISSIVE",
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_survey_csv(spark: SparkSession, path: str,
                     columns: Mapping[str, str] = SHORT_NAMES,
                     na_tokens: Iterable[str] = PANDAS_NA_TOKENS,
@@ -39,11 +48,7 @@ def read_survey_csv(spark: SparkSession, path: str,
     file keep their offset order).  The original analysis' row positions
     follow this order.
     """
-    raw = (spark.read.option("header", True)
-           .option("multiLine", multiline)
-           .option("escape", '"')
-           .option("mode", "FAILFAST")
-           .csv(path))
+    raw = spark.read.options(**csv_options(multiline)).csv(path)
     # header text -> column as read (a byte-order mark may precede the first header)
     by_text = {c.lstrip("\ufeff"): c for c in raw.columns}
     missing = [h for h in columns.values() if h not in by_text]
@@ -65,19 +70,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a header CSV folder (one part file per partition; never funnel
     the table through one task with ``coalesce(1)``).  Quotes are doubled
     inside quoted fields, as pandas writes them."""
-    (df.write.mode(mode)
-       .option("header", True)
-       .option("escape", '"')
-       .csv(path))
+    df.write.mode(mode).options(**csv_options()).csv(path)
 
 
 def read_csv_strings(spark: SparkSession, path: str,
                      na_tokens: Iterable[str] = PANDAS_NA_TOKENS) -> DataFrame:
     """Read a header CSV folder written by :func:`write_csv`: every column as
     text under its header name, NA tokens mapped to null."""
-    raw = (spark.read.option("header", True)
-           .option("escape", '"')
-           .option("mode", "FAILFAST")
-           .csv(path))
+    raw = spark.read.options(**csv_options()).csv(path)
     tokens = list(na_tokens)
     return raw.select(*[na_tokens_to_null(F.col(_quoted(c)), tokens).alias(c) for c in raw.columns])

@@ -16,18 +16,9 @@ from pyspark.sql import functions as F
 from ..session import table_path
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A parquet table, pruned to ``columns``.  Its schema is remembered per
-    path after the first read, so later reads skip the schema-inference
-    job (the files are inputs, not rewritten while a job runs)."""
-    path = table_path(sf_dir, name)
-    schema = _SCHEMAS.get(path)
-    df = (spark.read.schema(schema).parquet(path) if schema is not None
-          else spark.read.parquet(path))
-    _SCHEMAS.setdefault(path, df.schema)
+    """A parquet table, pruned to ``columns``."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
 

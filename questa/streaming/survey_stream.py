@@ -29,11 +29,12 @@ from ..functions.codebooks import PANDAS_NA_TOKENS, SHORT_NAMES
 from ..functions.expr import na_tokens_to_null
 from ..plans.cleaning import cleaned_worth, decision
 from ..session import scratch_path
+from ..sources.survey_csv import csv_options
 
 
 def header_schema(spark: SparkSession, path: str) -> T.StructType:
     """All-text schema from the header row of the CSV files under ``path``."""
-    cols = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    cols = spark.read.options(**csv_options()).csv(path).columns
     return T.StructType([T.StructField(c, T.StringType()) for c in cols])
 
 
@@ -41,8 +42,7 @@ def read_survey_stream(spark: SparkSession, path: str, schema: T.StructType | No
                        columns: Mapping[str, str] = SHORT_NAMES,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     schema = schema or header_schema(spark, path)
-    reader = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
-              .option("enforceSchema", False))
+    reader = spark.readStream.schema(schema).options(**csv_options()).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(path)

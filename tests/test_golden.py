@@ -17,7 +17,7 @@ from questa.sources.survey_csv import read_survey_csv
 
 def _cost(spark, rows, **kw):
     df = spark.createDataFrame(rows, "id string, methods string, cups int")
-    out = multiselect_cost(df, "methods", "cups", fixed_cost_table(spark), id_col="id", **kw)
+    out = multiselect_cost(df, "methods", "cups", fixed_cost_table(spark), **kw)
     return {r["id"]: r["brewing_cost"] for r in out.collect()}
 
 
@@ -211,5 +211,5 @@ def test_cost_table_with_repeated_option_is_refused(spark, inline_max_rows):
                                 "method string, upfront double, per_use double")
     df = spark.createDataFrame([("1", "Espresso", 1)], "id string, methods string, cups int")
     with pytest.raises(ValueError, match="repeated"):
-        multiselect_cost(df, "methods", "cups", dim, id_col="id",
+        multiselect_cost(df, "methods", "cups", dim,
                          inline_max_rows=inline_max_rows).collect()

@@ -35,9 +35,9 @@ def test_multiselect_cost_matches_model(spark, rows):
     df = spark.createDataFrame(data, "id string, methods string, cups int")
     dim = fixed_cost_table(spark)
     inline = {r.id: r.brewing_cost for r in
-              multiselect_cost(df, "methods", "cups", dim, id_col="id").collect()}
+              multiselect_cost(df, "methods", "cups", dim).collect()}
     joined = {r.id: r.brewing_cost for r in
-              multiselect_cost(df, "methods", "cups", dim, id_col="id", inline_max_rows=0).collect()}
+              multiselect_cost(df, "methods", "cups", dim, inline_max_rows=0).collect()}
     for i, a, c in data:
         want = model_cost(a, c)
         assert abs(inline[i] - want) < 1e-9
