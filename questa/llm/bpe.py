@@ -8,7 +8,7 @@ neighbours: their old pairs go stale and their new pairs enter the index.
 Every word gets exactly the merges of the word-by-word definition: the lowest
 rank first, the leftmost of equals.
 
-Results are kept per worker for later blocks (up to ``HELD_WORDS`` words; the
+Results are kept for a task's later blocks (up to ``HELD_WORDS`` words; the
 whole store is dropped when full, which changes no result).  There is no
 shuffle: each task encodes its own rows.
 """
@@ -26,12 +26,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose ids a worker keeps.  Words of more than LONG code points are
+#: Words whose ids a task keeps.  Words of more than LONG code points are
 #: merged one by one and not kept.
-HELD_WORDS = 500_000
+HELD_WORDS = 250_000
 LONG = 128
 #: Code points of text that make up one block.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -291,8 +291,11 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
     @F.pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = replay_of(path, pattern)
-        for s in batches:
-            yield pd.Series(list(own.encode(s)), dtype=object)
+        try:
+            for s in batches:
+                yield pd.Series(list(own.encode(s)), dtype=object)
+        finally:
+            own.known = {}  # an idle worker holds no words
 
     return docs.select(docs[key], ids(docs[text].cast("string")).alias("ids"))
 

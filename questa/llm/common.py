@@ -9,13 +9,19 @@ from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: A list of ids is broadcast up to this many rows (16 MB of longs).
 BROADCAST_IDS = 1_000_000
+#: Rows that pass to a Python worker at a time.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ready(spark: SparkSession) -> None:
-    """What the operators need of a session: the shared folder, and this
-    package on the executors."""
+    """What the operators need of a session: the shared folder, this package on
+    the executors, and Arrow batches of few rows, as texts can be long (a value
+    other than Spark's default is left as it is)."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

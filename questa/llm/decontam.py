@@ -169,13 +169,11 @@ def passage_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     rows = docs.select(F.lower(docs[text].cast("string")).cast("binary").alias("text"))
     got = (rows.mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-           .toPandas())  # at most BUCKETS + 1 rows
-    counts = dict(zip(got["bucket"], got["n"]))
-    n = counts.pop(-1, 0)
-    idf = np.full(BUCKETS, np.log1p(n))
-    if counts:
-        idf[np.fromiter(counts, np.int64)] = np.log((1 + n) / (1 + np.fromiter(counts.values(), np.float64)))
-    return np.maximum(idf, 0.01)
+           .toArrow())  # at most BUCKETS + 1 rows
+    bucket, count = got["bucket"].to_numpy(), got["n"].to_numpy()
+    df, n = np.zeros(BUCKETS), float(count[bucket < 0].sum())
+    df[bucket[bucket >= 0]] = count[bucket >= 0]
+    return np.maximum(np.log((1 + n) / (1 + df)), 0.01)
 
 
 # --------------------------------------------------------------- the benchmark
@@ -215,10 +213,10 @@ def basis(items: DataFrame, idf: np.ndarray, rank: int) -> tuple[np.ndarray, np.
                                         "j": np.tile(np.arange(rank), len(terms)), "z": z.ravel()})
 
     got = (items.mapInPandas(run, "term long, j long, z double").groupBy("term", "j")
-           .agg(F.sum("z").alias("z")).toPandas())  # at most BLOCK_WORDS * rank rows
-    terms, row = np.unique(got["term"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+           .agg(F.sum("z").alias("z")).toArrow())  # at most BLOCK_WORDS * rank rows
+    terms, row = np.unique(got["term"].to_numpy().view(np.uint64), return_inverse=True)
     z = np.zeros((len(terms), rank))
-    z[row, got["j"].to_numpy(np.int64)] = got["z"]
+    z[row, got["j"].to_numpy()] = got["z"].to_numpy()
     return terms, np.linalg.qr(z)[0] if len(terms) else z
 
 

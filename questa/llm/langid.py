@@ -30,10 +30,10 @@ MIN_TEXTS = 2
 MAX_LANGUAGES = 4096
 UNDETERMINED = "und"
 #: Code points handled at a time; a longer text is cut with an overlap.
-PIECE = 1 << 19
-_CHUNK = 1 << 20
+PIECE = 1 << 18
+_CHUNK = 1 << 18
 #: Partial counts held by a task before they are handed on.
-_HELD = 1 << 21
+_HELD = 1 << 20
 
 _LETTER: np.ndarray | None = None
 
@@ -221,9 +221,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang",
 
     filled = (seen.mapInPandas(to_slots, "slot long, word int, bits long")
               .groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")))
-    got = filled.toPandas()  # at most slots * width rows: a fixed size
-    words[got["slot"].to_numpy(np.int64), got["word"].to_numpy(np.int64)] = (
-        got["bits"].to_numpy(np.int64).view(np.uint64))
+    got = filled.toArrow()  # at most slots * width rows: a fixed size
+    words[got["slot"].to_numpy(), got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     return LanguageFilter(languages, words)
 
 

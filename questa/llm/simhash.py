@@ -85,50 +85,46 @@ def _mask(lo: int, hi: int) -> np.uint64:
     return np.uint64(((1 << (hi - lo)) - 1) << lo)
 
 
-def _frame(part: int, cell: np.ndarray, fp: np.ndarray, code: np.ndarray, near: int) -> pd.DataFrame:
-    return pd.DataFrame({"part": np.full(len(cell), part, np.int32), "cell": cell.view(np.int64),
-                         "fp": fp.view(np.int64), "code": code.view(np.int64),
-                         "near": np.full(len(cell), near, np.int32)})
-
-
 _CELLS = "part int, cell long, fp long, code long, near int"
 
 
-def _own_cells(max_bits: int, width: int):
-    def run(batches):
-        for pdf in batches:
-            fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            code = unary_counts(fp, width)
-            for i, (lo, hi) in enumerate(_parts(max_bits, width)):
-                yield _frame(i, code & _mask(lo, hi), fp, code, 0)
-    return run
+def _frame(parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, int]]) -> pd.DataFrame:
+    """Rows of (part, cells, fingerprints, codes, near) in one frame."""
+    n = [len(p[1]) for p in parts]
+    long = lambda k: np.concatenate([p[k] for p in parts]).view(np.int64)
+    return pd.DataFrame({"part": np.repeat(np.array([p[0] for p in parts], np.int32), n), "cell": long(1),
+                         "fp": long(2), "code": long(3),
+                         "near": np.repeat(np.array([p[4] for p in parts], np.int32), n)})
 
 
-def _near_cells(max_bits: int, width: int):
-    """The own cell, and for vectors whose part has an even sum every cell at
-    Manhattan distance 1: one segment's count one up or one down."""
+def _cells(max_bits: int, width: int, near: bool):
+    """Each part's own cell; with ``near``, for vectors whose part has an even
+    sum, also every cell at Manhattan distance 1: one segment's count one up or
+    one down."""
     def run(batches):
         for pdf in batches:
             fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
             code = unary_counts(fp, width)
+            out = []
             for i, (lo, hi) in enumerate(_parts(max_bits, width)):
                 cell = code & _mask(lo, hi)
-                yield _frame(i, cell, fp, code, 0)
+                out.append((i, cell, fp, code, 0))
                 even = np.bitwise_count(cell) % 2 == 0
-                for at in range(lo, hi, width):
+                for at in range(lo, hi, width) if near else ():
                     count = np.bitwise_count(cell & _mask(at, at + width)).astype(np.uint64)
                     for bit, ok in ((count, count < width), (count - np.uint64(1), count > 0)):
                         take = even & ok
                         step = np.uint64(1) << (np.uint64(at) + bit[take])
-                        yield _frame(i, cell[take] ^ step, fp[take], code[take], 1)
+                        out.append((i, cell[take] ^ step, fp[take], code[take], 1))
+            yield _frame(out)
     return run
 
 
 def links(nodes: DataFrame, max_bits: int = 3, width: int = SEGMENT_BITS) -> DataFrame:
     """(a, b): every pair of different fingerprints (column ``fp``, distinct)
     at Hamming distance of at most ``max_bits``, at least once each."""
-    s = nodes.mapInPandas(_own_cells(max_bits, width), _CELLS).drop("near").alias("s")
-    p = nodes.mapInPandas(_near_cells(max_bits, width), _CELLS).alias("p")
+    s = nodes.mapInPandas(_cells(max_bits, width, near=False), _CELLS).drop("near").alias("s")
+    p = nodes.mapInPandas(_cells(max_bits, width, near=True), _CELLS).alias("p")
     apart = lambda c: F.bit_count(F.col(f"p.{c}").bitwiseXOR(F.col(f"s.{c}")))
     hit = ((F.col("p.part") == F.col("s.part")) & (F.col("p.cell") == F.col("s.cell"))
            & ((F.col("p.near") == 1) | (F.col("p.fp") < F.col("s.fp")))

@@ -199,14 +199,17 @@ def count_rows(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     @F.pandas_udf(COUNTS)
     def count(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         replay = replay_of(path, pattern)
-        for texts, edits in batches:
-            out = []
-            for tree, own in zip(trees(replay, texts), edits):
-                row = [tree.n_tokens, tree.n_chars, 0 if own is None else len(own)]
-                for e in () if own is None else own:
-                    tree.edit(e["start"], e["stop"], e["new"])
-                out.append((*row, tree.n_tokens, tree.n_chars, tree.encoded))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in COUNTS.split(", ")])
+        try:
+            for texts, edits in batches:
+                out = []
+                for tree, own in zip(trees(replay, texts), edits):
+                    row = [tree.n_tokens, tree.n_chars, 0 if own is None else len(own)]
+                    for e in () if own is None else own:
+                        tree.edit(e["start"], e["stop"], e["new"])
+                    out.append((*row, tree.n_tokens, tree.n_chars, tree.encoded))
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in COUNTS.split(", ")])
+        finally:
+            replay.known = {}
 
     return rows.select("_k", count("text", "edits").alias("c")).select("_k", "c.*")
 

@@ -141,9 +141,9 @@ def _bits(keys: DataFrame, words: int, k: int, level: int) -> np.ndarray:
                 yield pd.DataFrame({"word": (bit >> np.uint64(6)).astype(np.int64),
                                     "bits": (np.uint64(1) << (bit & np.uint64(63))).view(np.int64)})
     got = (keys.select("h", "g").mapInPandas(run, "word long, bits long")
-           .groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas())  # at most ``words`` rows
+           .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())  # at most ``words`` rows
     out = np.zeros(words, np.uint64)
-    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+    out[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     return out
 
 
