@@ -137,7 +137,7 @@ def _batches(series_iter) -> Iterator[tuple]:
         lo = size = 0
         for i, t in enumerate(texts):
             size += len(t)
-            if size >= 4 * _BYTES:
+            if size >= 2 * _BYTES:
                 yield keys[lo:i + 1], texts[lo:i + 1]
                 lo, size = i + 1, 0
         if lo < len(texts):
@@ -319,8 +319,8 @@ def search(block: Passages, h: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
     end = np.minimum(start + PASSAGE, at[1:][text])
     energy = square[end] - square[start]
     maybe = np.flatnonzero(energy >= ENERGY * block.energy.min())
-    for lo in range(0, len(maybe), 2048):
-        w = maybe[lo:lo + 2048]
+    for lo in range(0, len(maybe), 1024):
+        w = maybe[lo:lo + 1024]
         n = end[w] - start[w]
         first = np.cumsum(n) - n
         words = np.repeat(start[w] - first, n) + np.arange(int(n.sum()))
