@@ -101,9 +101,10 @@ def gram_rows(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         starts = np.cumsum([0] + [n for _, n, _ in rows[:-1]])
         for n in NGRAMS:
             h, at = _grams(codes, n)
-            # a window that lies in the overlap was counted with the piece before
+            # windows of one piece, and not those that the piece before has counted
             piece = np.searchsorted(starts, at, side="right") - 1
-            new = at - starts[piece] + n > np.asarray([o for _, _, o in rows])[piece]
+            end = at - starts[piece] + n
+            new = (end > np.asarray([o for _, _, o in rows])[piece]) & (end <= np.asarray([m - 2 for _, m, _ in rows])[piece])
             yield h[new], row[at][new]
 
 

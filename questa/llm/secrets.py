@@ -134,8 +134,10 @@ def written(spans: Column) -> Column:
 
 def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, n_assign, n_access, n_hex, base_sha256, spans)."""
-    counts = [F.size(F.filter("base", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{k}")
-              for i, (k, *_) in enumerate(BASE)]
+    def count(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, (k, *_) in enumerate(BASE)]
     return found.select(key, *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"),
                         written(F.col("spans")).alias("spans"))
 
