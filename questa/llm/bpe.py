@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,9 @@ from pyspark.sql import functions as F
 #: merged one by one and not kept.
 HELD_WORDS = 250_000
 LONG = 128
+#: Fewer new words than this are merged one by one: setting up an index over
+#: all of them costs more.  The ids are the same.
+FEW = 128
 #: Code points of text that make up one block.
 BLOCK = 1 << 21
 
@@ -177,9 +181,9 @@ class MergeReplay:
         kept = ids >= 0
         return ids[kept].astype("<u4").tobytes(), np.cumsum(kept)[ends]
 
-    def replay_long(self, text: bytes) -> list[int]:
-        """The same merges for one long word, position by position: postings
-        by rank, ranks in a heap, places in order within a rank."""
+    def replay_one(self, text: bytes) -> list[int]:
+        """The same merges for one word, position by position: postings by
+        rank, ranks in a heap, places in order within a rank."""
         ids = list(map(self.byte.__getitem__, text))
         n = len(ids)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -240,11 +244,14 @@ class MergeReplay:
         for t in texts:
             ws = self.find(t)
             out.append((ws if words else [], [get(w) or add(w) for w in ws]))
+        few = len(new) < FEW
         for w in new:
-            if len(w) > LONG:  # not kept; its texts hold the entry
-                ids = self.replay_long(w.encode("utf-8", "surrogatepass"))
-                known.pop(w)[:] = np.asarray(ids, "<u4").tobytes(), len(ids)
-        new = [w for w in new if len(w) <= LONG]
+            if few or len(w) > LONG:
+                ids = self.replay_one(w.encode("utf-8", "surrogatepass"))
+                known[w][:] = struct.pack(f"<{len(ids)}I", *ids), len(ids)
+                if len(w) > LONG:  # not kept; its texts hold the entry
+                    del known[w]
+        new = [] if few else [w for w in new if len(w) <= LONG]
         if new:
             packed, ends = self.replay([w.encode("utf-8", "surrogatepass") for w in new])
             lo = 0

@@ -28,7 +28,7 @@ LEAF = 64
 #: Code points that a match may have looked at beyond its end, at most.
 LOOK = 3
 #: Code points split at first behind an edit; doubled until the split agrees.
-AHEAD = 256
+AHEAD = 64
 
 
 class Leaf:

@@ -188,7 +188,9 @@ def test_bpe_query_columns(spark):
 
 # ------------------------------------------------------------- token counts
 
-def test_edits_keep_counts_right():
+@pytest.mark.parametrize("few", [0, 128])
+def test_edits_keep_counts_right(monkeypatch, few):
+    monkeypatch.setattr(bpe, "FEW", few)
     rng, enc = random.Random(11), encoder()
     replay = bpe.MergeReplay(bpe.load_ranks(PATH), PATTERN)
     for t in mixed_texts(60) + [" " * 900 + "x", "a\n" * 800]:
