@@ -30,9 +30,9 @@ from ..sources.tables import derived_survey, read_table
 from ..session import scratch_path
 from . import cleaning, correlation, worth
 from .report import correlation_report, worth_report
-from .sqlfrag import (CORRELATION_CTE, CORRELATION_FIT_CTE, cost_values_sql, EVENTS_BASE, WITH_SURVEY,
+from .sqlfrag import (CLASSIFIER_CTE, CORRELATION_CTE, CORRELATION_FIT_CTE, cost_values_sql, EVENTS_BASE, WITH_SURVEY,
                       WORTH_CTE, WORTH_LONG, WORTH_PARTS, WORTH_SPLIT_CTE, cups_sql, equip_sql,
-                      levene_p_sql, levene_sql, mannwhitney_p_sql, mannwhitney_sql, normaltest_sql, spend_sql)
+                      knn_r2_sql, levene_p_sql, levene_sql, mannwhitney_p_sql, mannwhitney_sql, normaltest_sql, spend_sql)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -567,21 +567,40 @@ def q_worth_means(spark, sf_dir):
         "metric", r6("value").alias("value"))
 
 
-@register("logistic_accuracy")
+@register("logistic_accuracy", "WITH RECURSIVE " + WORTH_SPLIT_CTE + "," + CLASSIFIER_CTE + """
+SELECT n_train, n_test, round(accuracy, 6) AS accuracy FROM lg_acc""")
 def q_logistic_accuracy(spark, sf_dir):
-    """Held-out accuracy of the logistic classifier (rows-only check: an
-    iterative fit)."""
+    """Held-out accuracy of the logistic classifier (oracle: Newton steps)."""
     res = worth.classify(survey(spark, sf_dir))
-    return accuracy(res.predictions).select(F.lit(res.n_train).alias("n_train"), "n_test",
-                                            "accuracy")
-
-
-@register("worth_report")
+    return accuracy(res.predictions).select(F.lit(res.n_train).cast("long").alias("n_train"), "n_test",
+                                            r6("accuracy").alias("accuracy"))
+
+
+@register("worth_report", "WITH RECURSIVE " + WORTH_SPLIT_CTE + "," + ",".join((
+    CLASSIFIER_CTE, WORTH_LONG, knn_r2_sql("kh", "brewing_cost", worth.KNN_SALTS["brewing_cost"]),
+    knn_r2_sql("ko", "outside_cost", worth.KNN_SALTS["outside_cost"]))) + f""",
+t_norm AS (WITH {normaltest_sql("worth_long", "g")}),
+t_lev AS (WITH {levene_p_sql("worth_long")}),
+t_mw AS (WITH {mannwhitney_p_sql("worth_long", "outside_cost", "brewing_cost")})
+SELECT 'worth' AS analysis, 'mean_brewing_cost' AS metric, round(avg(brewing_cost), 5) AS value FROM decision
+UNION ALL SELECT 'worth', 'mean_outside_cost', round(avg(outside_cost), 5) FROM decision
+UNION ALL SELECT 'knn_home', split || ':r2', round(r2, 5) FROM kh_r
+UNION ALL SELECT 'knn_home', split || ':r', round(CASE WHEN r2 >= 0 THEN sqrt(r2) END, 5) FROM kh_r
+UNION ALL SELECT 'knn_outside', split || ':r2', round(r2, 5) FROM ko_r
+UNION ALL SELECT 'knn_outside', split || ':r', round(CASE WHEN r2 >= 0 THEN sqrt(r2) END, 5) FROM ko_r
+UNION ALL SELECT 'cheaper_option', cheaper_option || ':count', CAST(count(*) AS DOUBLE) FROM decision
+          GROUP BY cheaper_option
+UNION ALL SELECT 'classifier', 'accuracy', round(accuracy, 5) FROM lg_acc
+UNION ALL SELECT 'normaltest', g || ':pvalue', round(pvalue, 5) FROM t_norm
+UNION ALL SELECT 'levene', 'w', round(w, 5) FROM t_lev
+UNION ALL SELECT 'levene', 'pvalue', round(pvalue, 5) FROM t_lev
+UNION ALL SELECT 'mannwhitney', 'u1', round(u1, 5) FROM t_mw
+UNION ALL SELECT 'mannwhitney', 'pvalue', round(pvalue, 5) FROM t_mw""")
 def q_worth_report(spark, sf_dir):
     """Every printed result of the worth analysis as one tidy table
     (analysis, metric, value) (O-03): means, k-NN R² per split, class
-    counts, classifier accuracy and the four test p-values."""
-    return worth_report(survey(spark, sf_dir))
+    counts, classifier accuracy and the four test p-values, to 5 decimals."""
+    return worth_report(survey(spark, sf_dir)).withColumn("value", F.round("value", 5))
 
 
 @register("correlation_report", "WITH " + CORRELATION_FIT_CTE + """,

@@ -116,6 +116,59 @@ dsplit AS (
 """
 
 
+# logistic classifier on the standardised costs by Newton steps (equal training
+# rows are counted once); b0 is not penalised
+NEWTON_STEPS = 60
+CLASSIFIER_CTE = f"""
+lg_st AS (SELECT avg(outside_cost) AS mo, stddev_pop(outside_cost) AS so, avg(brewing_cost) AS mb,
+                 stddev_pop(brewing_cost) AS sb FROM dsplit WHERE split = 'train'),
+lg_z AS (SELECT split, label, (outside_cost - mo) / CASE WHEN so > 0 THEN so ELSE 1 END AS x1,
+                (brewing_cost - mb) / CASE WHEN sb > 0 THEN sb ELSE 1 END AS x2 FROM dsplit, lg_st),
+lg_pts AS (SELECT x1, x2, label, CAST(count(*) AS DOUBLE) AS c FROM lg_z WHERE split = 'train'
+           GROUP BY x1, x2, label),
+lg_n AS (SELECT sum(c) AS n, 0.0001::DOUBLE / least(200, sum(c)) AS lam FROM lg_pts),
+lg_fit(i, b0, b1, b2) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1,
+         b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - g2 * h12) + h02 * (g1 * h12 - g2 * h11)) / det,
+         b1 - (h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h02 * h12) + h02 * (h01 * g2 - h02 * g1)) / det,
+         b2 - (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - h02 * g1) + g0 * (h01 * h12 - h02 * h11)) / det
+  FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h02 * h12)
+                  + h02 * (h01 * h12 - h02 * h11) AS det FROM (
+    SELECT i, b0, b1, b2, sum(e) / n AS g0, sum(e * x1) / n + lam * b1 AS g1, sum(e * x2) / n + lam * b2 AS g2,
+           sum(w) / n AS h00, sum(w * x1) / n AS h01, sum(w * x2) / n AS h02, sum(w * x1 * x1) / n + lam AS h11,
+           sum(w * x1 * x2) / n AS h12, sum(w * x2 * x2) / n + lam AS h22
+    FROM (SELECT f.*, x1, x2, n, lam, c * (p - label) AS e, c * p * (1 - p) AS w
+          FROM (SELECT f.*, x1, x2, label, c, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p
+                FROM lg_fit f, lg_pts) f, lg_n)
+    GROUP BY i, b0, b1, b2, n, lam))
+  WHERE i < {NEWTON_STEPS}),
+lg_acc AS (SELECT CAST((SELECT n FROM lg_n) AS BIGINT) AS n_train, count(*) AS n_test,
+                  avg(CASE WHEN (b0 + b1 * x1 + b2 * x2 > 0) = (label = 1) THEN 1.0 ELSE 0.0 END) AS accuracy
+           FROM lg_z, lg_fit WHERE split = 'test' AND i = {NEWTON_STEPS})"""
+
+
+def knn_r2_sql(name: str, target: str, salt: str, k: int = 5) -> str:
+    """CTEs up to ``{name}_r(split, r2)``: k-NN of ``target`` on the row
+    position by training ranks, of which a query needs k on each side."""
+    return f"""
+{name}_d AS (SELECT id, row_number() OVER (ORDER BY id) AS x, {target} AS y,
+                    CASE WHEN substr(md5(concat('{salt}', id)), 1, 8) < 'c0000000'
+                         THEN 'train' ELSE 'valid' END AS split FROM decision),
+{name}_q AS (SELECT *, CAST(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) OVER (ORDER BY x) AS BIGINT) AS upto FROM {name}_d),
+{name}_t AS (SELECT x, y, upto AS rank FROM {name}_q WHERE split = 'train'),
+{name}_s AS (SELECT id, x, y, split, unnest(range(upto - {k}, upto + {k} + 1)) AS rank FROM {name}_q),
+{name}_p AS (SELECT id, any_value(split) AS split, any_value(y) AS y, avg(ty) AS yhat FROM (
+               SELECT s.id, s.split, s.y, t.y AS ty,
+                      row_number() OVER (PARTITION BY s.id ORDER BY abs(t.x - s.x), t.x) AS rn
+               FROM {name}_s s JOIN {name}_t t ON t.rank = s.rank) WHERE rn <= {k} GROUP BY id),
+{name}_g AS (SELECT split, sum((y - yhat) * (y - yhat)) AS sse, var_pop(y) * count(*) AS sst
+             FROM {name}_p GROUP BY split),
+{name}_r AS (SELECT split, CASE WHEN sst > 0 THEN 1 - sse / sst WHEN sse = 0 THEN 1.0 ELSE 0.0 END AS r2
+             FROM {name}_g)"""
+
+
 def normaltest_sql(base: str, group: str) -> str:
     """D'Agostino-Pearson K² per group from a CTE ``base(g, v)``."""
     return f"""

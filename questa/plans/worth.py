@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.classify import train_and_predict
-from ..operators.knn import knn_regress_1d
+from ..operators.knn import knn_sorted
 from ..operators.order import exact_split, hash_split, row_position
 from ..operators.regression import r2_by_group
 from ..session import materialize
@@ -64,13 +64,13 @@ def with_positions(df: DataFrame, order: str = "id",
 def knn_fit_predict(positioned: DataFrame, target: str, k: int = 5,
                     salt: str | None = None) -> DataFrame:
     """(id, pos, y, split, pred): 5-NN on the row position, trained on the
-    75% split and evaluated on every row (for the curve and both R²)."""
+    75% split and evaluated on every row (for the curve and both R²).
+    ``positioned`` is what ``with_positions`` gives: its rows stand in the
+    order of their positions, so no target sorts them again."""
     salt = salt if salt is not None else KNN_SALTS.get(target, target)
     data = hash_split(positioned.select("id", "pos", F.col(target).alias("y")), "id", 0.75,
                       salt=salt)
-    train = data.filter(F.col("split") == "train")
-    # positions are unique by construction: no second ranking needed
-    return knn_regress_1d(train, data, "pos", "y", "id", k=k, unique_x=True)
+    return knn_sorted(data, "pos", [("y", F.col("split") == "train", "pred")], k)
 
 
 def knn_r2(pred: DataFrame) -> DataFrame:

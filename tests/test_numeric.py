@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from questa.operators.knn import knn_regress_1d
+from questa.operators.knn import knn_regress_1d, knn_sorted
 from questa.operators.quantile import exact_quantile
 from questa.operators.regression import fit_ridge_poly2
 from questa.operators.stattests import levene, mannwhitney, mannwhitney_stat, normaltest
@@ -168,18 +168,24 @@ def test_knn_null_feature_and_target(spark):
     assert got[5] == pytest.approx(40.0)
 
 
-@pytest.mark.parametrize("unique_x", [None, True, False])
-def test_knn_unique_x_paths_agree(spark, unique_x):
+@pytest.mark.parametrize("hot", [0.0, 0.5, 0.9])
+@pytest.mark.parametrize("train_share", [0.7, 0.02])
+def test_knn_with_a_hot_value(spark, hot, train_share):
     rng = np.random.default_rng(8)
     n = 300
-    x = rng.permutation(n).astype(float)               # unique feature values
+    x = np.where(rng.random(n) < hot, 150.0, rng.permutation(n).astype(float))
     y = rng.normal(0, 1, n)
-    train = np.arange(n)[rng.random(n) < 0.7]
+    train = np.arange(n)[rng.random(n) < train_share]
     df = spark.createDataFrame([(int(i), float(a), float(b)) for i, a, b in zip(range(n), x, y)],
-                               "id long, x double, y double")
+                               "id long, x double, y double").repartition(5)
     tr = df.filter(F.col("id").isin([int(i) for i in train]))
-    got = {r.id: r.pred for r in knn_regress_1d(tr, df, "x", "y", "id", k=5,
-                                                 unique_x=unique_x).collect()}
+    got = {r.id: r.pred for r in knn_regress_1d(tr, df, "x", "y", "id", k=5, partitions=9).collect()}
     want = _knn_brute(x[train], y[train], train, x, 5)
     for i, w in zip(range(n), want):
         assert got[i] == pytest.approx(w, abs=1e-12)
+
+
+def test_knn_refuses_rows_out_of_order(spark):
+    df = spark.createDataFrame([(3.0, 1.0), (1.0, 2.0)], "x double, y double").coalesce(1)
+    with pytest.raises(Exception, match="not sorted"):
+        knn_sorted(df, "x", [("y", F.lit(True), "pred")], 1)
