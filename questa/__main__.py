@@ -3,6 +3,9 @@
     python -m questa correlation --survey survey.csv --out results/
     python -m questa worth --survey survey.csv --out results/
 
+The CSV is parsed once, into the shared checkpoint folder; every step reads that
+copy.  ``--single-line`` splits the file among tasks (no line breaks in answers).
+
 Writes the cleaned table as CSV (``correlation.csv/`` or ``worth.csv/``,
 folders of part files), the chart data as Parquet, and the metrics table
 (analysis, metric, value) as CSV; prints the metrics.  Uses the active
@@ -19,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from .plans import cleaning, correlation, worth
 from .plans.report import correlation_report, worth_report
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, materialize
 from .sources.survey_csv import read_survey_csv, write_csv
 
 
@@ -33,8 +36,8 @@ def _session() -> SparkSession:
     return builder.getOrCreate()
 
 
-def run_correlation(spark: SparkSession, survey_path: str, out: str) -> None:
-    survey = read_survey_csv(spark, survey_path)
+def run_correlation(spark: SparkSession, survey_path: str, out: str, multiline: bool = True) -> None:
+    survey = materialize(read_survey_csv(spark, survey_path, multiline=multiline))
     cleaning.export_correlation(survey, f"{out}/correlation.csv")
     fit = correlation.fit_correlation(survey, key_unique=None)
     correlation.curve(fit).write.mode("overwrite").parquet(f"{out}/chart_curve")
@@ -48,9 +51,10 @@ def run_correlation(spark: SparkSession, survey_path: str, out: str) -> None:
         print(f"{r.analysis:12s} {r.metric:24s} {r.value}")
 
 
-def run_worth(spark: SparkSession, survey_path: str, out: str) -> None:
+def run_worth(spark: SparkSession, survey_path: str, out: str, multiline: bool = True) -> None:
     # the k-NN feature is the row position in file order, as in the original
-    survey = read_survey_csv(spark, survey_path, row_order_col=worth.FILE_ORDER)
+    survey = materialize(read_survey_csv(spark, survey_path, multiline=multiline,
+                                         row_order_col=worth.FILE_ORDER))
     cleaning.export_worth(survey, f"{out}/worth.csv")
     d = worth.decision_table(survey, key_unique=None, materialized=True,
                              order_col=worth.FILE_ORDER)
@@ -70,10 +74,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("analysis", choices=["correlation", "worth"])
     p.add_argument("--survey", required=True, help="survey CSV (header row of question texts)")
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    p.add_argument("--single-line", action="store_true",
+                   help="no answer holds a line break: large files are read by many tasks")
     a = p.parse_args(argv)
     spark = _session()
     ensure_checkpoint_dir(spark)
-    (run_correlation if a.analysis == "correlation" else run_worth)(spark, a.survey, a.out)
+    run = run_correlation if a.analysis == "correlation" else run_worth
+    run(spark, a.survey, a.out, multiline=not a.single_line)
 
 
 if __name__ == "__main__":

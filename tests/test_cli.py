@@ -22,6 +22,15 @@ def test_cli_analyses(spark, sf_dir, tmp_path, capsys):
     assert metrics.filter("metric = 'accuracy'").count() == 1
 
 
+def test_single_line_reading_gives_the_same(spark, sf_dir, tmp_path, capsys):
+    src = str(tmp_path / "survey")
+    write_csv(to_questionnaire(derived_survey(spark, sf_dir)), src)
+    run_correlation(spark, src, str(tmp_path / "a"))
+    whole = capsys.readouterr().out
+    run_correlation(spark, src, str(tmp_path / "b"), multiline=False)
+    assert capsys.readouterr().out == whole
+
+
 def test_worth_report_threads_do_not_change_results(spark, sf_dir):
     from questa.plans import worth
     from questa.plans.report import worth_report

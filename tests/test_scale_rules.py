@@ -14,6 +14,7 @@ FILES = sorted(p for p in SRC.rglob("*.py") if "llm" not in p.relative_to(SRC).p
 
 # every driver collect, with the reason its size is bounded
 BOUNDED_COLLECTS = {
+    ("operators/knn.py", "_halos(ends"): "at most 3k rows per partition and target, and two",
     ("operators/order.py", "groupBy(_PID)"): "one row per range partition",
     ("operators/order.py", ".offset(k - 1).limit(1)"): "one row",
     ("operators/order.py", "rest.groupBy(pcol"): "at most 65,536 prefix buckets",
