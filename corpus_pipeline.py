@@ -2,8 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``.  All but the last
-return the columns of ``documents``.  ``doc_id`` is the documents' key: rows that
-share one stay or go together, rows without one are never dropped for their id.
+return the columns of ``documents``.  Rows are judged one by one, by a number that
+each stage gives them: a repeated or a null ``doc_id`` changes nothing.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from questa.llm import bpe, decontam, langid, secrets, simhash
-from questa.llm.common import read_table, ready, stored, without_ids
+from questa.llm.common import ROW, numbered, read_table, ready, stored, without_ids
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,23 +28,29 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id."""
+    """One row of each group stays: the one with the smallest id (rows without
+    an id come last, the first of equal ids stays)."""
     ready(spark)
-    classes = simhash.near_duplicates(docs)
-    return without_ids(docs, classes.filter("doc_id != component_id").select("doc_id"), "doc_id").select(*docs.columns)
+    rows = numbered(docs, "near-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
+    classes = simhash.near_duplicates(rows.withColumn("_order", order), "_order")
+    more = classes.filter("_order.row != component_id.row").select(F.col("_order.row").alias(ROW))
+    return without_ids(rows, more, ROW).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark, or a paraphrase, go."""
-    leaks = decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return without_ids(docs, leaks.select("doc_id"), "doc_id").select(*docs.columns)
+    ready(spark)
+    rows = numbered(docs, "leak-rows")
+    leaks = decontam.contaminated(rows, read_table(spark, sf_dir, "benchmark"), ROW)
+    return without_ids(rows, leaks.select(ROW), ROW).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; every reported secret is replaced by a mark, and
     n_chars follows the text."""
     ready(spark)
-    clean = secrets.redact(docs, secrets.find_secrets(docs))
+    clean = secrets.redacted(docs)
     return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(
         *docs.columns)
 

@@ -37,6 +37,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: The column of :func:`numbered`.
+ROW = "_doc_row"
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a unique number per row in ROW, written with the rows, so
+    that it stays the same however often they are read."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
 def text_of(df: DataFrame, col: str) -> Column:
     """The column as text; null counts as the empty text."""
     return F.coalesce(df[col].cast("string"), F.lit(""))

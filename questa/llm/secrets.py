@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import ROW, numbered, stored, text_of
 
 #: Parts of one credential are at most this many code points apart.
 REACH = 160
@@ -147,9 +147,23 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
     """``docs`` with every reported span replaced by ``mark`` (overlapping
     spans by one mark), all columns kept.  ``found`` as find_secrets returns it
     for the same table; rows that share a key get the spans of each of them,
-    so keys should be unique.  Rows without findings stay as they are."""
+    so keys should be unique.  Rows with a null key are not matched and stay as
+    they are; for tables without a key there is :func:`redacted`."""
     hit = found.filter((F.size("spans") > 0) & F.col(key).isNotNull()).select(
         F.col(key).alias("_k"), F.col("spans").alias("_spans"))
+    return _cut(docs, hit, key, text, mark)
+
+
+def redacted(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every secret of every row replaced by ``mark``, one row
+    per row: spans and texts meet on a row number, so no key is needed."""
+    rows = numbered(docs, "redact")
+    hit = find_secrets(rows, ROW, text).filter(F.size("spans") > 0)
+    return _cut(rows, hit.select(F.col(ROW).alias("_k"), F.col("spans").alias("_spans")), ROW, text, mark).drop(ROW)
+
+
+def _cut(docs: DataFrame, hit: DataFrame, key: str, text: str, mark: str) -> DataFrame:
+    """``docs`` without the spans of ``hit`` (_k, _spans), one row per key."""
     joined = docs.join(hit, docs[key] == F.col("_k"), "left")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 

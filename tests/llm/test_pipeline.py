@@ -62,3 +62,14 @@ def test_entry_registers_every_operator():
     import __spark_entry__
     names = set(__spark_entry__.queries())
     assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
+
+
+def test_rows_without_an_id_are_judged_like_any_other(spark, folder):
+    path, docs = folder
+    item, leak = prose(random.Random(77), 40), dict((d, t) for d, t, *_ in docs)[104]
+    assert item in leak
+    null = lambda *texts: spark.createDataFrame([(None, t, "en", "s", len(t)) for t in texts], SCHEMA)
+    out = corpus_pipeline.redact_secrets(spark, null("a secret=abcdefgh", "é token=abcdef12 z"), path)
+    assert sorted((r.text, r.n_chars) for r in out.collect()) == [("a [secret]", 10), ("é [secret] z", 12)]
+    assert [r.text for r in corpus_pipeline.drop_contaminated(spark, null(leak, docs[3][1]), path).collect()] == [docs[3][1]]
+    assert [r.text for r in corpus_pipeline.drop_near_duplicates(spark, null(*[docs[3][1]] * 3), path).collect()] == [docs[3][1]]
