@@ -146,11 +146,13 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
            mark: str = "[secret]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mark`` (overlapping
     spans by one mark), all columns kept.  ``found`` as find_secrets returns it
-    for the same table; rows that share a key get the spans of each of them,
-    so keys should be unique.  Rows with a null key are not matched and stay as
-    they are; for tables without a key there is :func:`redacted`."""
-    hit = found.filter((F.size("spans") > 0) & F.col(key).isNotNull()).select(
-        F.col(key).alias("_k"), F.col("spans").alias("_spans"))
+    for the same table.  ``key`` must tell the rows apart: a repeated key is an
+    error, rows with a null key are not matched and stay as they are.  For
+    tables without such a key there is :func:`redacted`."""
+    hit = found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"), F.first("spans").alias("_spans"))
+    repeated = F.raise_error(F.lit(f"redact: repeated {key}, use redacted")).cast(f"array<{_SPAN}>")
+    hit = hit.select("_k", F.when(F.col("_n") > 1, repeated).otherwise(F.col("_spans")).alias("_spans"))
     return _cut(docs, hit, key, text, mark)
 
 

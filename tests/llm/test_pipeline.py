@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from questa.llm import secrets
 from questa.llm.common import ready
 
 from .test_operators import PATH, PATTERN, brute_fingerprint, encoder, prose
@@ -73,3 +74,20 @@ def test_rows_without_an_id_are_judged_like_any_other(spark, folder):
     assert sorted((r.text, r.n_chars) for r in out.collect()) == [("a [secret]", 10), ("é [secret] z", 12)]
     assert [r.text for r in corpus_pipeline.drop_contaminated(spark, null(leak, docs[3][1]), path).collect()] == [docs[3][1]]
     assert [r.text for r in corpus_pipeline.drop_near_duplicates(spark, null(*[docs[3][1]] * 3), path).collect()] == [docs[3][1]]
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark, folder):
+    path, docs = folder
+    texts = [docs[i][1] for i in range(4)]
+    make = lambda rows: spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], SCHEMA)
+    out = corpus_pipeline.redact_secrets(spark, make([(7, "token=abcdef12 a"), (7, "b is here token=abcdef12"), (7, "c")]), path)
+    assert sorted(r.text for r in out.collect()) == ["[secret] a", "b is here [secret]", "c"]
+    rows = [(1, texts[0]), (1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[1]), (None, texts[1]), (None, texts[2])]
+    out = corpus_pipeline.drop_near_duplicates(spark, make(rows), path)
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted([(1, texts[0]), (2, texts[1]), (0, texts[2])])
+    leak = dict((d, t) for d, t, *_ in docs)[104]
+    out = corpus_pipeline.drop_contaminated(spark, make([(5, leak), (5, texts[3])]), path)
+    assert [r.text for r in out.collect()] == [texts[3]]
+    found = secrets.find_secrets(make([(7, "token=abcdef12 a"), (7, "c")]))
+    with pytest.raises(Exception, match="repeated doc_id"):
+        secrets.redact(make([(7, "token=abcdef12 a"), (7, "c")]), found).collect()
