@@ -10,8 +10,10 @@
    change under rotation, so the last rotation to singular vectors is left out.
 3. Candidate search: the documents' windows are folded into that space and
    compared with all benchmark passages in blocks (a stated query set against
-   all rows).  Windows whose known words weigh less than ENERGY of a passage
-   cannot hold it and are passed over.
+   all rows).  Besides, so that nothing that step 4 accepts is missed for its
+   place, its length or the words around it, an index of the passages' heavy
+   words gives every passage of which the text around a window, in windows of
+   the passage's own length class, holds enough words (``_gated``).
 4. Verification: longest common subsequence of words between the passage and
    the text around the window (bit-parallel); below COPY but not below
    PARAPHRASE the shared words must carry COPY of the passage's weight, and the
@@ -47,6 +49,10 @@ ENERGY = 0.35
 COPY = 0.6
 PARAPHRASE = 0.4
 ANSWER = 0.8
+#: Length classes of passages: the windows they are looked up with.
+WIDTHS = (4, 8, 16, PASSAGE)
+#: Share of what a passage needs that its words outside the index may have.
+LIGHT = 0.9
 #: Shorter passages (of whole items) must be there in full.
 SHORT = 5
 BLOCK_WORDS = 1 << 15
@@ -220,6 +226,21 @@ def basis(items: DataFrame, idf: np.ndarray, rank: int) -> tuple[np.ndarray, np.
     return terms, np.linalg.qr(z)[0] if len(terms) else z
 
 
+@dataclass
+class Gate:
+    """Postings of the heavy words of one length class's passages.  A passage's
+    light words are taken as present, so its bounds are never too tight."""
+    width: int
+    passage: np.ndarray    # numbers of its passages
+    words: np.ndarray      # their term numbers, filled up with -1
+    ptr: np.ndarray        # per term: where its postings start
+    of: np.ndarray         # posting: place in ``passage``
+    weight: np.ndarray     # posting: weight the term has there
+    times: np.ndarray      # posting: how often the term is there
+    light: np.ndarray      # per passage: weight and number of its light words
+    need: np.ndarray       # per passage: least weight, and least words with it or without
+
+
 @dataclass
 class Passages:
     """A block of the benchmark, as the documents' pass needs it."""
@@ -233,6 +254,16 @@ class Passages:
     words: list[list[int]]  # term numbers of each passage
     answer: list[list[int]]  # term numbers of each passage's item's answer
 
+    @property
+    def gates(self) -> list[Gate]:
+        """The index of each length class that has passages."""
+        if not hasattr(self, "_gates"):
+            size = np.array([len(w) for w in self.words])
+            least = (0, *WIDTHS[:-1])
+            ids = [np.flatnonzero((size > lo) & (size <= w)) for lo, w in zip(least, WIDTHS)]
+            self._gates = [_gate(self, w, of) for w, of in zip(WIDTHS, ids) if len(of)]
+        return self._gates
+
     @property
     def table(self) -> np.ndarray:
         """Whether a term has these low bits."""
@@ -302,6 +333,108 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def _gate(block: Passages, width: int, ids: np.ndarray) -> Gate:
+    words = np.full((len(ids), width), -1, np.int64)
+    light, need, rows = np.zeros((2, len(ids))), np.zeros((3, len(ids))), []
+    for i, p in enumerate(ids):
+        m, energy = len(block.words[p]), block.energy[p]
+        words[i, :m] = block.words[p]
+        few, many = (PARAPHRASE * m, COPY * m) if m >= SHORT else (m, m)
+        need[:, i] = PARAPHRASE * energy * (1 - 1e-9), few - 1e-9, many - 1e-9
+        term, n = np.unique(words[i, :m], return_counts=True)
+        order = np.argsort(block.weight[term], kind="stable")
+        term, n = term[order], n[order]
+        w = n * block.weight[term] ** 2
+        k = int(np.sum((np.cumsum(w) <= LIGHT * need[0, i]) & (np.cumsum(n) <= LIGHT * need[1, i])))
+        light[:, i] = w[:k].sum(), n[:k].sum()
+        rows.append((term[k:], np.full(len(term) - k, i), w[k:], n[k:]))
+    term, of, w, n = (np.concatenate(x) for x in zip(*rows))
+    order = np.argsort(term, kind="stable")
+    ptr = np.searchsorted(term[order], np.arange(len(block.terms) + 1))
+    return Gate(width, ids, words, ptr, of[order], w[order], n[order].astype(float), light, need)
+
+
+def _windows(at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the windows of ``width`` words that start every
+    half width and end with their text."""
+    half, count = width // 2, np.diff(at)
+    windows = np.maximum(-(-count // half) - 1, (count > 0).astype(np.int64))
+    text = np.repeat(np.arange(len(count)), windows)
+    start = at[:-1][text] + half * (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows))
+    return text, start, np.minimum(start + width, at[1:][text])
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0] .. start[0] + n[0] - 1, start[1] .. and so on."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def _distinct(x: np.ndarray, where=slice(None)) -> np.ndarray:
+    x = np.sort(x[where])
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
+def _gated(block: Passages, gate: Gate, number: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
+    """(text, start, end, passage) of every window and passage of the class
+    where the text from half a width before to half a width behind holds either
+    PARAPHRASE of the passage's weight and words, or COPY of its words: what
+    the verification needs at least."""
+    half, terms, some = gate.width // 2, len(block.terms), len(gate.passage)
+    text, start, end = _windows(at, gate.width)
+    lo, hi = np.maximum(at[:-1][text], start - half), np.minimum(at[1:][text], end + half)
+    posts = np.where(number >= 0, gate.ptr[number + 1] - gate.ptr[number], 0)
+    total = np.concatenate(([0], np.cumsum(posts)))
+    maybe = np.flatnonzero(total[hi] > total[lo])
+    step = max(1, min(1024, (1 << 20) // some))
+    for first in range(0, len(maybe), step):
+        w = maybe[first:first + step]
+        n = hi[w] - lo[w]
+        at_word, win = _ranges(lo[w], n), np.repeat(np.arange(len(w)), n)
+        heavy = posts[at_word] > 0
+        win, num = np.divmod(_distinct(win[heavy] * terms + number[at_word[heavy]]), terms)
+        n = gate.ptr[num + 1] - gate.ptr[num]
+        post = _ranges(gate.ptr[num], n)
+        cell = np.repeat(win, n) * some + gate.of[post]
+        weight, times = (np.bincount(cell, x[post], len(w) * some).reshape(len(w), some) for x in (gate.weight, gate.times))
+        i, p = np.nonzero(_enough(gate, weight + gate.light[0], times + gate.light[1]))
+        # the same with the light words that are there
+        seen = np.unique(i)
+        n = hi[w[seen]] - lo[w[seen]]
+        at_word = _ranges(lo[w[seen]], n)
+        has = _distinct(np.repeat(seen, n) * terms + number[at_word], number[at_word] >= 0)
+        for c in range(0, len(i), 1 << 15):
+            ic, pc = i[c:c + (1 << 15)], p[c:c + (1 << 15)]
+            words = gate.words[pc]
+            wanted = ic[:, None] * terms + words
+            there = (words >= 0) & (has[np.minimum(np.searchsorted(has, wanted), len(has) - 1)] == wanted)
+            sure = _enough(gate, (there * block.weight[words] ** 2).sum(axis=1), there.sum(axis=1), pc)
+            for k, q in zip(w[ic[sure]], gate.passage[pc[sure]]):
+                yield text[k], start[k], end[k], q
+
+
+def _enough(gate: Gate, weight: np.ndarray, times: np.ndarray, of=slice(None)) -> np.ndarray:
+    need = gate.need[:, of]
+    return (weight >= need[0]) & (times >= need[1]) | (times >= need[2])
+
+
+def _verified(block: Passages, number: np.ndarray, at: np.ndarray, t: int, start: int, end: int, p: int,
+              half: int) -> tuple | None:
+    """(lcs, passage words, passage start, kind) if the text around the window holds the passage."""
+    passage = block.words[p]
+    near = number[max(at[t], start - half):min(at[t + 1], end + half)]
+    near = near[near >= 0].tolist()
+    common, m = lcs(passage, near), len(passage)
+    if common >= (COPY * m if m >= SHORT else m):
+        return common, m, block.start[p], "copy"
+    if common >= PARAPHRASE * m and m >= SHORT:
+        answer, shared = block.answer[p], set(passage) & set(near)
+        weight = sum(block.weight[x] ** 2 for x in passage if x in shared)
+        far = number[max(at[t], start - 2 * PASSAGE):min(at[t + 1], end + 2 * PASSAGE)]
+        if len(answer) >= 3 and weight >= COPY * block.energy[p] and lcs(answer, far[far >= 0].tolist()) >= ANSWER * len(answer):
+            return common, m, block.start[p], "paraphrase"
+    return None
+
+
 def search(block: Passages, h: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
     """(text number, item, cosine, lcs, passage words, passage start, kind) of every verified
     pair of a text and a benchmark passage."""
@@ -311,12 +444,7 @@ def search(block: Passages, h: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
     known = number >= 0
     square = np.zeros(len(h) + 1)
     np.cumsum(np.where(known, block.weight[number] ** 2, 0), out=square[1:])
-    count = np.diff(at)
-    # windows start every HALF words and end with their text
-    windows = np.maximum(-(-count // HALF) - 1, (count > 0).astype(np.int64))
-    text = np.repeat(np.arange(len(count)), windows)
-    start = at[:-1][text] + HALF * (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows))
-    end = np.minimum(start + PASSAGE, at[1:][text])
+    text, start, end = _windows(at, PASSAGE)
     energy = square[end] - square[start]
     maybe = np.flatnonzero(energy >= ENERGY * block.energy.min())
     for lo in range(0, len(maybe), 1024):
@@ -330,22 +458,18 @@ def search(block: Passages, h: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
         cosine = vec @ block.latent.T
         hit = (cosine >= COSINE) & (energy[w][:, None] >= ENERGY * block.energy)
         for i, p in zip(*np.nonzero(hit)):
-            k, passage = w[i], block.words[p]
-            t = text[k]
-            near = number[max(at[t], start[k] - HALF):min(at[t + 1], end[k] + HALF)]
-            near = near[near >= 0].tolist()
-            common, m = lcs(passage, near), len(passage)
-            kind = None
-            if common >= (COPY * m if m >= SHORT else m):
-                kind = "copy"
-            elif common >= PARAPHRASE * m and m >= SHORT:
-                answer, shared = block.answer[p], set(passage) & set(near)
-                weight = sum(block.weight[x] ** 2 for x in passage if x in shared)
-                far = number[max(at[t], start[k] - 2 * PASSAGE):min(at[t + 1], end[k] + 2 * PASSAGE)]
-                if len(answer) >= 3 and weight >= COPY * block.energy[p] and lcs(answer, far[far >= 0].tolist()) >= ANSWER * len(answer):
-                    kind = "paraphrase"
-            if kind:
-                yield int(t), block.item[p], float(cosine[i, p]), common, m, block.start[p], kind
+            k = w[i]
+            got = _verified(block, number, at, text[k], start[k], end[k], p, HALF)
+            if got:
+                yield int(text[k]), block.item[p], float(cosine[i, p]), *got
+    for gate in block.gates:
+        for t, first, last, p in _gated(block, gate, number, at):
+            got = _verified(block, number, at, t, first, last, p, gate.width // 2)
+            if got:
+                own = number[first:last]
+                vec = block.basis[own[own >= 0]].sum(axis=0)
+                near = float(vec @ block.latent[p] / max(float(np.linalg.norm(vec)), 1e-12))
+                yield int(t), block.item[p], near, *got
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:

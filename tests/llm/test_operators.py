@@ -457,6 +457,36 @@ def test_planted_passages_are_found_and_clean_texts_left(spark):
     assert decontam.contaminated(make_docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_search_finds_what_plain_lcs_finds_anywhere():
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.sample(vocabulary, n))) for i, n in enumerate([3, 6, 9, 14, 20, 32, 32, 40, 50] * 4)]
+    texts, held = [], []
+    for i, (k, item) in enumerate(items * 3):  # the words around are the benchmark's own, every place on the grid occurs
+        words, around = item.split(), rng.choices(vocabulary, k=120)
+        for j in rng.sample(range(len(words)), len(words) * 3 // 10 if len(words) >= 20 else 0):
+            words[j] = rng.choice(vocabulary)
+        at = 30 + i % 16
+        texts.append(" ".join(around[:at] + words + around[at:]).encode())
+        held.append((i, k))
+    terms = np.unique(decontam.word_hashes([t.encode() for _, t in items])[0])
+    q = np.linalg.qr(np.random.default_rng(1).normal(size=(len(terms), decontam.RANK)))[0]
+    block = decontam.prepare(items, terms, q, np.full(decontam.BUCKETS, 3.0))
+    h, at = decontam.word_hashes(texts)
+    got = {(t, k) for t, k, *_ in decontam.search(block, h, at)}
+    assert set(held) <= got
+    number = block.numbers(h)
+    for width, least in ((4, 0), (8, 4), (16, 8), (32, 16)):  # no gate at all
+        of = [p for p, w in enumerate(block.words) if least < len(w) <= width]
+        for t, start, end in zip(*decontam._windows(at, width)):
+            near = number[max(at[t], start - width // 2):min(at[t + 1], end + width // 2)]
+            near = near[near >= 0].tolist()
+            for p in of:
+                m = len(block.words[p])
+                if decontam.lcs(block.words[p], near) >= (decontam.COPY * m if m >= decontam.SHORT else m):
+                    assert (t, block.item[p]) in got
+
+
 def test_without_ids_keeps_null_keys(spark, monkeypatch):
     docs = make_docs(spark, AWKWARD)
     ids = spark.createDataFrame([(4,), (None,), (4,), (77,)], "doc_id long")
