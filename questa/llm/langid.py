@@ -7,7 +7,8 @@ highest rate.  The filter has ``slots`` words; bit ``l`` of a word belongs to
 language ``l``, so ANDing the words of an n-gram's ``HASHES`` slots returns all
 languages that contain it at once.  A text is decided by the bit counts per
 language, corrected for the false positives expected from each language's
-fill.  The broadcast filter's size is fixed by ``slots``.
+fill.  The number of slots follows the n-grams of the fullest language, so that
+its fill stays at ``FILL``; a filter over ``FILTER_BYTES`` is an error.
 """
 
 from __future__ import annotations
@@ -20,9 +21,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 NGRAMS = (3, 4)
 HASHES = 3
+#: Least number of slots, the highest share of them that a language fills, and
+#: the largest filter that is broadcast (4 million n-grams of a language, up to
+#: 64 languages).
 SLOTS = 1 << 19
+FILL = 0.3
+FILTER_BYTES = 1 << 28
+#: Slots that the driver gets in one row.
+_BLOCK = 1 << 12
 #: An n-gram belongs to languages where its rate is this share of its best.
 SHARE = 0.25
 #: N-grams seen in fewer labelled texts are left out (typing errors).
@@ -191,7 +201,8 @@ class LanguageFilter:
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang",
           slots: int = SLOTS) -> LanguageFilter:
-    """Filter learnt from all rows with a text and a non-null language."""
+    """Filter learnt from all rows with a text and a non-null language, of at
+    least ``slots`` slots (a power of two)."""
     rows = labelled.select(labelled[text].cast("string").alias("text"),
                            labelled[lang].cast("string").alias("lang")).filter(
         "text IS NOT NULL AND lang IS NOT NULL")
@@ -201,9 +212,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang",
     n_texts = {r["lang"]: r["count"] for r in sizes}
     languages = sorted(n_texts)
     width = max(1, -(-len(languages) // 64))
-    words = np.zeros((slots, width), np.uint64)
     if not languages:
-        return LanguageFilter(languages, words)
+        return LanguageFilter(languages, np.zeros((slots, width), np.uint64))
     weight = F.element_at(F.array(*[F.lit(1.0 / n_texts[x]) for x in languages]), F.col("l") + 1)
     seen = (rows.mapInPandas(_counts(languages), "l int, gram long, n long")
             .groupBy("gram", "l").agg(F.sum("n").alias("n"))
@@ -213,6 +223,14 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang",
             .select("gram", "best", F.explode("of").alias("o"))
             .filter(F.col("o.rate") >= SHARE * F.col("best")).select("gram", F.col("o.l").alias("l")))
 
+    seen = stored(seen, "grams")
+    fullest = seen.groupBy("l").count().agg(F.max("count")).first()[0] or 0
+    while 1 - np.exp(-HASHES * fullest / slots) > FILL:
+        slots *= 2
+    if slots * width * 8 > FILTER_BYTES:
+        raise ValueError(f"{len(languages)} languages with up to {fullest} n-grams need a filter of {slots * width * 8} bytes")
+    words = np.zeros((slots, width), np.uint64)
+
     def to_slots(batches):
         for pdf in batches:
             h, lang = pdf["gram"].to_numpy(np.int64).view(np.uint64), pdf["l"].to_numpy(np.int32)
@@ -222,8 +240,16 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang",
 
     filled = (seen.mapInPandas(to_slots, "slot long, word int, bits long")
               .groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")))
-    got = filled.toArrow()  # at most slots * width rows: a fixed size
-    words[got["slot"].to_numpy(), got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    def pack(key, pdf):
+        block = np.zeros((min(_BLOCK, slots), width), np.uint64)
+        block[pdf["slot"].to_numpy() % _BLOCK, pdf["word"].to_numpy()] = pdf["bits"].to_numpy(np.int64).view(np.uint64)
+        return pd.DataFrame({"block": [key[0]], "words": [block.tobytes()]})
+
+    got = (filled.groupBy(F.shiftright("slot", _BLOCK.bit_length() - 1).alias("block"))
+           .applyInPandas(pack, "block long, words binary").toArrow())  # at most FILTER_BYTES
+    for block, held in zip(got["block"].to_pylist(), got["words"]):
+        at = block * _BLOCK
+        words[at:at + _BLOCK] = np.frombuffer(held.as_buffer(), np.uint64).reshape(-1, width)
     return LanguageFilter(languages, words)
 
 

@@ -132,6 +132,23 @@ def test_language_id_is_accurate_and_total(spark):
     assert {r.lang_pred for r in langid.language_id(make_docs(spark, [(1, "abc", None)])).collect()} == {"und"}
 
 
+
+def test_the_filter_grows_with_the_n_grams(spark, monkeypatch):
+    rng = random.Random(9)
+    many = [" ".join("".join(rng.choices("abcdefghijklm", k=7)) for _ in range(60)) for _ in range(80)]
+    few = [" ".join(rng.choice(["nopq", "qrst", "tuvw"]) for _ in range(60)) for _ in range(80)]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(t, "aa") for t in many for _ in (0, 1)] + [(t, "zz") for t in few])]
+    model = langid.learn(make_docs(spark, rows), slots=1 << 10)
+    assert model.false_rates().max() <= langid.FILL ** langid.HASHES * 1.05
+    assert model.judge(few[:5] + many[:5])[0] == ["zz"] * 5 + ["aa"] * 5
+    wide = [(1000 + i, few[0], f"l{i}") for i in range(140)]  # three words a slot
+    broad = langid.learn(make_docs(spark, rows + wide), slots=1 << 10)
+    assert broad.words.shape[1] == 3 and broad.judge(many[:5])[0] == ["aa"] * 5
+    monkeypatch.setattr(langid, "FILTER_BYTES", 1 << 12)
+    with pytest.raises(ValueError, match="need a filter of"):
+        langid.learn(make_docs(spark, rows), slots=1 << 10)
+
+
 def test_long_texts_count_like_short_ones(monkeypatch):
     text = prose(random.Random(1), 300) + "  12, " + prose(random.Random(2), 300)
     whole = Counter(h for hs, _ in langid.gram_rows([text]) for h in hs.tolist())
