@@ -142,7 +142,8 @@ def two_sided_normal_p(z: Column) -> Column:
     return F.when(z.isNotNull(), F.least(F.lit(1.0), erfc(z / math.sqrt(2.0))))
 
 
-#: Exact rank-sum tails are counted up to this many values of U.
+#: Exact rank-sum tails are counted in the JVM up to this many values of U, and
+#: by :func:`rank_sum_tail_closed` beyond.
 EXACT_U_MAX = 10_000
 
 
@@ -162,3 +163,30 @@ def rank_sum_tail(m: Column, n: Column, u: Column) -> Column:
                         F.lit(0.0), lambda s, x: s + x)
     ways = F.aggregate(F.sequence(F.lit(1), m.cast("int")), F.lit(1.0), lambda s, i: s * (n + i) / i)
     return F.when(top < 0, F.lit(0.0)).otherwise(count / ways)
+
+
+def rank_sum_tail_closed(m: int, n: int, u: int) -> float:
+    """:func:`rank_sum_tail` in exact integers, with work that depends on ``m``
+    (at most 8) only.  The arrangements with at most t = m n - u pairs are the
+    coefficient of q^t in prod (1 - q^(n+i)) / ((1 - q) prod (1 - q^i)); with
+    all factors below brought to 1 - q^period, it is a sum of binomials."""
+    top, period = m * n - u, math.lcm(*range(1, m + 1))
+    if top < 0:
+        return 0.0
+    upper = [1]
+    for i in (1, *range(1, m + 1)):  # times (1 - q^period) / (1 - q^i)
+        old = upper + [0] * (period - i)
+        upper = old[:]
+        for j in range(i, len(upper)):
+            upper[j] += upper[j - i] - (old[j - period] if j >= period else 0)
+    shifts = {0: 1}
+    for i in range(1, m + 1):
+        for at, sign in list(shifts.items()):
+            shifts[at + n + i] = shifts.get(at + n + i, 0) - sign
+    ways = 0
+    for at, sign in shifts.items():
+        t = top - at
+        if t >= 0:
+            ways += sign * sum(upper[j] * math.comb((t - j) // period + m, m)
+                               for j in range(t % period, min(t + 1, len(upper)), period))
+    return ways / math.comb(m + n, m)

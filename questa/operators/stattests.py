@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.special import EXACT_U_MAX, f_sf, rank_sum_tail, two_sided_normal_p
-from ..session import materialize
+from ..functions.special import EXACT_U_MAX, f_sf, rank_sum_tail, rank_sum_tail_closed, two_sided_normal_p
+from ..session import materialize, ship_package
 from .joins import join_per_group
 from .order import prefix_sum
 from .quantile import exact_quantile
@@ -146,13 +146,22 @@ def mannwhitney_stat(df: DataFrame, value: str, group: str, a: str, b: str,
 def mannwhitney(df: DataFrame, value: str, group: str, a: str, b: str,
                 partitions: int | None = None) -> DataFrame:
     """:func:`mannwhitney_stat` with ``pvalue``: exact where ``exact_case`` is
-    set and U has at most EXACT_U_MAX values (for a larger second sample the
-    normal approximation is used), else from ``z``."""
+    set, else from ``z``.  The exact tail is counted in the JVM while U has at
+    most EXACT_U_MAX values, in Python's integers (one row) beyond."""
+    ship_package(df.sparkSession)
     stat = mannwhitney_stat(df, value, group, a, b, partitions)
     m, n = F.least("n1", "n2"), F.greatest("n1", "n2")
-    counted = F.col("exact_case") & (m >= 1) & (m * n <= EXACT_U_MAX)
+    exact = F.col("exact_case") & (m >= 1)
+    counted = exact & (m * n <= EXACT_U_MAX)
+
+    @F.udf("double")
+    def closed(wanted, m, n, u):
+        return rank_sum_tail_closed(int(m), int(n), int(u)) if wanted else None
+
+    large = closed(exact & ~counted, m, n, F.ceil("u"))
     return stat.withColumn("pvalue", F.when(
-        counted, F.least(F.lit(1.0), 2 * rank_sum_tail(m, n, F.ceil("u")))).otherwise(two_sided_normal_p(F.col("z"))))
+        counted, F.least(F.lit(1.0), 2 * rank_sum_tail(m, n, F.ceil("u")))).when(
+        exact, F.least(F.lit(1.0), 2 * large)).otherwise(two_sided_normal_p(F.col("z"))))
 
 
 def long_form(df: DataFrame, cols: Sequence[str], group: str = "g", value: str = "v") -> DataFrame:

@@ -1,9 +1,12 @@
 """Numeric cross-checks against numpy brute force and published examples."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from questa.functions.special import rank_sum_tail_closed
 from questa.operators.knn import knn_regress_1d, knn_sorted
 from questa.operators.quantile import exact_quantile
 from questa.operators.regression import fit_ridge_poly2
@@ -103,6 +106,28 @@ def test_mannwhitney_published_example(spark):
     assert row.exact_case
 
 
+def test_mannwhitney_stays_exact_beside_a_large_sample(spark):
+    def plain(m, n, u):  # arrangements by U: those with and those without the largest value in the small sample
+        ways = {0: np.array([1] + [0] * (m * n), object)}
+        for i in range(1, m + 1):  # Gaussian binomial, factor by factor
+            c = ways[0].copy()
+            c[n + i:] -= ways[0][:len(c) - n - i] if n + i < len(c) else 0
+            for j in range(i, len(c)):
+                c[j] += c[j - i]
+            ways[0] = c
+        return sum(ways[0][u:]) / math.comb(m + n, m)
+
+    for m, n in ((1, 5), (2, 9), (3, 3), (5, 7), (8, 8), (8, 40), (7, 300)):
+        for u in {0, 1, m * n // 2, m * n * 2 // 3, m * n - 1, m * n}:
+            assert rank_sum_tail_closed(m, n, u) == pytest.approx(plain(m, n, u), rel=1e-14)
+    assert rank_sum_tail_closed(8, 10 ** 9, 8 * 10 ** 9) == pytest.approx(math.factorial(8) / 1e72, rel=1e-6)
+    for n in (10_000, 10_001):
+        df = spark.range(n).selectExpr("'a' AS g", "CAST(id AS double) AS v").union(
+            spark.range(1).selectExpr("'b' AS g", "1e9 AS v"))
+        row = mannwhitney(df, "v", "g", "a", "b").first()
+        assert row.exact_case and row.pvalue == pytest.approx(2 / (n + 1), rel=1e-12)
+
+
 def test_mannwhitney_u_matches_pairwise_count_with_ties(spark):
     rng = np.random.default_rng(9)
     a = rng.integers(0, 12, 300).astype(float)
