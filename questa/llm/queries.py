@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, html, langid, quality, secrets, simhash, tokencounts, urlfilter, warc
+from . import (bpe, decontam, divergence, filteraudit, html, langid, licenses, quality, secrets, simhash, tokencounts,
+               urlfilter, warc)
 from .common import read_table
 
 
@@ -78,7 +79,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_html, op5_token_counts, op6_warc, op7_url_filter,
-                                    op8_secrets, op9_quality, op10_decontamination)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(read_table(spark, sf_dir, "documents"))
+
 
-ORACLE_SQL: dict[str, str] = {}
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_html, op5_token_counts, op6_warc, op7_url_filter,
+                                    op8_secrets, op9_quality, op10_decontamination, op11_filter_audit, op12_licenses,
+                                    op13_divergence)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_filter_audit": filteraudit.AUDIT_SQL,
+    "op12_licenses": licenses.LICENSE_SQL,
+    "op13_divergence": divergence.DIVERGENCE_SQL,
+}
