@@ -18,6 +18,7 @@ from ..operators.classify import accuracy
 from ..operators.cost import fixed_cost_table, multiselect_cost, other_average
 from ..operators.features import MeanImputer, Standardizer, poly2_terms
 from ..operators.knn import knn_regress_1d
+from ..operators.knn_nd import knn_regress
 from ..operators.regression import mllib_ridge_pipeline, r2_by_group
 from ..operators.stattests import (levene, levene_stat, long_form, mannwhitney,
                                    mannwhitney_stat, normaltest)
@@ -427,6 +428,32 @@ def q_knn5(spark, sf_dir):
     return pred.select("c_custkey", "split", r6("pred").alias("pred"))
 
 
+@register("knn_nd", """
+WITH o AS (
+  SELECT o_orderkey, o_custkey, date_diff('day', DATE '1992-01-01', o_orderdate::DATE) AS day,
+         CAST(left(o_orderpriority, 1) AS INTEGER) * 100 AS priority, o_totalprice,
+         CASE WHEN substr(md5(concat('nd', CAST(o_orderkey AS VARCHAR))), 1, 8) < 'c0000000'
+              THEN 'train' ELSE 'valid' END AS split
+  FROM orders),
+nb AS (
+  SELECT q.o_orderkey, t.o_totalprice AS ty,
+         row_number() OVER (PARTITION BY q.o_orderkey ORDER BY (t.o_custkey - q.o_custkey) ** 2
+             + (t.day - q.day) ** 2 + (t.priority - q.priority) ** 2, t.o_orderkey) AS rn
+  FROM (SELECT * FROM o WHERE split = 'valid') q, (SELECT * FROM o WHERE split = 'train') t)
+SELECT o_orderkey, round(avg(ty), 6) AS pred FROM nb WHERE rn <= 5 GROUP BY o_orderkey""")
+def q_knn_nd(spark, sf_dir):
+    """5-NN regression of an order's price on customer number, day and
+    priority (with distance ties), exact, against all pairs."""
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    data = hash_split(orders.select("o_orderkey", "o_custkey", "o_totalprice",
+                                    F.date_diff("o_orderdate", F.lit("1992-01-01").cast("date")).alias("day"),
+                                    (F.left("o_orderpriority", F.lit(1)).cast("int") * 100).alias("priority")),
+                      "o_orderkey", 0.75, salt="nd")
+    pred = knn_regress(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "valid"),
+                       ["o_custkey", "day", "priority"], "o_totalprice", "o_orderkey", k=5)
+    return pred.select("o_orderkey", r6("pred").alias("pred"))
+
+
 @register("knn5_r2", _KNN_CUSTOMER_SQL + """,
 g AS (SELECT split, count(*) AS n, sum((y - pred) * (y - pred)) AS sse,
              var_pop(y) * count(*) AS sst FROM pred GROUP BY split),
