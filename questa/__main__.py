@@ -4,7 +4,7 @@
     python -m questa worth --survey survey.csv --out results/
 
 The CSV is parsed once, into the shared checkpoint folder; every step reads that
-copy.  ``--single-line`` splits the file among tasks (no line breaks in answers).
+copy.  Large files are read in ranges, whatever line breaks their answers hold.
 
 Writes the cleaned table as CSV (``correlation.csv/`` or ``worth.csv/``,
 folders of part files), the chart data as Parquet, and the metrics table
@@ -36,7 +36,7 @@ def _session() -> SparkSession:
     return builder.getOrCreate()
 
 
-def run_correlation(spark: SparkSession, survey_path: str, out: str, multiline: bool = True) -> None:
+def run_correlation(spark: SparkSession, survey_path: str, out: str, multiline: bool | str = "split") -> None:
     survey = materialize(read_survey_csv(spark, survey_path, multiline=multiline))
     cleaning.export_correlation(survey, f"{out}/correlation.csv")
     fit = correlation.fit_correlation(survey, key_unique=None)
@@ -51,7 +51,7 @@ def run_correlation(spark: SparkSession, survey_path: str, out: str, multiline:
         print(f"{r.analysis:12s} {r.metric:24s} {r.value}")
 
 
-def run_worth(spark: SparkSession, survey_path: str, out: str, multiline: bool = True) -> None:
+def run_worth(spark: SparkSession, survey_path: str, out: str, multiline: bool | str = "split") -> None:
     # the k-NN feature is the row position in file order, as in the original
     survey = materialize(read_survey_csv(spark, survey_path, multiline=multiline,
                                          row_order_col=worth.FILE_ORDER))
@@ -75,12 +75,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--survey", required=True, help="survey CSV (header row of question texts)")
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     p.add_argument("--single-line", action="store_true",
-                   help="no answer holds a line break: large files are read by many tasks")
+                   help="no answer holds a line break: no quotes need to be counted")
+    p.add_argument("--one-task", action="store_true",
+                   help="quotes may stand within unquoted answers: each file is read by one task")
     a = p.parse_args(argv)
     spark = _session()
     ensure_checkpoint_dir(spark)
     run = run_correlation if a.analysis == "correlation" else run_worth
-    run(spark, a.survey, a.out, multiline=not a.single_line)
+    run(spark, a.survey, a.out, multiline=False if a.single_line else True if a.one_task else "split")
 
 
 if __name__ == "__main__":

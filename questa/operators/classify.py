@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +61,12 @@ class ClassifierResult:
 
 def train_and_predict(df: DataFrame, features: Sequence[str], label: str = "label",
                       split: str = "split", train_value: str = "train",
-                      test_value: str = "test", reg: float | None = None) -> ClassifierResult:
+                      test_value: str = "test", reg: float | None = None,
+                      carry: Sequence[str] = ()) -> ClassifierResult:
     train_rows = df.filter(F.col(split) == train_value)
     scaler = Standardizer.fit(train_rows, features)
     cols = [scaler.expr(c).alias(c) for c in features]
-    prepared = df.select(*cols, F.col(label).cast("double").alias("label"), F.col(split))
+    prepared = df.select(*cols, F.col(label).cast("double").alias("label"), F.col(split), *carry)
     train = prepared.filter(F.col(split) == train_value).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_train = train.count()
@@ -76,6 +78,15 @@ def train_and_predict(df: DataFrame, features: Sequence[str], label: str = "labe
     return ClassifierResult(model, scaler, model.transform(test), n_train)
 
 
+def predicted_classes(res: ClassifierResult, key: str) -> DataFrame:
+    """(key, label, predicted, margin) of every test row (O-50): ``predicted`` is
+    1 if the margin, the log of the odds, is above 0.  ``key`` must be among the
+    columns that ``train_and_predict`` carried."""
+    return res.predictions.select(key, F.col("label").cast("int").alias("label"),
+                                  F.col("prediction").cast("int").alias("predicted"),
+                                  F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("margin"))
+
+
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Share of correct predictions (O-51), one row."""
     return pred.agg(F.count(F.lit(1)).alias("n_test"),

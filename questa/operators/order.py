@@ -12,6 +12,8 @@ Instead:
   ``monotonically_increasing_id`` (JVM only, no shuffle); weighted running
   sums from an Arrow-batched ``mapInPandas`` pass (no shuffle either).
 * ``hash_split``: a keyed md5 threshold, repeatable and shuffle-free.
+* ``exact_split_rows``: the same for rows without a unique key; rows that are
+  alike in everything are told apart by their place in a written copy.
 * ``exact_split``: the k-th smallest hash is found by a prefix histogram and
   an ``offset`` inside one bucket, so no global sort is needed.
 """
@@ -218,3 +220,57 @@ def exact_split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42,
     is_test = (F.col("_h") < F.lit(h_star)) | ((F.col("_h") == F.lit(h_star)) & (F.col(key) <= F.lit(k_star)))
     return (hashed.withColumn(out, F.when(is_test, F.lit(labels[1])).otherwise(F.lit(labels[0])))
             .drop("_h"))
+
+
+def exact_split_rows(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42, out: str = "split",
+                     labels: tuple[str, str] = ("train", "test"), within: Sequence[str] | None = None) -> DataFrame:
+    """Seeded split of *rows* with an exact test size ceil(test_frac * n): keys
+    may repeat or be null (O-38).
+
+    The test rows are those with the smallest (md5(seed:key), md5(seed:row)), where
+    the row's text holds the key and the columns ``within`` (all others by default), a
+    null apart from any text.  Rows that are equal in both hashes at the cut are
+    dealt by their place, so the split of a key goes through it; which of several
+    equal rows go to the test part makes no difference.  A key's rows thus stay
+    together except at the cut.  An empty table stays empty."""
+    cols = [key, *(within if within is not None else [c for c in df.columns if c != key])]
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    hashed = df.withColumn("_h", F.concat(
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))),
+        F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\x1f", *[part(c) for c in cols])))))
+    hist = sorted((r[0], r[1]) for r in hashed.groupBy(F.substring("_h", 1, 4).alias("b")).count().collect())
+    n = sum(c for _, c in hist)
+    t = math.ceil(test_frac * n)
+    if t <= 0 or t >= n:
+        return df.withColumn(out, F.lit(labels[0] if t <= 0 else labels[1]))
+    cut = _cut_hash(hashed.select("_h"), t, hist)
+    below, at = (hashed.agg(F.count_if(F.col("_h") < cut), F.count_if(F.col("_h") == cut)).first())
+    test, train = F.lit(labels[1]), F.lit(labels[0])
+    if below + at == t:  # no run of equal rows is cut
+        return hashed.withColumn(out, F.when(F.col("_h") <= cut, test).otherwise(train)).drop("_h")
+    clear = hashed.filter(F.col("_h") != cut).withColumn(out, F.when(F.col("_h") < cut, test).otherwise(train))
+    alike = materialize(hashed.filter(F.col("_h") == cut)).select(
+        "*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
+    offsets = alike.sparkSession.createDataFrame(_offsets(alike, F.count(F.lit(1))), f"{_PID} int, _q_off long")
+    place = F.col("_q_off") + F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
+    alike = (alike.join(F.broadcast(offsets), _PID)  # one row per partition
+             .withColumn(out, F.when(place < t - below, test).otherwise(train)).drop(_PID, _MID, "_q_off"))
+    return clear.unionByName(alike).drop("_h")
+
+
+def _cut_hash(hashed: DataFrame, k: int, hist: list[tuple[str, int]], max_bucket_rows: int = 1_000_000) -> str:
+    """The k-th smallest of the 64-digit hashes ``_h``, 1-based; found like
+    :func:`_kth_smallest`, for hashes that may repeat any number of times."""
+    plen, rest = 4, hashed
+    while True:
+        for b, c in hist:
+            if c >= k:
+                break
+            k -= c
+        rest = rest.filter(F.substring("_h", 1, plen) == F.lit(b))
+        if plen >= 64:
+            return b
+        if c <= max_bucket_rows:
+            return rest.orderBy("_h").offset(k - 1).limit(1).collect()[0][0]
+        plen += 4
+        hist = sorted((r[0], r[1]) for r in rest.groupBy(F.substring("_h", 1, plen).alias("b")).count().collect())

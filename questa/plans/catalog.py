@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.classify import accuracy
+from ..operators import mlp
+from ..operators.classify import accuracy, predicted_classes
 from ..operators.cost import fixed_cost_table, multiselect_cost, other_average
 from ..operators.features import MeanImputer, Standardizer, poly2_terms
 from ..operators.knn import knn_regress_1d
@@ -24,14 +25,15 @@ from ..operators.stattests import (levene, levene_stat, long_form, mannwhitney,
                                    mannwhitney_stat, normaltest)
 from ..functions.codebooks import DAYS_PER_YEAR
 from ..operators.joins import complete_cases, join_answers
-from ..operators.order import exact_split, hash_split, prefix_sum, row_position
+from ..operators.order import exact_split, exact_split_rows, hash_split, prefix_sum, row_position
+from ..operators.recode import recode_join
 from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_questionnaire,
                                   write_csv)
 from ..sources.tables import derived_survey, read_table
 from ..session import scratch_path
 from . import cleaning, correlation, worth
 from .report import correlation_report, worth_report
-from .sqlfrag import (CLASSIFIER_CTE, CORRELATION_CTE, CORRELATION_FIT_CTE, cost_values_sql, EVENTS_BASE, WITH_SURVEY,
+from .sqlfrag import (CLASSIFIER_CTE, NEWTON_STEPS, CORRELATION_CTE, CORRELATION_FIT_CTE, cost_values_sql, EVENTS_BASE, WITH_SURVEY,
                       WORTH_CTE, WORTH_LONG, WORTH_PARTS, WORTH_SPLIT_CTE, cups_sql, equip_sql,
                       knn_r2_sql, levene_p_sql, levene_sql, mannwhitney_p_sql, mannwhitney_sql, normaltest_sql, spend_sql)
 
@@ -216,6 +218,19 @@ def q_survey_csv_roundtrip(spark, sf_dir):
     return read_survey_csv(spark, path)
 
 
+@register("survey_csv_split", WITH_SURVEY + """
+SELECT id, cups, spend, equip, replace(methods, ', ', ',' || chr(10) || ' "x" ') AS methods,
+       row_number() OVER (ORDER BY id) AS file_row FROM survey""")
+def q_survey_csv_split(spark, sf_dir):
+    """Questionnaire CSVs whose answers hold line breaks and quotes, written
+    in the order of the ids and read in ranges, with the file order."""
+    path = scratch_path(spark, "survey-split-csv")
+    broken = survey(spark, sf_dir).withColumn("methods", F.replace("methods", F.lit(", "), F.lit(',\n "x" ')))
+    write_csv(to_questionnaire(broken.repartitionByRange("id").sortWithinPartitions("id")), path)
+    back = read_survey_csv(spark, path, multiline="split", row_order_col="file_row")
+    return back.withColumn("id", F.col("id").cast(broken.schema["id"].dataType))
+
+
 @register("csv_roundtrip", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def q_csv_roundtrip(spark, sf_dir):
@@ -271,6 +286,30 @@ def q_exact_split(spark, sf_dir):
     return exact_split(orders, "o_orderkey", 0.2, seed=42)
 
 
+@register("exact_split_rows", """
+SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN rn <= ceil(CAST(0.2 AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT l_orderkey, l_linenumber, l_returnflag, count(*) OVER () AS n,
+             row_number() OVER (ORDER BY md5(concat('42:', l_linenumber)), md5(concat('42:', '=', l_linenumber, chr(31), '=',
+                 l_orderkey, chr(31), '=', l_returnflag))) AS rn
+      FROM lineitem)""")
+def q_exact_split_rows(spark, sf_dir):
+    """Exact split of the order lines by line number: seven keys for all rows."""
+    lines = read_table(spark, sf_dir, "lineitem", "l_linenumber", "l_orderkey", "l_returnflag")
+    return exact_split_rows(lines, "l_linenumber", 0.2, seed=42, within=["l_orderkey", "l_returnflag"])
+
+
+@register("recode_join", """
+SELECT l_orderkey, l_linenumber, coalesce(p_type, CAST(l_partkey AS VARCHAR)) AS part
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 3 > 0) ON l_partkey = p_partkey""")
+def q_recode_join(spark, sf_dir):
+    """Part numbers recoded by a codebook of two thirds of the parts, by the
+    shuffled form for codebooks of any size."""
+    lines = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    codes = read_table(spark, sf_dir, "part", "p_partkey", "p_type").filter("p_partkey % 3 > 0")
+    return recode_join(lines, "l_partkey", codes, "p_partkey", "p_type", out="part", max_rows=0).select(
+        "l_orderkey", "l_linenumber", "part")
+
+
 # ------------------------------------------------------- features & ridge
 
 @register("mean_impute", WITH_SURVEY + f"""
@@ -603,6 +642,32 @@ def q_logistic_accuracy(spark, sf_dir):
                                             r6("accuracy").alias("accuracy"))
 
 
+@register("predicted_classes", "WITH RECURSIVE " + WORTH_SPLIT_CTE + "," + CLASSIFIER_CTE + f"""
+SELECT id, label::INTEGER AS label, CASE WHEN b0 + b1 * (outside_cost - mo) / CASE WHEN so > 0 THEN so ELSE 1 END
+       + b2 * (brewing_cost - mb) / CASE WHEN sb > 0 THEN sb ELSE 1 END > 0 THEN 1 ELSE 0 END AS predicted
+FROM dsplit, lg_st, lg_fit WHERE split = 'test' AND i = {NEWTON_STEPS}""")
+def q_predicted_classes(spark, sf_dir):
+    """The class of every held-out row (oracle: Newton steps)."""
+    d = worth.decision_table(survey(spark, sf_dir), True, materialized=True)
+    return predicted_classes(worth.classify_decision(d, carry=("id",)), "id").select("id", "label", "predicted")
+
+
+_MLP = mlp.Perceptron.start(2)
+
+
+@register("mlp_scores", "WITH " + WORTH_SPLIT_CTE + """,
+lg_st AS (SELECT avg(outside_cost) AS mo, stddev_pop(outside_cost) AS so, avg(brewing_cost) AS mb,
+                 stddev_pop(brewing_cost) AS sb FROM dsplit WHERE split = 'train'),
+lg_z AS (SELECT id, split, (outside_cost - mo) / CASE WHEN so > 0 THEN so ELSE 1 END AS x1,
+                (brewing_cost - mb) / CASE WHEN sb > 0 THEN sb ELSE 1 END AS x2 FROM dsplit, lg_st),
+""" + ",\n".join(mlp.score_sql(_MLP, ["x1", "x2"], "lg_z", ["id", "split"])) + """
+SELECT id, split, round(score, 6) AS score FROM mlp3""")
+def q_mlp_scores(spark, sf_dir):
+    """Forward pass of the 16-8 perceptron from its fixed start weights."""
+    rows = worth.standardized_split(survey(spark, sf_dir))
+    return mlp.score(rows, _MLP, worth.CLASSIFIER_FEATURES, carry=["id", "split"]).select("id", "split", r6("score").alias("score"))
+
+
 @register("worth_report", "WITH RECURSIVE " + WORTH_SPLIT_CTE + "," + ",".join((
     CLASSIFIER_CTE, WORTH_LONG, knn_r2_sql("kh", "brewing_cost", worth.KNN_SALTS["brewing_cost"]),
     knn_r2_sql("ko", "outside_cost", worth.KNN_SALTS["outside_cost"]))) + f""",

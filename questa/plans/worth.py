@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.features import Standardizer
 from ..operators.classify import train_and_predict
 from ..operators.knn import knn_sorted
 from ..operators.order import exact_split, hash_split, row_position
@@ -83,9 +84,19 @@ def classify(survey: DataFrame, key_unique: bool | None = True, reg: float | Non
     return classify_decision(decision_table(survey, key_unique, materialized=True), reg)
 
 
-def classify_decision(d: DataFrame, reg: float | None = None):
-    return train_and_predict(split_decision(d), ["outside_cost", "brewing_cost"], "label",
-                             "split", reg=reg)
+CLASSIFIER_FEATURES = ["outside_cost", "brewing_cost"]
+
+
+def classify_decision(d: DataFrame, reg: float | None = None, carry: tuple[str, ...] = ()):
+    return train_and_predict(split_decision(d), CLASSIFIER_FEATURES, "label", "split", reg=reg, carry=carry)
+
+
+def standardized_split(survey: DataFrame, key_unique: bool | None = True) -> DataFrame:
+    """(id, split, label, outside_cost, brewing_cost): the classifier's rows, costs
+    standardised on the training rows."""
+    d = decision_split(survey, key_unique)
+    scaler = Standardizer.fit(d.filter(F.col("split") == "train"), CLASSIFIER_FEATURES)
+    return d.select("id", "split", "label", *[scaler.expr(c).alias(c) for c in CLASSIFIER_FEATURES])
 
 
 def means(decision_df: DataFrame) -> DataFrame:

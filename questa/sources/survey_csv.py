@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codebooks import PANDAS_NA_TOKENS, SHORT_NAMES
@@ -34,28 +34,37 @@ def csv_options(multiline: bool = True) -> dict:
 def read_survey_csv(spark: SparkSession, path: str,
                     columns: Mapping[str, str] = SHORT_NAMES,
                     na_tokens: Iterable[str] = PANDAS_NA_TOKENS,
-                    multiline: bool = True, row_order_col: str | None = None) -> DataFrame:
+                    multiline: bool | str = True, row_order_col: str | None = None) -> DataFrame:
     """Read a header CSV and return ``columns`` (short name -> header text)
     as string columns, NA tokens mapped to null.
 
     ``multiline`` handles quoted newlines inside answers; it makes each file
-    a single split, so at scale turn it off for files known to be one record
-    per line (or convert the survey to Parquet once).
-
-    ``row_order_col`` adds the file order of each record, taken right after
-    the scan with ``monotonically_increasing_id`` (increasing in file order
-    for one file: a multi-line file is one split, and the splits of a plain
-    file keep their offset order).  The original analysis' row positions
-    follow this order.
+    a single split.  With ``"split"`` large files are read in many ranges all
+    the same (:mod:`split_csv`); False is for files of one record per line.
+
+    ``row_order_col`` adds the file order of each record.  With ``"split"`` it
+    is the record's number in the order of file names and lines, over any number
+    of files.  Else it is taken right after the scan with
+    ``monotonically_increasing_id``, which follows the file order of one file
+    only, as a scan packs several files by size.  The original analysis' row
+    positions follow this order.
     """
+    if multiline == "split":
+        from .split_csv import read_csv_split
+        raw = read_csv_split(spark, path, row_order_col)
+        return _answers(raw, columns, na_tokens, [F.col(row_order_col)] if row_order_col else [])
     raw = spark.read.options(**csv_options(multiline)).csv(path)
+    return _answers(raw, columns, na_tokens,
+                    [F.monotonically_increasing_id().alias(row_order_col)] if row_order_col else [])
+
+
+def _answers(raw: DataFrame, columns: Mapping[str, str], na_tokens: Iterable[str], order: list[Column]) -> DataFrame:
     # header text -> column as read (a byte-order mark may precede the first header)
     by_text = {c.lstrip("\ufeff"): c for c in raw.columns}
     missing = [h for h in columns.values() if h not in by_text]
     if missing:
         raise ValueError(f"survey file lacks questions: {missing}")
     tokens = list(na_tokens)
-    order = [F.monotonically_increasing_id().alias(row_order_col)] if row_order_col else []
     return raw.select(*[na_tokens_to_null(F.col(_quoted(by_text[header])), tokens).alias(short)
                         for short, header in columns.items()], *order)
 
