@@ -27,6 +27,7 @@ from ..functions.codebooks import DAYS_PER_YEAR
 from ..operators.joins import complete_cases, join_answers
 from ..operators.order import exact_split, exact_split_rows, hash_split, prefix_sum, row_position
 from ..operators.recode import recode_join
+from ..operators.row_function import apply_rows
 from ..sources.survey_csv import (read_csv_strings, read_survey_csv, to_questionnaire,
                                   write_csv)
 from ..sources.tables import derived_survey, read_table
@@ -136,6 +137,25 @@ def q_brewing_cost(spark, sf_dir):
     return df.select("id", "methods", "cup_assumptions", r6("brewing_cost").alias("brewing_cost"))
 
 
+def _cost_of_row(row, upfront, per_use):
+    """A user's row function: the dearest method's cost a day."""
+    dearest = max(row["methods"].split(", "), key=lambda m: upfront.get(m, 0))
+    return upfront.get(dearest, 0) / DAYS_PER_YEAR + per_use.get(dearest, 0) * row["cup_assumptions"]
+
+
+@register("row_function", "WITH " + WORTH_CTE + """
+SELECT id, round(brewing_cost, 6) AS brewing_cost FROM worth""")
+def q_row_function(spark, sf_dir):
+    """The same cost by a Python function of the row with bound tables."""
+    cc = complete_cases(survey(spark, sf_dir), "id", ["cups", "spend", "equip", "methods"], key_unique=True)
+    costs = {r.method: (r.upfront, r.per_use) for r in fixed_cost_table(spark).toLocalIterator()}
+    upfront, per_use = ({m: float(c[i]) for m, c in costs.items()} for i in (0, 1))
+    rows = cc.select("id", "methods", cleaning.cups_per_day().alias("cup_assumptions"))
+    done = apply_rows(rows, _cost_of_row, ["methods", "cup_assumptions"], "brewing_cost double", key="id",
+                      params={"upfront": upfront, "per_use": per_use})
+    return done.select("id", r6("brewing_cost").alias("brewing_cost"))
+
+
 @register("brewing_cost_join", "WITH " + WORTH_CTE + """
 SELECT id, methods, cup_assumptions, round(brewing_cost, 6) AS brewing_cost FROM worth""")
 def q_brewing_cost_join(spark, sf_dir):
@@ -244,6 +264,16 @@ def q_csv_roundtrip(spark, sf_dir):
                        "c_mktsegment")
 
 
+@register("csv_overwrite", """
+SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0""")
+def q_csv_overwrite(spark, sf_dir):
+    """An exported table replaced by a part of itself."""
+    path = scratch_path(spark, "customer-overwrite")
+    write_csv(read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal"), path)
+    write_csv(read_csv_strings(spark, path).filter(F.col("c_acctbal").cast("double") > 0), path)
+    return read_csv_strings(spark, path).select(F.col("c_custkey").cast("bigint"), "c_name")
+
+
 # ------------------------------------------------------------ order & splits
 
 @register("row_position", """

@@ -9,6 +9,7 @@ short names and turn pandas' NA tokens into nulls.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,8 +79,51 @@ def to_questionnaire(df: DataFrame, columns: Mapping[str, str] = SHORT_NAMES) ->
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a header CSV folder (one part file per partition; never funnel
     the table through one task with ``coalesce(1)``).  Quotes are doubled
-    inside quoted fields, as pandas writes them."""
-    df.write.mode(mode).options(**csv_options()).csv(path)
+    inside quoted fields, as pandas writes them.
+
+    ``mode="overwrite"`` replaces the folder as a whole: the rows are written
+    beside it, and only when all are there is the old folder put aside, the
+    new one put in its place and the old one dropped.  A write that fails
+    leaves the old table, which ``df`` may itself read; if the program ends
+    between the two renames, :func:`restore` (called by the next overwrite)
+    brings the old folder back."""
+    if mode != "overwrite":
+        df.write.mode(mode).options(**csv_options()).csv(path)
+        return
+    spark, path = df.sparkSession, path.rstrip("/")
+    restore(spark, path)
+    fs, of = _file_system(spark, path)
+    staged, aside = of(f"{path}.staged-{uuid.uuid4().hex[:12]}"), of(path + ".aside")
+    try:
+        df.write.options(**csv_options()).csv(staged.toString())
+        if not fs.exists(of(f"{staged.toString()}/_SUCCESS")):
+            raise OSError(f"{staged.toString()} is not complete")
+        if fs.exists(of(path)) and not fs.rename(of(path), aside):
+            raise OSError(f"cannot put {path} aside")
+        if not fs.rename(staged, of(path)):
+            restore(spark, path)
+            raise OSError(f"cannot put the new rows in {path}")
+        fs.delete(aside, True)
+    finally:
+        fs.delete(staged, True)
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Undo an overwrite that ended between its two renames, or drop what a
+    finished one left."""
+    fs, of = _file_system(spark, path.rstrip("/"))
+    aside = of(path.rstrip("/") + ".aside")
+    if fs.exists(aside):
+        if fs.exists(of(path)):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, of(path)):
+            raise OSError(f"cannot bring {path} back")
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system that Spark itself uses for ``path``, and its paths."""
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark._jsc.hadoopConfiguration()), of
 
 
 def read_csv_strings(spark: SparkSession, path: str,

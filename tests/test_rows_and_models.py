@@ -120,3 +120,44 @@ def test_predicted_classes_follow_the_margin(spark):
     assert sorted(r.id for r in got) == [i for i in range(200) if i % 4 == 0]
     assert all(r.predicted == (r.margin > 0) and r.label == rows[r.id][3] for r in got)
     assert sum(r.predicted == r.label for r in got) >= 45
+
+
+# ------------------------------------------------------------ row functions
+
+def test_row_function_types_nulls_and_errors(spark):
+    from questa.operators.row_function import apply_rows
+    df = spark.createDataFrame([(1, 4.0, "a"), (2, None, None), (3, 0.0, "c")], "id long, v double, s string").repartition(2)
+
+    def fn(row, factor):
+        return (None if row["v"] is None else factor / row["v"], [row["s"]] * 2)
+    got = {r.id: tuple(r) for r in apply_rows(df, fn, ["v", "s"], "q double, l array<string>", {"factor": 2}, "null").collect()}
+    assert got[1] == (1, 4.0, "a", 0.5, ["a", "a"], None) and got[2] == (2, None, None, None, [None, None], None)
+    assert got[3][3:5] == (None, None) and got[3][5].startswith("ZeroDivisionError")
+    with pytest.raises(Exception, match="failed for id = 3: ZeroDivisionError"):
+        apply_rows(df, fn, ["v", "s"], "q double, l array<string>", {"factor": 2}, key="id").collect()
+    with pytest.raises(Exception, match="the function failed for"):
+        apply_rows(df, lambda row: "text", ["v"], "q double").collect()
+    with pytest.raises(ValueError, match="exist already"):
+        apply_rows(df, fn, ["v"], "s string")
+    many = apply_rows(spark.range(1000), lambda row: row["id"] * 2, ["id"], "d long", batch_rows=7)
+    assert many.filter("d != id * 2").count() == 0 and many.count() == 1000
+    assert apply_rows(df.limit(0), lambda row: 1 / 0, ["v"], "q double").count() == 0
+
+
+# ---------------------------------------------------------------- overwrite
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
+    import os
+    from questa.sources import survey_csv
+    path = str(tmp_path / "t")
+    survey_csv.write_csv(spark.range(5).select("id"), path)
+    bad = spark.range(100, 140, 1, 4).select(F.when(F.col("id") == 139, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        survey_csv.write_csv(bad, path)
+    rows = lambda: sorted(int(r.id) for r in survey_csv.read_csv_strings(spark, path).collect())
+    assert rows() == [0, 1, 2, 3, 4] and os.listdir(tmp_path) == ["t"]
+    os.rename(path, path + ".aside")  # the program ended between the renames
+    survey_csv.restore(spark, path)
+    assert rows() == [0, 1, 2, 3, 4]
+    survey_csv.write_csv(survey_csv.read_csv_strings(spark, path).filter("id > 2"), path)
+    assert rows() == [3, 4] and os.listdir(tmp_path) == ["t"]
