@@ -61,8 +61,18 @@ def fit_ridge_poly2(train: DataFrame, x: str, y: str, alpha: float = 1.0) -> Rid
     xi = imp.expr(x)
     scale = MinMax(st["lo"], st["hi"])
     t = scale.expr(xi)
-    m = (train.select(t.alias("t"), F.col(y).cast("double").alias("y"))
-         .select("y", "t", (F.col("t") * F.col("t")).alias("t2"))
+    rows = (train.select(t.alias("t"), F.col(y).cast("double").alias("y"))
+            .select("y", "t", (F.col("t") * F.col("t")).alias("t2")))
+    n, intercept, b1, b2 = fit_ridge_2(rows, "t", "t2", "y", alpha)
+    return RidgePoly2(x, imp.means[x], scale, intercept, (0.0, b1, b2), n, alpha)
+
+
+def fit_ridge_2(rows: DataFrame, one: str, two: str, y: str, alpha: float) -> tuple[int, float, float, float]:
+    """(rows, intercept, slope of ``one``, slope of ``two``) of a ridge fit on two
+    columns, the intercept not penalised; one pass, rows without a target do
+    not count."""
+    m = (rows.filter(F.col(y).isNotNull())
+         .select(F.col(y).cast("double").alias("y"), F.col(one).alias("t"), F.col(two).alias("t2"))
          .agg(F.count(F.lit(1)).alias("n"), F.avg("t").alias("mt"), F.avg("t2").alias("mt2"),
               F.avg("y").alias("my"), F.var_pop("t").alias("v11"), F.var_pop("t2").alias("v22"),
               F.covar_pop("t", "t2").alias("v12"), F.covar_pop("t", "y").alias("c1"),
@@ -78,8 +88,7 @@ def fit_ridge_poly2(train: DataFrame, x: str, y: str, alpha: float = 1.0) -> Rid
     det = a11 * a22 - a12 * a12
     b1 = (a22 * r1 - a12 * r2) / det
     b2 = (a11 * r2 - a12 * r1) / det
-    intercept = m["my"] - b1 * m["mt"] - b2 * m["mt2"]
-    return RidgePoly2(x, imp.means[x], scale, intercept, (0.0, b1, b2), n, alpha)
+    return n, m["my"] - b1 * m["mt"] - b2 * m["mt2"], b1, b2
 
 
 def r2_by_group(df: DataFrame, y: str, pred: str, group: str) -> DataFrame:

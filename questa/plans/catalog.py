@@ -11,19 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import mlp
+from ..operators import mlp, stages
 from ..operators.classify import accuracy, predicted_classes
 from ..operators.cost import fixed_cost_table, multiselect_cost, other_average
 from ..operators.features import MeanImputer, Standardizer, poly2_terms
 from ..operators.knn import knn_regress_1d
 from ..operators.knn_nd import knn_regress
-from ..operators.regression import mllib_ridge_pipeline, r2_by_group
+from ..operators.regression import curve_grid, mllib_ridge_pipeline, r2_by_group
 from ..operators.stattests import (levene, levene_stat, long_form, mannwhitney,
                                    mannwhitney_stat, normaltest)
-from ..functions.codebooks import DAYS_PER_YEAR
+from ..functions.codebooks import CUPS_CODEBOOK, DAYS_PER_MONTH, DAYS_PER_YEAR, SPEND_CODEBOOK
 from ..operators.joins import complete_cases, join_answers
 from ..operators.order import exact_split, exact_split_rows, hash_split, prefix_sum, row_position
 from ..operators.recode import recode_join
@@ -422,6 +423,24 @@ def q_ridge_curve(spark, sf_dir):
     return correlation.curve(fit).select("i", r6("x").alias("x"), r6("y").alias("y"))
 
 
+@register("ridge_chain", ORACLE_SQL["ridge_curve"])
+def q_ridge_chain(spark, sf_dir):
+    """The fitted curve by a chain of stages (recode, scale, ridge) that was
+    fitted on the raw answers, saved and loaded again."""
+    s = complete_cases(survey(spark, sf_dir), "id", ["cups", "spend"], key_unique=True)
+    split = hash_split(s, "id", 0.75, salt=correlation.SPLIT_SALT)
+    chain = Pipeline(stages=[stages.Recode("cups", "cups_a_day", CUPS_CODEBOOK, "double"),
+                             stages.Recode("spend", "spend_a_day", SPEND_CODEBOOK, per=DAYS_PER_MONTH),
+                             stages.MinMaxPoly2("spend_a_day", ["t", "t2"]), stages.Ridge2(["t", "t2"], "cups_a_day")])
+    path = scratch_path(spark, "ridge-chain")
+    chain.fit(split.filter(F.col("split") == "train")).save(path)
+    loaded = PipelineModel.load(path)
+    lo, hi = loaded.stages[1].transform(split).agg(F.min("spend_a_day"), F.max("spend_a_day")).first()
+    grid = curve_grid(spark, lo, hi).withColumn("spend_a_day", F.col("x"))
+    fitted = PipelineModel(stages=loaded.stages[2:]).transform(grid)
+    return fitted.select("i", r6("x").alias("x"), r6("prediction").alias("y"))
+
+
 @register("ridge_mllib", "WITH " + CORRELATION_FIT_CTE + """
 SELECT metric, round(value, 4) AS value FROM (
   SELECT 'coef_t' AS metric, b1 AS value FROM model

@@ -161,3 +161,19 @@ def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
     assert rows() == [0, 1, 2, 3, 4]
     survey_csv.write_csv(survey_csv.read_csv_strings(spark, path).filter("id > 2"), path)
     assert rows() == [3, 4] and os.listdir(tmp_path) == ["t"]
+
+
+# ------------------------------------------------------------------- chains
+
+def test_cost_stage_survives_saving(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from questa.operators import stages
+    df = spark.createDataFrame([("2", "a, b"), ("Less than 1", "b"), ("3", "z"), ("1", None)], "cups string, methods string")
+    chain = Pipeline(stages=[stages.Recode("cups", "n", {"Less than 1": "0"}),
+                             stages.MultiselectCost("methods", "n", "cost", {"a": [365.0, 1.0], "b": [730.0, 0.5]})]).fit(df)
+    chain.save(str(tmp_path / "chain"))
+    loaded = PipelineModel.load(str(tmp_path / "chain"))
+    want = [(2, 3.0), (0, 2.0), (3, 0.0), (1, 0.0)]
+    assert [(r.n, r.cost) for r in loaded.transform(df).collect()] == want == [(r.n, r.cost) for r in chain.transform(df).collect()]
+    with pytest.raises(ValueError, match="no value"):
+        stages.MinMaxPoly2("n", ["t", "t2"]).fit(loaded.transform(df).limit(0))
