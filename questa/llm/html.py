@@ -37,176 +37,272 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 #: Elements whose content is no text of the page.
 SILENT_TAGS = frozenset("script style noscript template svg math iframe object canvas title head".split())
 #: Elements whose content is raw: only their own end tag ends them.
-RAW_TAGS = ("script", "style", "textarea", "title", "iframe", "noscript", "template")
+RAW_TAGS = frozenset(("script", "style", "textarea", "title", "iframe", "noscript", "template"))
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<|[^<]+",
-    re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: An attribute's name with what stands before it, and its equals sign.
+_ATTRIBUTE = re.compile(r"([\s/]*)([^\s/>][^\s/>=]*)?(\s*=\s*)?")
+_UNQUOTED = re.compile(r"[^\s>]*")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW_TAGS}
 _WORDS = re.compile(r"[a-z]+")
 _ENDS = re.compile(r"[.!?…:]['\"»”)]*$")
 
 
 @dataclass
 class Block:
-    """A leaf block: its text and the open elements around it."""
+    """A leaf block: its text, the kinds of open elements around it, and the
+    features of that place (shared by the blocks of one element)."""
     text: str
-    path: tuple[str, ...]
-    marks: tuple[str, ...]
+    path: frozenset[str]
+    place: tuple[int, ...]
     linked: int = 0
     inputs: int = 0
     label: int = 0
 
 
+#: Feature space: names are hashed to this many weights per label.
+WIDTH = 1 << 12
+
+
+def _slot(name: str) -> int:
+    return zlib.crc32(name.encode()) % WIDTH
+
+
 class _Open(NamedTuple):
-    """An open element, with what it and its ancestors add up to."""
+    """An open element, with what it and its ancestors add up to.  Sets that
+    an element does not change are its parent's own, so depth costs nothing."""
     tag: str
-    path: tuple[str, ...] = ()
-    marks: tuple[str, ...] = ()
+    path: frozenset[str] = frozenset()
+    around: frozenset[int] = frozenset((_slot("bias"),))
+    inner: str = ""    # the innermost block element
+    under: str | None = None  # the element below the first article
+    place: tuple[int, ...] = ()
     silent: bool = False
     link: bool = False
 
 
-_ROOT = _Open("")
+def _place(around: frozenset[int], inner: str, under: str | None) -> tuple[int, ...]:
+    names = [f"tag={inner}"] + ([f"under={under}"] if under is not None else [])
+    return tuple(sorted(around.union(map(_slot, names))))
+
+
+_ROOT = _Open("", place=_place(frozenset((_slot("bias"),)), "", None))
 #: Elements that an opening tag of the same kind ends.
 _REPEATED = frozenset(("p", "li", "td", "tr", "dt", "dd", "option"))
 _INLINE_END = frozenset(("p", "li", "a", "b", "i"))
 
 
-def _marks(attributes: str) -> tuple[tuple[str, ...], bool]:
+def _marks(attributes: list[tuple[str, str]]) -> tuple[list[str], bool]:
     """Word tokens of class, id and role, and whether the element is hidden."""
     tokens, hidden = [], False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+    for name, value in attributes:
+        name = name.lower()
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             hidden = True
         elif name == "style":
-            hidden = hidden or "display:none" in value.replace(" ", "")
+            hidden = hidden or "display:none" in "".join(value.lower().split())
         elif name in ("class", "id", "role"):
-            tokens += _WORDS.findall(value)
-    return tuple(tokens), hidden
+            tokens += _WORDS.findall(value.lower())
+    return tokens, hidden
+
+
+class Tag(NamedTuple):
+    name: str
+    attributes: list[tuple[str, str]]
+    end: bool
+    closed: bool  # ends in a slash of its own
+
+
+def tokens(page: str) -> Iterator[str | Tag]:
+    """Text pieces and tags in page order; every character is read a bounded
+    number of times.
+
+    Attributes are read as the HTML standard says: a quote opens a value only
+    right behind the equals sign.  A value whose quote is never closed ends with
+    the tag's ``>``.  Comments and declarations give nothing; an unended one, or an
+    unended raw element, runs to the end of the page.  A ``<`` before anything
+    that starts no markup is text."""
+    last = {quote: page.rfind(quote) for quote in "\"'"}
+    at, size = 0, len(page)
+    while at < size:
+        start = page.find("<", at)
+        if start < 0:
+            yield page[at:]
+            return
+        if start > at:
+            yield page[at:start]
+        if page.startswith("<!--", start):
+            at = page.find("-->", start + 4)
+            if at < 0:
+                return
+            at += 3
+            continue
+        end = page.startswith("</", start)
+        name = _NAME.match(page, start + 1 + end)
+        if name is None:
+            if end or page[start + 1:start + 2] in ("!", "?"):
+                at = page.find(">", start) + 1
+                if not at:
+                    return
+            else:
+                yield "<"
+                at = start + 1
+            continue
+        at, attributes, closed = name.end(), [], False
+        while at < size and page[at] != ">":
+            m = _ATTRIBUTE.match(page, at)
+            at, value = m.end(), ""
+            if m[2] is None:  # only what stands before the end
+                closed = m[1].endswith("/")
+                continue
+            if m[3] and at < size:
+                quote = page[at]
+                if quote in "\"'":
+                    stop = page.find(quote, at + 1) if at < last[quote] else -1
+                    if stop >= 0:
+                        value, at = page[at + 1:stop], stop + 1
+                    else:
+                        stop = page.find(">", at)
+                        stop = size if stop < 0 else stop
+                        value, at = page[at + 1:stop], stop
+                else:
+                    value = _UNQUOTED.match(page, at)[0]
+                    at += len(value)
+            attributes.append((m[2], value))
+        at += 1
+        tag = name[0].lower()
+        yield Tag(tag, attributes, end, closed)
+        if tag in RAW_TAGS and not end:
+            stop = _RAW_END[tag].search(page, at)
+            if stop is None:
+                return
+            at = page.find(">", stop.end()) + 1
+            yield Tag(tag, [], True, False)
+            if not at:
+                return
+
+
+class _Stack:
+    """Open elements, with the places of each kind and of the block elements."""
+
+    def __init__(self):
+        self.open: list[_Open] = [_ROOT]
+        self.of: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.holders: list[int] = []  # block elements other than p
+
+    def push(self, element: _Open) -> None:
+        k, tag = len(self.open), element.tag
+        self.open.append(element)
+        self.of.setdefault(tag, []).append(k)
+        if tag in BLOCK_TAGS:
+            self.blocks.append(k)
+            if tag != "p":
+                self.holders.append(k)
+
+    def cut(self, k: int) -> None:
+        while len(self.open) > k:
+            tag = self.open.pop().tag
+            self.of[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.blocks.pop()
+                if tag != "p":
+                    self.holders.pop()
+
+    def close(self, tag: str) -> None:
+        """An end tag: an inline or paragraph end doesn't cross its container."""
+        places = self.of.get(tag)
+        if places and not (tag in _INLINE_END and self.holders and self.holders[-1] > places[-1]):
+            self.cut(places[-1])
+
+    def make_room(self, tag: str) -> None:
+        """End what the start of ``tag`` ends: its like, or an open paragraph."""
+        like = tag if tag in _REPEATED else "p"
+        while self.blocks and self.open[self.blocks[-1]].tag in (like, "p"):
+            self.cut(self.blocks[-1])
+            if like == "p":
+                return
 
 
 def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks of a page in page order (null, empty: none).
+    """Leaf blocks of a page in page order (null, empty: none), in time linear
+    in the page.
 
     Unclosed elements are closed where their parent ends, ``p`` and ``li``
-    also by the next of their kind; a stray ``<`` is text; an unended comment
-    or script runs to the end of the page."""
+    also by the next of their kind; stray end tags are left out."""
     if not isinstance(page, str) or not page:
         return []
     out: list[Block] = []
-    stack: list[_Open] = [_ROOT]
-    texts: list[str] = []
+    stack, texts = _Stack(), []
     linked = inputs = 0
 
-    def close(tag: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag == tag:
-                del stack[k:]
-                return
-            if tag in _INLINE_END and stack[k].tag in BLOCK_TAGS and stack[k].tag != "p":
-                return  # an inline or paragraph end doesn't cross its container
-
-    def make_room(tag: str) -> None:
-        """End what the start of ``tag`` ends: its like, or an open paragraph."""
-        like = tag if tag in _REPEATED else "p"
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag == like or stack[k].tag == "p":
-                del stack[k:]
-                if like == "p":
-                    return
-                return make_room(tag)
-            if stack[k].tag in BLOCK_TAGS:
-                return
-
-    for m in _TOKEN.finditer(page):
-        tag = m[3]
-        if tag is None:
-            token, raw = m[0], m[1]
-            if raw is None:
-                if (token[0] != "<" or token == "<") and not stack[-1].silent:
-                    texts.append(token)
-                    if stack[-1].link:
-                        linked += len(token)
-            elif raw.lower() == "textarea":
-                inputs += 1
+    def flush() -> None:
+        text = " ".join(entities.unescape("".join(texts)).split())
+        if text:
+            o = stack.open[-1]
+            out.append(Block(text, o.path, o.place, min(linked, len(text)), inputs))
+        texts.clear()
+
+    for token in tokens(page):
+        o = stack.open[-1]
+        if isinstance(token, str):
+            if not o.silent:
+                texts.append(token)
+                if o.link:
+                    linked += len(token)
             continue
-        tag, attributes = tag.lower(), m[4]
+        tag = token.name
         block = tag in BLOCK_TAGS
         if block:
             if texts:
-                text = " ".join(entities.unescape("".join(texts)).split())
-                if text:
-                    o = stack[-1]
-                    out.append(Block(text, o.path, o.marks, min(linked, len(text)), inputs))
-                texts.clear()
+                flush()
             linked = inputs = 0
-        if m[2]:
-            close(tag)
+        if token.end:
+            stack.close(tag)
             continue
-        if tag in VOID_TAGS or attributes.endswith("/"):
-            inputs += tag == "input"
+        inputs += tag in ("input", "textarea")
+        if tag in VOID_TAGS or token.closed and tag not in RAW_TAGS:
             continue
         if block:
-            make_room(tag)
-        o = stack[-1]
-        marks, hidden = _marks(attributes) if attributes else ((), False)
-        stack.append(_Open(tag, (*o.path, tag) if block else o.path, o.marks + marks if marks else o.marks,
-                           o.silent or hidden or tag in SILENT_TAGS, o.link or tag == "a"))
+            stack.make_room(tag)
+            o = stack.open[-1]
+        marks, hidden = _marks(token.attributes) if token.attributes else ((), False)
+        new = {_slot(f"mark={m}") for m in marks}
+        path, inner, under = o.path, o.inner, o.under
+        if block:
+            new.add(_slot(f"in={tag}"))
+            if tag not in path:
+                path = path | {tag}
+            inner = tag
+            under = tag if under == "" else "" if under is None and tag == "article" else under
+        around = o.around if new <= o.around else o.around | new
+        same = around is o.around and inner == o.inner and under == o.under
+        stack.push(_Open(tag, path, around, inner, under, o.place if same else _place(around, inner, under),
+                         o.silent or hidden or tag in SILENT_TAGS or tag in RAW_TAGS, o.link or tag == "a"))
     if texts:
-        text = " ".join(entities.unescape("".join(texts)).split())
-        if text:
-            out.append(Block(text, stack[-1].path, stack[-1].marks, min(linked, len(text)), inputs))
+        flush()
     return out
 
 
 # ----------------------------------------------------------------- features
 
-#: Feature space: names are hashed to this many weights per label.
-WIDTH = 1 << 12
-
-
-def _slot(name: str) -> int:
-    return zlib.crc32(name.encode()) % WIDTH
-
-
-#: Slots of what a path and its marks give, by both; dropped when full.
-_PLACES: dict[tuple, list[int]] = {}
-
-
-def _place(b: Block) -> list[int]:
-    key = b.path, b.marks
-    got = _PLACES.get(key)
-    if got is None:
-        if len(_PLACES) > 20_000:
-            _PLACES.clear()
-        names = {"bias", f"tag={b.path[-1] if b.path else None}"}
-        names |= {f"in={t}" for t in b.path} | {f"mark={t}" for t in b.marks}
-        if "article" in b.path:
-            names.add(f"under={b.path[b.path.index('article'):][1:2]}")
-        got = _PLACES[key] = [_slot(n) for n in sorted(names)]
-    return got
-
-
 _LENGTH = [_slot(f"length={i}") for i in range(8)]
 _LINKED = [_slot(f"linked={i}") for i in range(3)]
 _ENDED = [_slot(f"ended={i}") for i in range(2)]
 _INPUT = _slot("input")
 
 
-def features(bs: list[Block]) -> list[list[int]]:
-    """Indices of the features each block has."""
+def features(bs: list[Block]) -> list[tuple[tuple[int, ...], list[int]]]:
+    """Indices of the features each block has: of its place, and its own."""
     out = []
     for b in bs:
         share = b.linked / len(b.text)
-        row = [*_place(b), _LENGTH[min(b.text.count(" ") + 1, 64).bit_length()],
+        row = [_LENGTH[min(b.text.count(" ") + 1, 64).bit_length()],
                _LINKED[0 if share < 0.1 else 1 if share < 0.6 else 2],
                _ENDED[bool(_ENDS.search(b.text[-8:]))]]
         if b.inputs:
             row.append(_INPUT)
-        out.append(row)
+        out.append((b.place, row))
     return out
 
 
@@ -216,12 +312,14 @@ class ChainModel:
     state: np.ndarray = field(default_factory=lambda: np.zeros((WIDTH, 2)))
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
 
-    def scores(self, rows: list[list[int]]) -> np.ndarray:
-        flat = np.fromiter((x for r in rows for x in r), np.int64)
-        starts = np.cumsum([0] + [len(r) for r in rows[:-1]])
-        return np.add.reduceat(self.state[flat], starts, axis=0)
+    def scores(self, rows: list[tuple[tuple[int, ...], list[int]]]) -> np.ndarray:
+        places = {id(p): p for p, _ in rows}  # a place is summed once, however many blocks it has
+        summed = {k: self.state[list(p)].sum(axis=0) for k, p in places.items()}
+        flat = np.fromiter((x for _, r in rows for x in r), np.int64)
+        starts = np.cumsum([0] + [len(r) for _, r in rows[:-1]])
+        return np.add.reduceat(self.state[flat], starts, axis=0) + np.array([summed[id(p)] for p, _ in rows])
 
-    def decode(self, rows: list[list[int]]) -> list[int]:
+    def decode(self, rows: list[tuple[tuple[int, ...], list[int]]]) -> list[int]:
         """Viterbi: the most likely labels (ties: boilerplate)."""
         if not rows:
             return []
@@ -244,7 +342,7 @@ class ChainModel:
 def fit(pages: list[list[Block]], rounds: int = 60, rate: float = 0.5, decay: float = 1e-3) -> ChainModel:
     """Conditional likelihood by gradient ascent with per-weight step sizes."""
     model = ChainModel()
-    data = [(features(p), np.array([b.label for b in p])) for p in pages if p]
+    data = [([[*place, *own] for place, own in features(p)], np.array([b.label for b in p])) for p in pages if p]
     if not data:
         return model
     width = max(len(y) for _, y in data)
@@ -430,11 +528,17 @@ def learn(pages: DataFrame, key: str = "page_id", html: str = "html",
           n: int = TRAINING_PAGES) -> ChainModel:
     """A model for these pages, from at most ``n`` sampled ones; without any
     page, from fixed words."""
-    h = pages[html].cast("string")
-    rows = (pages.filter(h.isNotNull()).select(F.substring(h, 1, TRAINING_CHARS).alias("h"),
-                                               F.xxhash64(pages[key]).alias("k"))
-            .orderBy("k", "h").limit(n).collect())
-    return fit(labelled_pages([r["h"] for r in rows] or ["<p>Some words of text.</p>"] * 40))
+    h = F.substring(pages[html].cast("string"), 1, TRAINING_CHARS)
+    hashes = pages.filter(pages[html].isNotNull()).select(F.xxhash64(pages[key]).alias("k"), F.xxhash64(h).alias("d"))
+    # first which pages, by their hashes alone, then only those
+    chosen = hashes.distinct().orderBy("k", "d").limit(n).collect()
+    if not chosen:
+        return fit(labelled_pages(["<p>Some words of text.</p>"] * 40))
+    wanted = F.struct(F.xxhash64(pages[key]).alias("k"), F.xxhash64(h).alias("d"))
+    rows = (pages.select(wanted.alias("w"), h.alias("h")).filter(F.col("w").isin(
+        [F.struct(F.lit(r.k).alias("k"), F.lit(r.d).alias("d")) for r in chosen]))
+        .groupBy("w").agg(F.min("h").alias("h")).collect())  # at most n rows of TRAINING_CHARS code points
+    return fit(labelled_pages([r["h"] for r in sorted(rows, key=lambda r: tuple(r["w"]))]))
 
 
 def main_text(page: str | None, model: ChainModel) -> str:
