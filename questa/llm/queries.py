@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -31,26 +31,21 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages, html.learn(pages)).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def document_edits(docs: DataFrame) -> DataFrame:
+def document_edits() -> list[Column]:
     """Four edits of each document, from its own text: its first line goes, its
     source is put in the middle, the last tenth is replaced by the first 40
     characters, and a line with its language is appended."""
-    n = F.length("text")
-    edit = lambda seq, start, stop, new: F.struct(
-        F.lit(seq).alias("seq"), F.lit(start).cast("long").alias("start"),
-        F.lit(stop).cast("long").alias("stop"), new.alias("new"))
-    none, end = F.lit(""), F.lit(2 ** 40)
-    return docs.select("doc_id", F.inline(F.array(
-        edit(1, F.lit(0), F.instr("text", "\n"), none),
-        edit(2, F.floor(n / 2), F.floor(n / 2), F.coalesce("source", none)),
-        edit(3, F.floor(n * 0.6), F.floor(n * 0.7), F.substring("text", 1, 40)),
-        edit(4, end, end, F.concat(F.lit("\nlang: "), F.coalesce("lang", none))))))
+    n, none, end = F.length("text"), F.lit(""), F.lit(2 ** 40)
+    changes = ((F.lit(0), F.instr("text", "\n"), none),
+               (F.floor(n / 2), F.floor(n / 2), F.coalesce("source", none)),
+               (F.floor(n * 0.6), F.floor(n * 0.7), F.substring("text", 1, 40)),
+               (end, end, F.concat(F.lit("\nlang: "), F.coalesce("lang", none))))
+    return [tokencounts.edit(F.lit(i), *change) for i, change in enumerate(changes, 1)]
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return tokencounts.edited_counts(docs, document_edits(docs), public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                                     public_tokenizers.PATTERN)
+    return tokencounts.counts_with_own_edits(read_table(spark, sf_dir, "documents"), document_edits(),
+                                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +90,32 @@ QUERIES = {f.__name__: f for f in (op1_simhash, op2_language_id, op3_bpe, op4_ht
                                     op8_secrets, op9_quality, op10_decontamination, op11_filter_audit, op12_licenses,
                                     op13_divergence)}
 
+_WORDS_SQL = ", ".join(f"'{w}'" for w in urlfilter.HOST_WORDS)
+_RULES_SQL = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM m""",
+    "op7_url_filter": rf"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+           FROM pages),
+h AS (SELECT row_number() OVER () AS row, page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+             translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+      FROM u),
+rules(rhost, rpath, verdict) AS (VALUES {_RULES_SQL}),
+fits AS (SELECT row, rhost || rpath AS rule, verdict,
+                row_number() OVER (PARTITION BY row ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) AS rn
+         FROM h, rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN len(list_intersect(string_split_regex(host, '[.-]'), [{_WORDS_SQL}])) > 0
+                              THEN 'block' ELSE 'allow' END) AS verdict
+FROM h LEFT JOIN (SELECT * FROM fits WHERE rn = 1) USING (row)""",
     "op11_filter_audit": filteraudit.AUDIT_SQL,
     "op12_licenses": licenses.LICENSE_SQL,
     "op13_divergence": divergence.DIVERGENCE_SQL,

@@ -14,10 +14,10 @@ there is no shuffle beyond the one that brings edits to their documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import MergeReplay, replay_of
@@ -179,16 +179,29 @@ def edited_counts(docs: DataFrame, edits: DataFrame, path: str, pattern: str, ke
     documents each get all edits of their key.  ``n_reencoded``: pre-tokens
     split and counted anew by the edits."""
     lists = (edits.filter(F.col(key).isNotNull())
-             .select(F.col(key).alias("_k"), F.struct(
-                 F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("seq"),
-                 F.coalesce(F.col("start").cast("long"), F.lit(0)).alias("start"),
-                 F.coalesce(F.col("stop"), F.col("start"), F.lit(0)).cast("long").alias("stop"),
-                 F.coalesce(F.col("new").cast("string"), F.lit("")).alias("new")).alias("e"))
+             .select(F.col(key).alias("_k"), edit(*[F.col(c) for c in ("seq", "start", "stop", "new")]).alias("e"))
              .groupBy("_k").agg(F.array_sort(F.collect_list("e")).alias("edits")))
     rows = docs.select(docs[key].alias("_k"), docs[text].cast("string").alias("text")).join(lists, "_k", "left")
     return count_rows(rows, path, pattern).withColumnRenamed("_k", key)
 
 
+def edit(seq: Column, start: Column, stop: Column, new: Column) -> Column:
+    """One edit as a struct, nulls as in :func:`edited_counts`."""
+    return F.struct(F.coalesce(seq.cast("long"), F.lit(0)).alias("seq"),
+                    F.coalesce(start.cast("long"), F.lit(0)).alias("start"),
+                    F.coalesce(stop, start, F.lit(0)).cast("long").alias("stop"),
+                    F.coalesce(new.cast("string"), F.lit("")).alias("new"))
+
+
+def counts_with_own_edits(docs: DataFrame, edits: Sequence[Column], path: str, pattern: str, key: str = "doc_id",
+                          text: str = "text") -> DataFrame:
+    """:func:`edited_counts` for edits made from each row itself (:func:`edit`
+    columns over ``docs``, in order): every row gets its own, whatever ids repeat
+    or are null, and nothing is shuffled."""
+    rows = docs.select(docs[key].alias("_k"), docs[text].cast("string").alias("text"), F.array(*edits).alias("edits"))
+    return count_rows(rows, path, pattern).withColumnRenamed("_k", key)
+
+
 COUNTS = ("n_tokens long, n_chars long, n_edits long, n_tokens_after long, n_chars_after long, "
           "n_reencoded long")
 
