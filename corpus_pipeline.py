@@ -3,11 +3,15 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``.  All but the last
 return the columns of ``documents``.  Rows are judged one by one, by a number that
-each stage gives them: a repeated or a null ``doc_id`` changes nothing.
+each stage gives them: a repeated or a null ``doc_id`` changes nothing.  Columns
+that ``documents`` does not have are carried along, whatever their names, up to the
+last stage.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +20,20 @@ from questa.llm import bpe, decontam, langid, secrets, simhash
 from questa.llm.common import ROW, numbered, read_table, ready, stored, without_ids
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def carrying(stage):
+    """A stage that sees only the columns of ``documents`` by their names: others,
+    whatever they are called, pass through it under names of its own."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner = [c if c in COLUMNS else f"_carried{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*inner), sf_dir).toDF(*docs.columns)
+    return run
+
+
+@carrying
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter, or of
     which no n-gram is known in any language, go."""
@@ -27,6 +45,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return judged.filter(known | F.lit(not model.languages)).select(*docs.columns)
 
 
+@carrying
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays: the one with the smallest id (rows without
     an id come last, the first of equal ids stays)."""
@@ -38,6 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return without_ids(rows, more, ROW).select(*docs.columns)
 
 
+@carrying
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark, or a paraphrase, go."""
     ready(spark)
@@ -46,6 +66,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return without_ids(rows, leaks.select(ROW), ROW).select(*docs.columns)
 
 
+@carrying
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; every reported secret is replaced by a mark, and
     n_chars follows the text."""
@@ -59,7 +80,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document."""
     ready(spark)
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    decoded = bpe.decode(bpe.encode(docs.select(*COLUMNS), path, pattern), path, pattern)
     return bpe.digests(decoded, carry=("ids",))
 
 
