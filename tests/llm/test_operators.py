@@ -4,6 +4,7 @@ texts, repeated rows, empty tables, extra columns with clashing names."""
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 from math import comb
 
@@ -222,6 +223,20 @@ def test_edits_keep_counts_right(monkeypatch, few):
             assert tree.text() == t and tree.n_tokens == len(enc.encode_ordinary(t)) and tree.n_chars == len(t)
 
 
+def test_rows_of_one_id_get_their_own_edits(spark):
+    texts = ["one two\nthree", "four", None, "", "five six seven eight\nnine " * 9]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i in (1, None) for t in texts * 5], "doc_id long, text string, lang string, source string")
+    edit = tokencounts.edit(F.lit(1), F.lit(0), F.instr("text", "\n"), F.lit("x "))
+    got = Counter(map(tuple, tokencounts.counts_with_own_edits(docs, [edit], PATH, PATTERN).collect()))
+    enc, want = encoder(), Counter()
+    for i in (1, None):
+        for t in texts * 5:
+            t = t or ""
+            after = "x " + t[t.find("\n") + 1:]
+            want[i, len(enc.encode_ordinary(t)), len(t), 1, len(enc.encode_ordinary(after)), len(after)] += 1
+    assert Counter({k[:6]: 0 for k in got}) + Counter(k[:6] for k in got.elements()) == want
+
+
 def test_edited_counts_table(spark):
     docs = make_docs(spark, AWKWARD)
     edits = spark.createDataFrame([(4, 2, 1, 1, " more"), (4, 1, None, None, "one "), (2, 1, 5, 9, None),
@@ -257,11 +272,95 @@ def test_main_text_of_a_page_and_awkward_ones(spark):
     assert html.extract(pages.limit(0), html.learn(pages.limit(0))).count() == 0
 
 
+def slow_tokens(page):
+    """The same tokens from a state machine that reads one character at a time."""
+    out, text, i, n = [], "", 0, len(page)
+    space = " \n\t"
+    while i < n:
+        c = page[i]
+        name_at = i + 2 if page[i + 1:i + 2] == "/" else i + 1
+        first = page[name_at:name_at + 1]
+        starts = c == "<" and first.isascii() and first.isalpha()
+        if c != "<" or not (starts or page[i + 1:i + 2] in ("/", "!", "?") and page[i + 1:i + 2]):
+            text, i = text + c, i + 1
+            continue
+        if text:
+            out.append(text)
+            text = ""
+        if not starts:
+            mark = "-->" if page[i:i + 4] == "<!--" else ">"
+            i = i + 4 if mark == "-->" else i
+            while i < n and page[i:i + len(mark)] != mark:
+                i += 1
+            i += len(mark)
+            continue
+        i, name, attributes = name_at, "", []
+        while i < n and page[i] not in space + "/>":
+            name, i = name + page[i], i + 1
+        while i < n and page[i] != ">":
+            if page[i] in space + "/":
+                i += 1
+                continue
+            key, value = page[i], ""
+            i += 1
+            while i < n and page[i] not in space + "/>=":
+                key, i = key + page[i], i + 1
+            k = i
+            while k < n and page[k] in space:
+                k += 1
+            if page[k:k + 1] == "=":
+                i = k + 1
+                while i < n and page[i] in space:
+                    i += 1
+                if page[i:i + 1] in ("'", '"') and page[i:i + 1]:
+                    quote = page[i] if page[i] in page[i + 1:] else ">"
+                    i += 1
+                    while i < n and page[i] != quote:
+                        value, i = value + page[i], i + 1
+                    i += quote != ">"
+                else:
+                    while i < n and page[i] not in space + ">":
+                        value, i = value + page[i], i + 1
+            attributes.append((key, value))
+        out.append((name, attributes))
+        i += 1
+    return out + ([text] if text else [])
+
+
+def test_tokens_match_a_plain_state_machine():
+    rng = random.Random(11)
+    pieces = ["<p", "<b>", "</p>", "</", "<", ">", "/", "=", " ", "'", '"', "class=x", " id='a b'", "it's", "text", "<!--", "-->", "<!d", "\n", "é"]
+    for _ in range(3000):
+        page = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 25)))
+        got, want = [], []
+        for t in html.tokens(page):
+            t = t if isinstance(t, str) else (t.name, t.attributes)
+            if isinstance(t, str) and got and isinstance(got[-1], str):
+                t = got.pop() + t
+            got.append(t)
+        for t in slow_tokens(page):
+            t = t if not isinstance(t, str) or not want or not isinstance(want[-1], str) else want.pop() + t
+            want.append(t)
+        assert got == want, page
+
+
+def test_quotes_in_values_lose_no_text_and_hostile_pages_are_linear():
+    texts = lambda page: [b.text for b in html.blocks(page)]
+    assert texts("<article><p>One.</p><p title=don't>Two words.</p><p>Three it's four.</p></article><p>end</p>") == [
+        "One.", "Two words.", "Three it's four.", "end"]
+    assert texts('<div class="x>One</div><p>Two</p>') == ["One", "Two"]
+    model, start = html.ChainModel(), time.monotonic()
+    for page in ('<a x=1 "' + "<b x " * 60_000 + "'", "<b>" * 60_000 + "</i>" * 60_000, "<div>" * 60_000 + "x",
+                 "<b>" * 40_000 + "<div></div>" * 20_000, "<i><div>" + "<b>" * 60_000 + "</i>" * 60_000):
+        model.decode(html.features(html.blocks(page)))
+    assert time.monotonic() - start < 30
+
+
 def test_viterbi_finds_the_best_labels():
     rng = np.random.default_rng(4)
     model = html.ChainModel(rng.normal(size=(html.WIDTH, 2)), rng.normal(size=(2, 2)))
     for n in (1, 2, 5):
-        rows = [rng.integers(0, html.WIDTH, 3).tolist() for _ in range(n)]
+        rows = [(tuple(rng.integers(0, html.WIDTH, 2).tolist()), rng.integers(0, html.WIDTH, 1).tolist()) for _ in range(n)]
         s = model.scores(rows)
         best = max(range(2 ** n), key=lambda m: sum(s[i][m >> i & 1] for i in range(n))
                    + sum(model.move[m >> i & 1][m >> i + 1 & 1] for i in range(n - 1)))

@@ -62,7 +62,7 @@ def test_stages_keep_columns_and_take_empty_tables(spark, folder):
 def test_entry_registers_every_operator():
     import __spark_entry__
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
 
 
 def test_rows_without_an_id_are_judged_like_any_other(spark, folder):
@@ -91,3 +91,15 @@ def test_rows_that_share_an_id_are_judged_one_by_one(spark, folder):
     found = secrets.find_secrets(make([(7, "token=abcdef12 a"), (7, "c")]))
     with pytest.raises(Exception, match="repeated doc_id"):
         secrets.redact(make([(7, "token=abcdef12 a"), (7, "c")]), found).collect()
+
+
+def test_extra_columns_of_any_name_pass_every_stage(spark, folder):
+    path, docs = folder
+    extra = ("score", "lang_pred", "_doc_row", "judged", "_text", "_id", "_order", "component_id", "spans", "_k", "_spans", "row")
+    schema = SCHEMA + "".join(f", {c} string" for c in extra)
+    table = spark.createDataFrame([(*d, len(d[1]) if d[1] else None, *extra) for d in docs], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, table, path)
+        assert out.count() > 0
+        if name != "byte_bpe":
+            assert out.columns == table.columns and [tuple(r) for r in out.select(*extra).distinct().collect()] == [extra]
