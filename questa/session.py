@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -92,6 +93,14 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the Python workers (once per context):
     a zip of its sources is handed to the executors, whatever folder they run
     in."""
+    with _SHIPPING:  # analyses may start from several driver threads
+        _ship(spark)
+
+
+_SHIPPING = threading.Lock()
+
+
+def _ship(spark: SparkSession) -> None:
     import zipfile
     sc = spark.sparkContext
     if getattr(sc, "_questa_shipped", False):
