@@ -110,12 +110,6 @@ def f_sf(w: Column, d1: Column, d2: Column) -> Column:
             .otherwise(beta_inc(d2 / 2, d1 / 2, d2 / total, d1 * w / total)))
 
 
-def binomial_cdf(k: Column, n: Column, p: Column) -> Column:
-    """P(X <= k) for X ~ Binomial(n, p)."""
-    k, n, p = k.cast("double"), n.cast("double"), p.cast("double")
-    return F.when(k < 0, F.lit(0.0)).when(k >= n, F.lit(1.0)).otherwise(beta_inc(n - k, k + 1, 1 - p, p))
-
-
 def erfc(t: Column) -> Column:
     """Complementary error function: its series near 0, a continued fraction
     (evaluated from the end) further out."""
