@@ -8,25 +8,27 @@
    benchmark give parts of ``A'AW``, a grouped sum adds them, and its QR gives an
    orthonormal basis Q of the leading right singular space.  Cosines do not
    change under rotation, so the last rotation to singular vectors is left out.
-3. Candidate search: the documents' windows are folded into that space and
-   compared with all benchmark passages in blocks (a stated query set against
-   all rows).  Besides, so that nothing that step 4 accepts is missed for its
-   place, its length or the words around it, an index of the passages' heavy
-   words gives every passage of which the text around a window, in windows of
-   the passage's own length class, holds enough words (``_gated``).
+3. Candidate search: passages fall into classes by length.  For each class the
+   documents' windows of that many words, starting every quarter of it, are
+   folded into the latent space and compared with all passages of the class in
+   blocks (a stated query set against all rows).  Only pairs with enough weight
+   and cosine go on; there is no other way to a result.
 4. Verification: longest common subsequence of words between the passage and
    the text around the window (bit-parallel); below COPY but not below
    PARAPHRASE the shared words must carry COPY of the passage's weight, and the
    answer, the item's last sentence, must be there as well.
 
-The benchmark is handled in blocks of at most BLOCK_WORDS words, so what is
-broadcast (vocabulary, basis, passages) has a fixed bound; more blocks mean more
-passes over the documents.
+Words are runs of letters, digits and marks; in scripts written without spaces
+every character is a word.  The benchmark's passages are made in tasks and
+handled in blocks of about BLOCK_WORDS words, so what is broadcast (vocabulary,
+basis, passages) has a fixed bound whatever the items' lengths; more blocks mean
+more passes over the documents.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,33 +39,39 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Words of a passage; windows and passages start every half passage.
+#: Words of a passage; passages start every half passage.
 PASSAGE = 32
 HALF = PASSAGE // 2
 #: Buckets of the word counts (2 MB of doubles).
 BUCKETS = 1 << 18
 RANK = 96
-COSINE = 0.5
-#: Share of a passage's weight that a window's known words must reach.
-ENERGY = 0.35
 COPY = 0.6
 PARAPHRASE = 0.4
 ANSWER = 0.8
-#: Length classes of passages: the windows they are looked up with.
-WIDTHS = (4, 8, 16, PASSAGE)
-#: Share of what a passage needs that its words outside the index may have.
-LIGHT = 0.9
+#: Length classes of passages: the windows they are looked up with.  Windows
+#: start every quarter of their width, so one of them is off by an eighth at most.
+WIDTHS = (1, 2, 4, 6, 8, 12, 16, 24, PASSAGE)
+#: Share of a passage's weight that a window's known words must reach: what the
+#: verification asks of the text, less an eighth for the window's place.
+ENERGY = PARAPHRASE * 7 / 8
+#: Cosine of candidates: a window with COPY of the passage's words, an eighth
+#: off its place, has 0.525 among foreign words of the same weight; heavier ones
+#: and words spread further need the rest.
+COSINE = 0.42
 #: Shorter passages (of whole items) must be there in full.
 SHORT = 5
 BLOCK_WORDS = 1 << 15
+#: A longer answer cannot stand within two passages on both sides of a window.
+ANSWER_WORDS = int(5 * PASSAGE / ANSWER)
 _BYTES = 1 << 20
 
-# bytes of words: letters and digits in lower case, and all non-ASCII bytes
-_CLASS = np.zeros(256, np.uint8)
-for _c in range(256):
-    _ch = chr(_c).lower()
-    if _c >= 128 or _ch.isalnum():
-        _CLASS[_c] = ord(_ch) if _c < 128 else _c
+#: Code points of scripts without spaces between words (Thai and
+#: Lao, Myanmar, Khmer, kana and their extensions, Han and its extensions).
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+            (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
+_KINDS: list[np.ndarray] = []
+# bytes between words of every script
+_GAP = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _PRIME = np.uint64(0x100000001B3)
 _POWERS: list[np.ndarray] = []
 
@@ -79,59 +87,76 @@ def _powers() -> list[np.ndarray]:
     return _POWERS
 
 
+def _kinds() -> np.ndarray:
+    """Per code point: 0 between words, 1 part of a word, 2 a word by itself."""
+    if not _KINDS:
+        kind = np.fromiter((unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)), np.uint8, 0x110000)
+        for lo, hi in UNSPACED:
+            kind[lo:hi + 1] *= 2
+        _KINDS.append(kind)
+    return _KINDS[0]
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
 
 
-def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word in at most _BYTES bytes."""
-    c = _CLASS[np.frombuffer(data, np.uint8)]
-    inside = np.concatenate(([False], c > 0, [False]))
-    edge = np.flatnonzero(inside[1:] != inside[:-1])
-    start, end = edge[::2], edge[1::2]
+def _hash_words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word in at most _BYTES code points."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kind = _kinds()[codes]
+    codes = np.where((codes >= 65) & (codes <= 90), codes + 32, codes)
+    run = np.concatenate(([False], kind == 1, [False]))
+    alone = kind == 2
+    start = np.flatnonzero(run[1:-1] & ~run[:-2] | alone)
+    end = np.flatnonzero(run[1:-1] & ~run[2:] | alone) + 1
     up, down = _powers()
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(c * up[:len(c)], dtype=np.uint64)))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.where(kind > 0, codes, 0) * up[:len(codes)], dtype=np.uint64)))
     return _mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)), start
 
 
+def _cut(text: bytes) -> int:
+    """Where to end the first piece of a longer text: behind its last gap, else
+    before its last character."""
+    piece = np.frombuffer(text[:_BYTES], np.uint8)
+    for ends in (np.flatnonzero(_GAP[piece]) + 1, np.flatnonzero((piece & 0xC0) != 0x80)):
+        if len(ends) and ends[-1]:
+            return int(ends[-1])
+    return len(piece)
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts one after the other, and each text's offset
     (one more than texts).  Texts are UTF-8; long ones go in pieces cut where
     no word is."""
     out: list[np.ndarray] = []
     counts = np.zeros(len(texts), np.int64)
-    held: list[bytes] = []
+    held: list[str] = []
     rows: list[int] = []
 
     def flush() -> None:
         if held:
-            h, start = _hash_words(b" ".join(held))
+            h, start = _hash_words(" ".join(held))
             at = np.cumsum([0] + [len(t) + 1 for t in held[:-1]])
-            counts[rows] += np.bincount(np.searchsorted(at, start, side="right") - 1, minlength=len(held))
+            n = np.bincount(np.searchsorted(at, start, side="right") - 1, minlength=len(held))
+            np.add.at(counts, rows, n)
             out.append(h)
             held.clear()
             rows.clear()
 
     size = 0
     for i, t in enumerate(texts):
-        if size + len(t) + 1 > _BYTES:
-            flush()
-            size = 0
-        while len(t) > _BYTES:
-            cut = np.flatnonzero(_CLASS[np.frombuffer(t[:_BYTES], np.uint8)] == 0)
-            cut = int(cut[-1]) + 1 if len(cut) else _BYTES
-            h, _ = _hash_words(t[:cut])
-            out.append(h)
-            counts[i] += len(h)
+        while t:
+            if size + len(t) + 1 > _BYTES:
+                flush()
+                size = 0
+            cut = len(t) if len(t) < _BYTES else _cut(t)
+            held.append(t[:cut].decode("utf-8", "replace"))
+            rows.append(i)
+            size += cut + 1
             t = t[cut:]
-        held.append(t)
-        rows.append(i)
-        size += len(t) + 1
-        if len(t) > _BYTES // 2:
-            flush()
-            size = 0
     flush()
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.concatenate(([0], np.cumsum(counts)))
 
@@ -200,25 +225,58 @@ def _random_rows(h: np.ndarray, rank: int) -> np.ndarray:
     return np.sqrt(-2 * np.log(u / 2 ** 53)) * np.cos(2 * np.pi * v / 2 ** 53)
 
 
-def basis(items: DataFrame, idf: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+def answer_of(text: str) -> str:
+    """What must be there of a paraphrased item: what follows its last question
+    mark, else its last sentence with at least three words, else all."""
+    after = re.split(r"[?\uff1f]", text)[-1]
+    if after.strip() and after != text:
+        return after
+    for part in reversed(re.split(r"(?<=[.!?])\s+|(?<=[\u3002\uff01])|\n", text)):
+        if len(word_hashes([part.encode("utf-8", "replace")])[0]) >= 3:
+            return part
+    return text
+
+
+_PASSAGES = "item long, body long, start long, words array<long>, answer array<long>"
+
+
+def passages(items: DataFrame) -> DataFrame:
+    """(item, body, start, words, answer): the passages of ``items`` (item,
+    body, text) with the hashes of their words; an answer over ANSWER_WORDS is
+    left empty, as nothing can hold it."""
+
+    def run(batches):
+        for pdf in batches:
+            for item, body, t in zip(pdf["item"], pdf["body"], pdf["text"]):
+                h = word_hashes([t.encode("utf-8", "replace")])[0].view(np.int64)
+                a = word_hashes([answer_of(t).encode("utf-8", "replace")])[0].view(np.int64)
+                a = a if len(a) <= ANSWER_WORDS else a[:0]
+                cuts = passages_of(len(h))
+                for lo in range(0, len(cuts), 1024):
+                    some = cuts[lo:lo + 1024]
+                    yield pd.DataFrame({"item": item, "body": body, "start": [s for s, _ in some],
+                                        "words": [h[s:e] for s, e in some], "answer": [a] * len(some)})
+
+    return items.mapInPandas(run, _PASSAGES)
+
+
+def basis(passages: DataFrame, idf: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, Q): orthonormal basis of the leading latent space of the
-    items' TF-IDF passages by randomised SVD; ``items`` has (item, text)."""
-    held = items.sparkSession.sparkContext.broadcast(idf)
+    TF-IDF ``passages`` by randomised SVD."""
+    held = passages.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
         idf = held.value
         for pdf in batches:
-            for t in pdf["text"]:
-                h, _ = word_hashes([t if isinstance(t, bytes) else b""])
-                for s, e in passages_of(len(h)):
-                    terms, n = np.unique(h[s:e], return_counts=True)
-                    w = n * idf[(terms & np.uint64(BUCKETS - 1)).astype(np.int64)]
-                    w = w / np.linalg.norm(w)
-                    z = np.outer(w, w @ _random_rows(terms, rank))
-                    yield pd.DataFrame({"term": np.repeat(terms.view(np.int64), rank),
-                                        "j": np.tile(np.arange(rank), len(terms)), "z": z.ravel()})
-
-    got = (items.mapInPandas(run, "term long, j long, z double").groupBy("term", "j")
+            for words in pdf["words"]:
+                terms, n = np.unique(np.asarray(words, np.int64).view(np.uint64), return_counts=True)
+                w = n * idf[(terms & np.uint64(BUCKETS - 1)).astype(np.int64)]
+                w = w / np.linalg.norm(w)
+                z = np.outer(w, w @ _random_rows(terms, rank))
+                yield pd.DataFrame({"term": np.repeat(terms.view(np.int64), rank),
+                                    "j": np.tile(np.arange(rank), len(terms)), "z": z.ravel()})
+
+    got = (passages.select("words").mapInPandas(run, "term long, j long, z double").groupBy("term", "j")
            .agg(F.sum("z").alias("z")).toArrow())  # at most BLOCK_WORDS * rank rows
     terms, row = np.unique(got["term"].to_numpy().view(np.uint64), return_inverse=True)
     z = np.zeros((len(terms), rank))
@@ -226,21 +284,6 @@ def basis(items: DataFrame, idf: np.ndarray, rank: int) -> tuple[np.ndarray, np.
     return terms, np.linalg.qr(z)[0] if len(terms) else z
 
 
-@dataclass
-class Gate:
-    """Postings of the heavy words of one length class's passages.  A passage's
-    light words are taken as present, so its bounds are never too tight."""
-    width: int
-    passage: np.ndarray    # numbers of its passages
-    words: np.ndarray      # their term numbers, filled up with -1
-    ptr: np.ndarray        # per term: where its postings start
-    of: np.ndarray         # posting: place in ``passage``
-    weight: np.ndarray     # posting: weight the term has there
-    times: np.ndarray      # posting: how often the term is there
-    light: np.ndarray      # per passage: weight and number of its light words
-    need: np.ndarray       # per passage: least weight, and least words with it or without
-
-
 @dataclass
 class Passages:
     """A block of the benchmark, as the documents' pass needs it."""
@@ -249,20 +292,16 @@ class Passages:
     basis: np.ndarray      # terms x rank, float32, times idf
     latent: np.ndarray     # passages x rank, unit length, float32
     energy: np.ndarray     # weight of each passage: sum of squared idf
-    item: list[int]        # item number of each passage
-    start: list[int]       # its first word in the item
+    origin: list[tuple]    # (item, body, first word in it) of each passage
     words: list[list[int]]  # term numbers of each passage
     answer: list[list[int]]  # term numbers of each passage's item's answer
 
     @property
-    def gates(self) -> list[Gate]:
-        """The index of each length class that has passages."""
-        if not hasattr(self, "_gates"):
-            size = np.array([len(w) for w in self.words])
-            least = (0, *WIDTHS[:-1])
-            ids = [np.flatnonzero((size > lo) & (size <= w)) for lo, w in zip(least, WIDTHS)]
-            self._gates = [_gate(self, w, of) for w, of in zip(WIDTHS, ids) if len(of)]
-        return self._gates
+    def classes(self) -> list[tuple[int, np.ndarray]]:
+        """(width, its passages) of each length class that has any."""
+        size = np.array([len(w) for w in self.words])
+        ids = [np.flatnonzero((size > lo) & (size <= w)) for lo, w in zip((0, *WIDTHS), WIDTHS)]
+        return [(w, of) for w, of in zip(WIDTHS, ids) if len(of)]
 
     @property
     def table(self) -> np.ndarray:
@@ -282,38 +321,19 @@ class Passages:
         return out
 
 
-def answer_of(text: str) -> str:
-    """What must be there of a paraphrased item: what follows its last question
-    mark, else its last sentence with at least three words, else all."""
-    if "?" in text and text.rsplit("?", 1)[1].strip():
-        return text.rsplit("?", 1)[1]
-    for part in reversed(re.split(r"(?<=[.!?])\s+|\n", text)):
-        if len(part.split()) >= 3:
-            return part
-    return text
-
-
-def prepare(items: list[tuple[int, str]], terms: np.ndarray, q: np.ndarray, idf: np.ndarray) -> Passages:
-    weight = idf[(terms & np.uint64(BUCKETS - 1)).astype(np.int64)]
-    block = Passages(terms, weight, (q * weight[:, None]).astype(np.float32), np.zeros((0, q.shape[1])),
-                     np.zeros(0), [], [], [], [])
-    latent, energy = [], []
-    for k, text in items:
-        h, _ = word_hashes([text.encode("utf-8", "replace")])
-        n = np.searchsorted(terms, h)
-        a, _ = word_hashes([answer_of(text).encode("utf-8", "replace")])
-        a = np.searchsorted(terms, a).tolist()
-        for s, e in passages_of(len(h)):
-            v = block.basis[n[s:e]].sum(axis=0)
-            latent.append(v / max(float(np.linalg.norm(v)), 1e-12))
-            energy.append(float((weight[n[s:e]] ** 2).sum()))
-            block.item.append(k)
-            block.start.append(s)
-            block.words.append(n[s:e].tolist())
-            block.answer.append(a)
-    block.latent = np.asarray(latent, np.float32).reshape(-1, q.shape[1])
-    block.energy = np.asarray(energy)
-    return block
+def prepare(rows: list[tuple], terms: np.ndarray, q: np.ndarray, idf: np.ndarray) -> Passages:
+    """The block of the passages ``rows`` (as of :func:`passages`)."""
+    hashes = lambda words: np.asarray(words, np.int64).view(np.uint64)
+    known = np.unique(np.concatenate([terms, *(hashes(r[4]) for r in rows)]))
+    weight = idf[(known & np.uint64(BUCKETS - 1)).astype(np.int64)]
+    folded = np.zeros((len(known), q.shape[1]), np.float32)  # words of answers only: no direction
+    folded[np.searchsorted(known, terms)] = q * weight[np.searchsorted(known, terms)][:, None]
+    words = [np.searchsorted(known, hashes(r[3])) for r in rows]
+    latent = np.array([folded[w].sum(axis=0) for w in words], np.float32).reshape(-1, q.shape[1])
+    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+    return Passages(known, weight, folded, latent, np.array([(weight[w] ** 2).sum() for w in words]),
+                    [tuple(r[:3]) for r in rows], [w.tolist() for w in words],
+                    [np.searchsorted(known, hashes(r[4])).tolist() for r in rows])
 
 
 # ------------------------------------------------------------------ the search
@@ -333,160 +353,73 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def _gate(block: Passages, width: int, ids: np.ndarray) -> Gate:
-    words = np.full((len(ids), width), -1, np.int64)
-    light, need, rows = np.zeros((2, len(ids))), np.zeros((3, len(ids))), []
-    for i, p in enumerate(ids):
-        m, energy = len(block.words[p]), block.energy[p]
-        words[i, :m] = block.words[p]
-        few, many = (PARAPHRASE * m, COPY * m) if m >= SHORT else (m, m)
-        need[:, i] = PARAPHRASE * energy * (1 - 1e-9), few - 1e-9, many - 1e-9
-        term, n = np.unique(words[i, :m], return_counts=True)
-        order = np.argsort(block.weight[term], kind="stable")
-        term, n = term[order], n[order]
-        w = n * block.weight[term] ** 2
-        k = int(np.sum((np.cumsum(w) <= LIGHT * need[0, i]) & (np.cumsum(n) <= LIGHT * need[1, i])))
-        light[:, i] = w[:k].sum(), n[:k].sum()
-        rows.append((term[k:], np.full(len(term) - k, i), w[k:], n[k:]))
-    term, of, w, n = (np.concatenate(x) for x in zip(*rows))
-    order = np.argsort(term, kind="stable")
-    ptr = np.searchsorted(term[order], np.arange(len(block.terms) + 1))
-    return Gate(width, ids, words, ptr, of[order], w[order], n[order].astype(float), light, need)
-
-
 def _windows(at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, start, end) of the windows of ``width`` words that start every
-    half width and end with their text."""
-    half, count = width // 2, np.diff(at)
-    windows = np.maximum(-(-count // half) - 1, (count > 0).astype(np.int64))
+    quarter width and end with their text."""
+    step, count = max(1, width // 4), np.diff(at)
+    windows = np.where(count > 0, 1 + np.maximum(-(-(count - width) // step), 0), 0)
     text = np.repeat(np.arange(len(count)), windows)
-    start = at[:-1][text] + half * (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows))
+    start = at[:-1][text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows))
     return text, start, np.minimum(start + width, at[1:][text])
 
 
-def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """start[0] .. start[0] + n[0] - 1, start[1] .. and so on."""
-    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-
-
-def _distinct(x: np.ndarray, where=slice(None)) -> np.ndarray:
-    x = np.sort(x[where])
-    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
-
-
-def _gated(block: Passages, gate: Gate, number: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
-    """(text, start, end, passage) of every window and passage of the class
-    where the text from half a width before to half a width behind holds either
-    PARAPHRASE of the passage's weight and words, or COPY of its words: what
-    the verification needs at least."""
-    half, terms, some = gate.width // 2, len(block.terms), len(gate.passage)
-    text, start, end = _windows(at, gate.width)
-    lo, hi = np.maximum(at[:-1][text], start - half), np.minimum(at[1:][text], end + half)
-    posts = np.where(number >= 0, gate.ptr[number + 1] - gate.ptr[number], 0)
-    total = np.concatenate(([0], np.cumsum(posts)))
-    maybe = np.flatnonzero(total[hi] > total[lo])
-    step = max(1, min(1024, (1 << 20) // some))
-    for first in range(0, len(maybe), step):
-        w = maybe[first:first + step]
-        n = hi[w] - lo[w]
-        at_word, win = _ranges(lo[w], n), np.repeat(np.arange(len(w)), n)
-        heavy = posts[at_word] > 0
-        win, num = np.divmod(_distinct(win[heavy] * terms + number[at_word[heavy]]), terms)
-        n = gate.ptr[num + 1] - gate.ptr[num]
-        post = _ranges(gate.ptr[num], n)
-        cell = np.repeat(win, n) * some + gate.of[post]
-        weight, times = (np.bincount(cell, x[post], len(w) * some).reshape(len(w), some) for x in (gate.weight, gate.times))
-        i, p = np.nonzero(_enough(gate, weight + gate.light[0], times + gate.light[1]))
-        # the same with the light words that are there
-        seen = np.unique(i)
-        n = hi[w[seen]] - lo[w[seen]]
-        at_word = _ranges(lo[w[seen]], n)
-        has = _distinct(np.repeat(seen, n) * terms + number[at_word], number[at_word] >= 0)
-        for c in range(0, len(i), 1 << 15):
-            ic, pc = i[c:c + (1 << 15)], p[c:c + (1 << 15)]
-            words = gate.words[pc]
-            wanted = ic[:, None] * terms + words
-            there = (words >= 0) & (has[np.minimum(np.searchsorted(has, wanted), len(has) - 1)] == wanted)
-            sure = _enough(gate, (there * block.weight[words] ** 2).sum(axis=1), there.sum(axis=1), pc)
-            for k, q in zip(w[ic[sure]], gate.passage[pc[sure]]):
-                yield text[k], start[k], end[k], q
-
-
-def _enough(gate: Gate, weight: np.ndarray, times: np.ndarray, of=slice(None)) -> np.ndarray:
-    need = gate.need[:, of]
-    return (weight >= need[0]) & (times >= need[1]) | (times >= need[2])
-
-
 def _verified(block: Passages, number: np.ndarray, at: np.ndarray, t: int, start: int, end: int, p: int,
               half: int) -> tuple | None:
-    """(lcs, passage words, passage start, kind) if the text around the window holds the passage."""
+    """(lcs, passage words, kind) if the text around the window holds the passage."""
     passage = block.words[p]
     near = number[max(at[t], start - half):min(at[t + 1], end + half)]
     near = near[near >= 0].tolist()
     common, m = lcs(passage, near), len(passage)
     if common >= (COPY * m if m >= SHORT else m):
-        return common, m, block.start[p], "copy"
+        return common, m, "copy"
     if common >= PARAPHRASE * m and m >= SHORT:
         answer, shared = block.answer[p], set(passage) & set(near)
         weight = sum(block.weight[x] ** 2 for x in passage if x in shared)
         far = number[max(at[t], start - 2 * PASSAGE):min(at[t + 1], end + 2 * PASSAGE)]
         if len(answer) >= 3 and weight >= COPY * block.energy[p] and lcs(answer, far[far >= 0].tolist()) >= ANSWER * len(answer):
-            return common, m, block.start[p], "paraphrase"
+            return common, m, "paraphrase"
     return None
 
 
 def search(block: Passages, h: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
-    """(text number, item, cosine, lcs, passage words, passage start, kind) of every verified
-    pair of a text and a benchmark passage."""
-    if not len(block.item) or not len(h):
+    """(text number, item, body, passage start, cosine, lcs, passage words, kind)
+    of every verified pair of a text's window and a benchmark passage."""
+    if not len(block.words) or not len(h):
         return
     number = block.numbers(h)
-    known = number >= 0
-    square = np.zeros(len(h) + 1)
-    np.cumsum(np.where(known, block.weight[number] ** 2, 0), out=square[1:])
-    text, start, end = _windows(at, PASSAGE)
-    energy = square[end] - square[start]
-    maybe = np.flatnonzero(energy >= ENERGY * block.energy.min())
-    for lo in range(0, len(maybe), 1024):
-        w = maybe[lo:lo + 1024]
-        n = end[w] - start[w]
-        first = np.cumsum(n) - n
-        words = np.repeat(start[w] - first, n) + np.arange(int(n.sum()))
-        rows = np.where(known[words, None], block.basis[number[words]], np.float32(0))
-        vec = np.add.reduceat(rows, first, axis=0)
-        vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-12)
-        cosine = vec @ block.latent.T
-        hit = (cosine >= COSINE) & (energy[w][:, None] >= ENERGY * block.energy)
-        for i, p in zip(*np.nonzero(hit)):
-            k = w[i]
-            got = _verified(block, number, at, text[k], start[k], end[k], p, HALF)
-            if got:
-                yield int(text[k]), block.item[p], float(cosine[i, p]), *got
-    for gate in block.gates:
-        for t, first, last, p in _gated(block, gate, number, at):
-            got = _verified(block, number, at, t, first, last, p, gate.width // 2)
-            if got:
-                own = number[first:last]
-                vec = block.basis[own[own >= 0]].sum(axis=0)
-                near = float(vec @ block.latent[p] / max(float(np.linalg.norm(vec)), 1e-12))
-                yield int(t), block.item[p], near, *got
-
-
-def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's items in runs of at most BLOCK_WORDS words (a longer
-    item alone), streamed to the driver."""
-    rows = benchmark.select(benchmark[key].alias("k"), F.lower(benchmark[text].cast("string")).alias("t")).filter(
-        "k IS NOT NULL AND t IS NOT NULL").distinct().orderBy("k", "t")
-    block, words = [], 0
-    for r in rows.toLocalIterator():
-        n = len(r["t"].split())
-        if block and words + n > BLOCK_WORDS:
-            yield block
-            block, words = [], 0
-        block.append((r["k"], r["t"]))
-        words += n
-    if block:
-        yield block
+    square = np.concatenate(([0], np.cumsum(np.where(number >= 0, block.weight[number] ** 2, 0))))
+    for width, ids in block.classes:
+        text, start, end = _windows(at, width)
+        energy, least, latent = square[end] - square[start], ENERGY * block.energy[ids], block.latent[ids].T
+        maybe = np.flatnonzero(energy >= least.min())
+        for lo in range(0, len(maybe), 1024):
+            w = maybe[lo:lo + 1024]
+            n = end[w] - start[w]
+            first = np.cumsum(n) - n
+            own = number[np.repeat(start[w] - first, n) + np.arange(int(n.sum()))]
+            rows = block.basis[own]
+            rows[own < 0] = 0
+            vec = np.add.reduceat(rows, first, axis=0)
+            vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-12)
+            cosine = vec @ latent
+            for i, c in zip(*np.nonzero((cosine >= COSINE) & (energy[w][:, None] >= least))):
+                k, p = w[i], ids[c]
+                got = _verified(block, number, at, text[k], start[k], end[k], p, max(1, width // 2))
+                if got:
+                    yield int(text[k]), *block.origin[p], float(cosine[i, c]), *got
+
+
+def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[DataFrame]:
+    """The passages of the distinct items, in blocks of about BLOCK_WORDS words
+    dealt by hash."""
+    rows = benchmark.select(benchmark[key].cast("long").alias("item"), F.lower(benchmark[text].cast("string")).alias("text"))
+    rows = rows.filter("item IS NOT NULL AND text IS NOT NULL").distinct().select(
+        "item", F.xxhash64("text").alias("body"), "text")
+    cut = stored(passages(rows), "passages")
+    blocks = -(-cut.count() * PASSAGE // BLOCK_WORDS)
+    block = F.pmod(F.xxhash64("item", "body", "start"), F.lit(blocks))
+    for b in range(blocks):
+        yield cut.filter(block == b)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -494,34 +427,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """(key, item_key, passages, cosine, lcs_share, kind): one row per document
     and benchmark item of which a passage was found.
 
-    ``passages``: benchmark passages found; ``cosine`` and ``lcs_share``: the
-    highest; ``kind``: copy if any was found as one, else paraphrase.  Null
-    texts and items are empty, rows with a null key are left out, repeated rows
-    count once, empty tables give an empty result."""
+    ``passages``: benchmark passages found (of all texts with that item's id);
+    ``cosine`` and ``lcs_share``: the highest; ``kind``: copy if any was found as
+    one, else paraphrase.  Null texts and items are empty, rows with a null key
+    are left out, repeated rows count once, empty tables give an empty result;
+    very long texts are read whole, in pieces."""
     spark = docs.sparkSession
-    schema = f"{key} long, {item_key} long, cosine double, lcs long, words long, start long, kind string"
+    schema = (f"{key} long, {item_key} long, body long, start long, cosine double, lcs long, words long, kind string")
+    names = [f.split()[0] for f in schema.split(", ")]
     found = spark.createDataFrame([], schema)
     idf = None
-    for items in _blocks(benchmark, item_key, item_text):
+    for part in _blocks(benchmark, item_key, item_text):
         if idf is None:
             idf = passage_frequencies(docs, text)
-        n = sum(len(passages_of(len(t.split()))) for _, t in items)
-        frame = spark.createDataFrame([(k, t) for k, t in items], "item long, text string").select(
-            "item", F.col("text").cast("binary").alias("text"))
-        terms, q = basis(frame.repartition(min(8, len(items))), idf, max(1, min(rank, n)))
-        held = spark.sparkContext.broadcast(prepare(items, terms, q, idf))
+        rows = [tuple(r) for r in part.toLocalIterator()]  # about BLOCK_WORDS words
+        if not rows:
+            continue
+        terms, q = basis(part, idf, min(rank, len(rows)))
+        held = spark.sparkContext.broadcast(prepare(rows, terms, q, idf))
 
         def run(batches, held=held):
             block = held.value
             for keys, texts in _batches((p[key], p["text"]) for p in batches):
                 keys = keys.to_numpy()
                 rows = [(keys[t], *rest) for t, *rest in search(block, *word_hashes(texts))]
-                yield pd.DataFrame(rows, columns=[key, item_key, "cosine", "lcs", "words", "start", "kind"])
+                yield pd.DataFrame(rows, columns=names)
 
         rows = docs.filter(docs[key].isNotNull()).select(
             docs[key].cast("long").alias(key), F.lower(docs[text].cast("string")).cast("binary").alias("text"))
         found = found.union(rows.mapInPandas(run, schema))
     found = stored(found, "leaks")
     return found.groupBy(key, item_key).agg(
-        F.count_distinct("start").alias("passages"), F.max("cosine").alias("cosine"),
+        F.count_distinct("body", "start").alias("passages"), F.max("cosine").alias("cosine"),
         F.max(F.col("lcs") / F.col("words")).alias("lcs_share"), F.min("kind").alias("kind"))

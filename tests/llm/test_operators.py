@@ -667,7 +667,16 @@ def test_planted_passages_are_found_and_clean_texts_left(spark):
     assert decontam.contaminated(make_docs(spark, rows), bench.limit(0)).count() == 0
 
 
-def test_search_finds_what_plain_lcs_finds_anywhere():
+def _passage_rows(items):
+    """What ``decontam.passages`` makes of (id, text)."""
+    rows = []
+    for k, t in items:
+        h, a = (decontam.word_hashes([x.encode()])[0].view(np.int64) for x in (t, decontam.answer_of(t)))
+        rows += [(k, 0, s, h[s:e], a) for s, e in decontam.passages_of(len(h))]
+    return rows
+
+
+def test_latent_search_recalls_what_plain_lcs_finds_anywhere():
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
     items = [(i, " ".join(rng.sample(vocabulary, n))) for i, n in enumerate([3, 6, 9, 14, 20, 32, 32, 40, 50] * 4)]
@@ -679,22 +688,42 @@ def test_search_finds_what_plain_lcs_finds_anywhere():
         at = 30 + i % 16
         texts.append(" ".join(around[:at] + words + around[at:]).encode())
         held.append((i, k))
-    terms = np.unique(decontam.word_hashes([t.encode() for _, t in items])[0])
+    rows = _passage_rows(items)
+    terms = np.unique(np.concatenate([r[3] for r in rows]).view(np.uint64))
     q = np.linalg.qr(np.random.default_rng(1).normal(size=(len(terms), decontam.RANK)))[0]
-    block = decontam.prepare(items, terms, q, np.full(decontam.BUCKETS, 3.0))
+    block = decontam.prepare(rows, terms, q, np.full(decontam.BUCKETS, 3.0))
     h, at = decontam.word_hashes(texts)
-    got = {(t, k) for t, k, *_ in decontam.search(block, h, at)}
-    assert set(held) <= got
-    number = block.numbers(h)
-    for width, least in ((4, 0), (8, 4), (16, 8), (32, 16)):  # no gate at all
-        of = [p for p, w in enumerate(block.words) if least < len(w) <= width]
+    got = {(t, *origin) for t, *origin, _, _, _, _ in decontam.search(block, h, at)}
+    assert set(held) <= {(t, k) for t, k, _, _ in got}
+    number, exact = block.numbers(h), set()
+    for width, of in block.classes:  # no candidate search at all
         for t, start, end in zip(*decontam._windows(at, width)):
-            near = number[max(at[t], start - width // 2):min(at[t + 1], end + width // 2)]
-            near = near[near >= 0].tolist()
             for p in of:
-                m = len(block.words[p])
-                if decontam.lcs(block.words[p], near) >= (decontam.COPY * m if m >= decontam.SHORT else m):
-                    assert (t, block.item[p]) in got
+                if decontam._verified(block, number, at, t, start, end, p, max(1, width // 2)):
+                    exact.add((t, *block.origin[p]))
+    assert got <= exact and len(got) >= 0.9 * len(exact)
+    block.latent[:] = 0  # there is no other way to a result
+    assert not list(decontam.search(block, h, at))
+
+
+def test_words_without_spaces_and_repeated_item_ids(spark):
+    zh = "\u5929\u5730\u7384\u9ec4\u5b87\u5b99\u6d2a\u8352\u65e5\u6708\u76c8\u6603\u8fb0\u5bbf\u5217\u5f20\u5bd2\u6765\u6691\u5f80"
+    before, behind = "\u4eca\u65e5\u8bfb\u4e66", "\u4ee5\u540e\u518d\u8bf4"
+    plain = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    bench = spark.createDataFrame([(1, zh), (2, f"\u201c{plain}\u201d"), (2, "one id two texts six words each"), (3, "")],
+                                  "item_id long, text string")
+    docs = make_docs(spark, [(1, before + zh + behind, "zh"), (2, plain.replace("beta ", "beta\u2014"), "en"),
+                             (3, f"{plain} and one id two texts six words each", "en"), (4, before + behind, "zh"), (5, None, None)])
+    got = {(r.doc_id, r.item_id): r.passages for r in decontam.contaminated(docs, bench).collect()}
+    assert got == {(1, 1): 1, (2, 2): 1, (3, 2): 2}
+    assert decontam.word_hashes([zh.encode()])[1].tolist() == [0, 20]
+
+
+def test_words_by_code_point():
+    one = lambda t: decontam.word_hashes([t.encode()])[0].tolist()
+    assert one("\u201calpha beta\u2014gamma\u201d") == one('"alpha beta-gamma"') == one("alpha, beta gamma")
+    assert one("\u5929 \u5730") == one("\u5929\u5730") and len(one("a\u5929b")) == 3
+    assert decontam.answer_of("\u4ec0\u4e48\u662f\u5929\uff1f\u5730\u7684\u4e0a\u9762") == "\u5730\u7684\u4e0a\u9762"
 
 
 def test_without_ids_keeps_null_keys(spark, monkeypatch):
