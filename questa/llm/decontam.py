@@ -55,9 +55,8 @@ WIDTHS = (1, 2, 4, 6, 8, 12, 16, 24, PASSAGE)
 #: verification asks of the text, less an eighth for the window's place.
 ENERGY = PARAPHRASE * 7 / 8
 #: Cosine of candidates: a window with COPY of the passage's words, an eighth
-#: off its place, has 0.525 among foreign words of the same weight; heavier ones
-#: and words spread further need the rest.
-COSINE = 0.42
+#: off its place, has 0.525 among foreign words of the same weight.
+COSINE = 0.5
 #: Shorter passages (of whole items) must be there in full.
 SHORT = 5
 BLOCK_WORDS = 1 << 15
@@ -303,6 +302,13 @@ class Passages:
         ids = [np.flatnonzero((size > lo) & (size <= w)) for lo, w in zip((0, *WIDTHS), WIDTHS)]
         return [(w, of) for w, of in zip(WIDTHS, ids) if len(of)]
 
+    @property
+    def places(self) -> list[dict[int, int]]:
+        """:func:`places_of` each passage."""
+        if not hasattr(self, "_places"):
+            self._places = [places_of(w) for w in self.words]
+        return self._places
+
     @property
     def table(self) -> np.ndarray:
         """Whether a term has these low bits."""
@@ -338,18 +344,22 @@ def prepare(rows: list[tuple], terms: np.ndarray, q: np.ndarray, idf: np.ndarray
 
 # ------------------------------------------------------------------ the search
 
-def lcs(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence (one bit per word of ``a``)."""
+def places_of(a: list[int]) -> dict[int, int]:
+    """One bit per place of each word."""
     places: dict[int, int] = {}
     for i, w in enumerate(a):
         places[w] = places.get(w, 0) | 1 << i
+    return places
+
+
+def lcs(a: list[int], b: list[int], places: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence; ``places`` are those of ``a``."""
+    places = places or places_of(a)
     full = (1 << len(a)) - 1
     row = full
-    for w in b:
-        p = places.get(w)
-        if p:
-            u = row & p
-            row = (row + u | row - u) & full
+    for p in filter(None, map(places.get, b)):
+        u = row & p
+        row = (row + u | row - u) & full
     return len(a) - row.bit_count()
 
 
@@ -369,7 +379,7 @@ def _verified(block: Passages, number: np.ndarray, at: np.ndarray, t: int, start
     passage = block.words[p]
     near = number[max(at[t], start - half):min(at[t + 1], end + half)]
     near = near[near >= 0].tolist()
-    common, m = lcs(passage, near), len(passage)
+    common, m = lcs(passage, near, block.places[p]), len(passage)
     if common >= (COPY * m if m >= SHORT else m):
         return common, m, "copy"
     if common >= PARAPHRASE * m and m >= SHORT:
@@ -381,6 +391,21 @@ def _verified(block: Passages, number: np.ndarray, at: np.ndarray, t: int, start
     return None
 
 
+def _next(at: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Where the text of each place ends."""
+    return at[np.minimum(np.searchsorted(at, place, side="right"), len(at) - 1)]
+
+
+def _folded(block: Passages, number: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sums of the basis over the known words of each piece."""
+    out = np.zeros((len(begin), block.basis.shape[1]), np.float32)
+    for j in range(int((end - begin).max(initial=0))):
+        own = np.where(begin + j < end, number[np.minimum(begin + j, len(number) - 1)], -1)
+        some = np.flatnonzero(own >= 0)
+        out[some] += block.basis[own[some]]
+    return out
+
+
 def search(block: Passages, h: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
     """(text number, item, body, passage start, cosine, lcs, passage words, kind)
     of every verified pair of a text's window and a benchmark passage."""
@@ -392,14 +417,16 @@ def search(block: Passages, h: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
         text, start, end = _windows(at, width)
         energy, least, latent = square[end] - square[start], ENERGY * block.energy[ids], block.latent[ids].T
         maybe = np.flatnonzero(energy >= least.min())
+        step = max(1, width // 4)
         for lo in range(0, len(maybe), 1024):
             w = maybe[lo:lo + 1024]
-            n = end[w] - start[w]
-            first = np.cumsum(n) - n
-            own = number[np.repeat(start[w] - first, n) + np.arange(int(n.sum()))]
-            rows = block.basis[own]
-            rows[own < 0] = 0
-            vec = np.add.reduceat(rows, first, axis=0)
+            # pieces of ``step`` words, each folded once, then summed by window
+            piece = start[w][:, None] + step * np.arange(width // step)
+            piece = np.minimum(piece, end[w][:, None])  # behind the text's end: empty
+            begin, of = np.unique(piece, return_inverse=True)
+            vec = _folded(block, number, begin, np.minimum(begin + step, _next(at, begin)))[of.reshape(piece.shape)]
+            vec[piece == end[w][:, None]] = 0
+            vec = vec.sum(axis=1)
             vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-12)
             cosine = vec @ latent
             for i, c in zip(*np.nonzero((cosine >= COSINE) & (energy[w][:, None] >= least))):
