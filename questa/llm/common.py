@@ -59,3 +59,18 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     ids = ids.filter(F.col(key).isNotNull()).distinct()
     n = ids.limit(BROADCAST_IDS + 1).count()
     return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, key, "left_anti")
+
+
+#: A key is hot if it holds more than this share of all rows; so at most HOT are.
+HOT = 1024
+
+
+def join_split(rows: DataFrame, classes: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` joined with ``classes`` (one row per ``key``, with the number
+    ``n`` of rows that have it), without dealing a hot key to one task: the at
+    most HOT keys with over 1/HOT of all rows are broadcast, the others are
+    shuffled.  Rows with a null or unknown key are dropped; ``n`` goes."""
+    total = classes.agg(F.sum(n)).first()[0] or 0
+    hot = F.broadcast(classes.filter(F.col(n) * HOT > total).drop(n))
+    rest = rows.join(hot.select(key), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(classes.filter(F.col(n) * HOT <= total).drop(n), key))

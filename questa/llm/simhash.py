@@ -12,7 +12,9 @@
    and (those with an even sum only: neighbours differ in parity) the cells one
    step away.  The equi-join on the cell keeps pairs within the Manhattan
    bound and then within the exact Hamming distance.
-5. Connected components of the links (``graph.components``).
+5. Connected components of the links (``graph.components``).  Rows get the
+   component of their fingerprint by a join that deals no hot fingerprint, and
+   no large component, to one task (``join_split``).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import join_split, stored
 
 SEED = 42
 SEGMENT_BITS = 2
@@ -143,16 +145,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Repeated rows each get their own result row; an empty table gives none.
     """
     fps = stored(fingerprints(docs, key, text, shingle).withColumnRenamed(key, "id"), "fp")
-    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("low")), "fp-nodes")
-    found = components_of(nodes, max_bits)
-    linked = found.join(nodes, found["node"] == nodes["fp"])
-    lows = linked.groupBy("root").agg(F.min("low").alias("component"))
-    of_node = linked.select("node", "root").join(lows, "root").select(
-        F.col("node").alias("fp"), "component")
+    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")), "fp-nodes")
+    found = components_of(nodes.select("fp"), max_bits)
+    linked = stored(found.join(nodes, found["node"] == nodes["fp"]).select("fp", "root", "low"), "linked")
+    lows = linked.groupBy("root").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("members"))
+    of_node = join_split(linked.select("fp", "root"), stored(lows, "roots"), "root", "members").select("fp", "component")
     classes = nodes.join(of_node, "fp", "left").select(
-        "fp", F.when(F.col("component").isNotNull(), F.col("component"))
+        "fp", "n", F.when(F.col("component").isNotNull(), F.col("component"))
         .otherwise(F.col("low")).alias("component_id"))
-    return fps.join(classes, "fp").select(
+    return join_split(fps, stored(classes, "classes"), "fp", "n").select(
         F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id")
 

@@ -16,7 +16,7 @@ import regex
 import xxhash
 from pyspark.sql import functions as F
 
-from questa.llm import bpe, decontam, graph, html, langid, quality, secrets, simhash, tokencounts, urlfilter, warc
+from questa.llm import bpe, common, decontam, graph, html, langid, quality, secrets, simhash, tokencounts, urlfilter, warc
 from questa.llm.common import ready, without_ids
 from questa.session import scratch_path
 
@@ -105,6 +105,17 @@ def test_links_are_complete(spark, max_bits, width):
     assert got == want
 
 
+def test_hot_keys_are_split_and_give_the_same_rows(spark, monkeypatch):
+    rows = [(i, 7 if i % 3 else i) for i in range(90)] + [(90, None), (91, -5)]
+    table = spark.createDataFrame(rows, "id long, k long")
+    classes = table.filter("k IS NOT NULL AND k >= 0").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
+    want = Counter((i, k, min(x for x, y in rows if y == k)) for i, k in rows if k is not None and k >= 0)
+    for hot in (1, 2, 1024):  # none, the one that holds two thirds, all
+        monkeypatch.setattr(common, "HOT", hot)
+        assert rows_of(common.join_split(table, classes, "k", "n").select("id", "k", "low")) == want
+    assert common.join_split(table.limit(0), classes.limit(0), "k", "n").count() == 0
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3), (200, 201)]
     got = dict(graph.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
