@@ -235,42 +235,57 @@ def exact_split_rows(df: DataFrame, key: str, test_frac: float = 0.2, seed: int
     together except at the cut.  An empty table stays empty."""
     cols = [key, *(within if within is not None else [c for c in df.columns if c != key])]
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
-    hashed = df.withColumn("_h", F.concat(
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\x1f", *[part(c) for c in cols])))))
-    hist = sorted((r[0], r[1]) for r in hashed.groupBy(F.substring("_h", 1, 4).alias("b")).count().collect())
-    n = sum(c for _, c in hist)
+    by_key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    by_row = F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\x1f", *[part(c) for c in cols])))
+    hist = _row_hist(df, by_key, by_row, 4)
+    n = sum(c for _, c, _ in hist)
     t = math.ceil(test_frac * n)
     if t <= 0 or t >= n:
         return df.withColumn(out, F.lit(labels[0] if t <= 0 else labels[1]))
-    cut = _cut_hash(hashed.select("_h"), t, hist)
-    below, at = (hashed.agg(F.count_if(F.col("_h") < cut), F.count_if(F.col("_h") == cut)).first())
+    cut_key, cut_row, below, at = _cut_rows(df, by_key, by_row, t, hist)
     test, train = F.lit(labels[1]), F.lit(labels[0])
+    apart = F.when(by_key < cut_key, test).when(by_key > cut_key, train)  # rows of other keys need no second hash
     if below + at == t:  # no run of equal rows is cut
-        return hashed.withColumn(out, F.when(F.col("_h") <= cut, test).otherwise(train)).drop("_h")
-    clear = hashed.filter(F.col("_h") != cut).withColumn(out, F.when(F.col("_h") < cut, test).otherwise(train))
-    alike = materialize(hashed.filter(F.col("_h") == cut)).select(
+        return df.withColumn(out, apart.when(by_row <= cut_row, test).otherwise(train))
+    at_cut = (by_key == cut_key) & (by_row == cut_row)
+    clear = df.filter(~at_cut).withColumn(out, apart.when(by_row < cut_row, test).otherwise(train))
+    alike = materialize(df.filter(at_cut)).select(
         "*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
     offsets = alike.sparkSession.createDataFrame(_offsets(alike, F.count(F.lit(1))), f"{_PID} int, _q_off long")
     place = F.col("_q_off") + F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
     alike = (alike.join(F.broadcast(offsets), _PID)  # one row per partition
              .withColumn(out, F.when(place < t - below, test).otherwise(train)).drop(_PID, _MID, "_q_off"))
-    return clear.unionByName(alike).drop("_h")
-
-
-def _cut_hash(hashed: DataFrame, k: int, hist: list[tuple[str, int]], max_bucket_rows: int = 1_000_000) -> str:
-    """The k-th smallest of the 64-digit hashes ``_h``, 1-based; found like
-    :func:`_kth_smallest`, for hashes that may repeat any number of times."""
-    plen, rest = 4, hashed
+    return clear.unionByName(alike)
+
+
+def _row_hist(rows: DataFrame, by_key: Column, by_row: Column, plen: int) -> list[tuple[str, int, bool]]:
+    """(prefix, rows, whether all of them seem alike) by the first ``plen`` of the 64
+    digits of both hashes, ascending.  Up to 32 digits only the key's hash is worked
+    out, and alike means of one key; then it means equal rows."""
+    prefix = F.substring(by_key, 1, plen) if plen <= 32 else F.concat(by_key, F.substring(by_row, 1, plen - 32))
+    mark = F.xxhash64(by_key if plen <= 32 else by_row)
+    counted = rows.groupBy(prefix.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(mark).alias("lo"), F.max(mark).alias("hi"))
+    hist = sorted((r.b, r.n, r.lo == r.hi) for r in counted.collect())
+    return hist
+
+
+def _cut_rows(df: DataFrame, by_key: Column, by_row: Column, k: int, hist: list[tuple[str, int, bool]],
+              max_bucket_rows: int = 65_536) -> tuple[str, str, int, int]:
+    """Both hashes of the k-th smallest row, 1-based, with the numbers of rows below
+    and at them.  ``hist`` is :func:`_row_hist` of 4 digits; the bucket that holds
+    rank k is counted again by more digits.  A bucket of one key goes on with the
+    rows' hashes, and one of equal rows, or of at most ``max_bucket_rows``, with all
+    digits, so the passes do not become more as keys or rows repeat more often."""
+    plen, below = 4, 0
     while True:
-        for b, c in hist:
-            if c >= k:
+        for b, c, alike in hist:
+            if below + c >= k:
                 break
-            k -= c
-        rest = rest.filter(F.substring("_h", 1, plen) == F.lit(b))
-        if plen >= 64:
-            return b
-        if c <= max_bucket_rows:
-            return rest.orderBy("_h").offset(k - 1).limit(1).collect()[0][0]
-        plen += 4
-        hist = sorted((r[0], r[1]) for r in rest.groupBy(F.substring("_h", 1, plen).alias("b")).count().collect())
+            below += c
+        if plen == 64:
+            return b[:32], b[32:], below, c
+        inside = by_key.startswith(b[:32])
+        if plen > 32:
+            inside = inside & by_row.startswith(b[32:])
+        plen = 64 if c <= max_bucket_rows or (alike and plen > 32) else 36 if alike else plen + 4
+        hist = _row_hist(df.filter(inside), by_key, by_row, plen)

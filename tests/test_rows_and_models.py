@@ -1,6 +1,8 @@
 """Codebook joins, splits of rows, the perceptron and predicted classes."""
 
+import hashlib
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -8,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from questa.functions.expr import recode
-from questa.operators import mlp
+from questa.operators import mlp, order
 from questa.operators.classify import predicted_classes, train_and_predict
 from questa.operators.order import exact_split_rows
 from questa.operators.recode import recode_join
@@ -69,6 +71,33 @@ def test_split_of_rows_keeps_keys_together_but_at_the_cut(spark):
     assert sum(len(s) == 2 for s in sides.values()) <= 1
 
 
+@pytest.mark.parametrize("most", [3, 65_536])
+def test_split_of_rows_takes_the_smallest_hashes(spark, monkeypatch, most):
+    monkeypatch.setattr(order._cut_rows, "__defaults__", (most,))
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 2, None]), rng.choice("abc") + str(rng.randrange(40))) for _ in range(150)]
+    rows += [(i, None) for i in range(10, 40)] + [(1, "a0")] * 20
+    md5 = lambda text: hashlib.md5(f"42:{text}".encode()).hexdigest()
+    said = lambda v: "-" if v is None else f"={v}"
+    ranked = sorted(rows, key=lambda r: (md5("" if r[0] is None else r[0]), md5(said(r[0]) + "\x1f" + said(r[1]))))
+    df = spark.createDataFrame(rows, "k long, v string").repartition(3)
+    for share in (0.02, 0.3, 0.77):
+        got = Counter((r.k, r.v) for r in exact_split_rows(df, "k", share).filter("split = 'test'").collect())
+        assert got == Counter(ranked[:math.ceil(share * len(rows))])
+
+
+def test_split_of_rows_takes_no_more_passes_for_keys_of_many_rows(spark):
+    df = spark.range(2_200_000).select((F.col("id") % 2).alias("k"), "id")
+    sc = spark.sparkContext
+    sc.setJobGroup("split-passes", "")
+    try:
+        exact_split_rows(df, "k", 0.2)
+        jobs = sc.statusTracker().getJobIdsForGroup("split-passes")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(jobs) <= 9
+
+
 # -------------------------------------------------------------- perceptron
 
 def numpy_steps(x, y, model, steps, rate=0.001, alpha=0.001):
