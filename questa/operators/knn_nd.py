@@ -11,7 +11,9 @@ Euclidean distance, ties by the smaller id.  There is no table of pairs:
    *bucket* with a least and a largest such distance.
 3. Each query first meets the training rows of its own bucket.  The k-th
    distance found, or a bound by the pivots if there are fewer than k, is the
-   radius of what can still be better.
+   radius of what can still be better.  A task lays a bucket's rows into boxes
+   of at most BOX_ROWS, and a group of near queries looks only into the boxes
+   that its radius reaches, so a fuller bucket costs a query hardly more.
 4. By the triangle inequality, and by the plane between two pivots, a
    query is copied only to those other buckets that its radius can reach.
 5. Of a query's candidates, at most k from every bucket it met, the k nearest
@@ -43,6 +45,10 @@ MAX_BUCKETS = 200_000
 CHUNK_QUERIES = 500_000
 #: Distances worked out at a time.
 CELLS = 1 << 21
+#: Rows of a box, queries that look for boxes together, and boxes that they meet without a closer look.
+BOX_ROWS = 64
+GROUP_QUERIES = 64
+FEW_BOXES = 16
 #: Room for rounding in the bounds, in parts of the lengths compared.
 SLACK = 1e-9
 
@@ -203,7 +209,9 @@ def _others(held, k: int):
     """Every query once for each other bucket that its radius reaches."""
     def run(batches):
         b = held.value
-        for batch in _sliced(batches, len(b.cell)):
+        least, largest = np.minimum.reduceat(b.least, b.first[:-1]), np.maximum.reduceat(b.largest, b.first[:-1])
+        shells = np.diff(b.first)
+        for batch in _sliced(batches, len(b.pivots)):
             d = np.sqrt(squared(_points(batch, b.pivots.shape[1]), b.pivots))
             rows = np.arange(len(d))
             limit = batch["limit"].to_numpy().copy()
@@ -215,12 +223,14 @@ def _others(held, k: int):
             with np.errstate(divide="ignore", invalid="ignore"):
                 plane = (d ** 2 - d[rows, mine][:, None] ** 2) / (2 * b.apart[mine])
             plane[rows, mine] = 0
-            room = SLACK * (d[:, b.cell] + limit[:, None] + np.maximum(b.largest, 0))
-            reach = limit[:, None] + room
-            ok = ((plane - SLACK * (d + b.apart[mine]))[:, b.cell] <= reach) & (d[:, b.cell] - b.largest <= reach) & (
-                b.least - d[:, b.cell] <= reach)
-            ok[rows, batch["bucket"].to_numpy()] = False
-            at, bucket = np.nonzero(ok)
+            reach = limit[:, None] + SLACK * (d + limit[:, None] + np.maximum(largest, 0))
+            at, cell = np.nonzero((plane - SLACK * (d + b.apart[mine]) <= reach) & (d - largest <= reach) & (least - d <= reach))
+            far, reach = d[at, cell], reach[at, cell]
+            each = np.repeat(np.arange(len(at)), shells[cell])  # the shells of the cells that are reached
+            bucket = np.arange(len(each)) - np.repeat(np.cumsum(shells[cell]) - shells[cell] - b.first[cell], shells[cell])
+            at, far, reach = at[each], far[each], reach[each]
+            ok = (far - b.largest[bucket] <= reach) & (b.least[bucket] - far <= reach) & (bucket != batch["bucket"].to_numpy()[at])
+            at, bucket = at[ok], bucket[ok]
             for lo in range(0, len(at), 1 << 16):
                 some = slice(lo, lo + (1 << 16))
                 yield _asked(batch, at[some], bucket[some], limit[at[some]])
@@ -246,8 +256,7 @@ def _meet(rows: DataFrame, asked: DataFrame, found: T.StructType, k: int) -> Dat
 
 def _nearest(k: int):
     def run(batches):
-        key, parts = None, []
-        at = np.zeros((0, 0))
+        key, parts, table, boxes = None, [], None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -259,36 +268,94 @@ def _nearest(k: int):
             for lo, hi in zip(edges, edges[1:]):
                 part = batch.slice(lo, hi - lo)
                 if (bucket[lo], chunk[lo]) != key:
-                    key, parts, at = (bucket[lo], chunk[lo]), [], None
+                    key, parts, table, boxes = (bucket[lo], chunk[lo]), [], None, None
                 if known[lo]:
                     parts.append(part.select(["x", "id", "y"]))
                     continue
-                if at is None:
-                    table = pa.Table.from_batches(parts).combine_chunks() if parts else None
-                    at = _points(table.to_batches()[0], width) if parts else np.zeros((0, width))
-                for some in _sliced([part], max(len(at), 1)):
-                    yield _k_nearest(some, at, table, k, width)
+                if parts and boxes is None:
+                    table = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+                    boxes = Boxes(_points(table, width))
+                yield _k_nearest(part, boxes, table, k, width)
     return run
 
 
-def _k_nearest(asked, at: np.ndarray, table, k: int, width: int):
-    n = asked.num_rows
-    limit = asked["limit"].to_numpy()
-    if len(at):
-        d = squared(_points(asked, width), at)
-        m = min(k, len(at))
-        worst = np.minimum(np.partition(d, m - 1, axis=1)[:, m - 1], (limit * (1 + SLACK)) ** 2)
-        row, col = np.nonzero(d <= worst[:, None])
-        order = np.lexsort((col, d[row, col], row))  # columns stand in the order of the ids
-        row, col = row[order], col[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        row, col = row[place < k], col[place < k]
-        dist = d[row, col]
-        rows = table.to_batches()[0]
-        ids, ys = rows["id"].take(pa.array(col)), rows["y"].take(pa.array(col))
+def _halves(points: np.ndarray, most: int) -> list[np.ndarray]:
+    """The places of ``points`` in parts of near ones: halved along the longest
+    side until a part has at most ``most`` (and, if it was halved, no less than
+    half as many)."""
+    left, out = [np.arange(len(points))], []
+    while left:
+        rows = left.pop()
+        if len(rows) <= most:
+            out.append(rows)
+            continue
+        some = points[rows]
+        half = len(rows) // 2
+        order = np.argpartition(some[:, np.argmax(some.max(axis=0) - some.min(axis=0))], half)
+        left += [rows[order[:half]], rows[order[half:]]]
+    return out
+
+
+class Boxes:
+    """A bucket's rows (in the order of their ids) laid into boxes of near ones."""
+
+    def __init__(self, at: np.ndarray):
+        parts = _halves(at, BOX_ROWS)
+        self.rows, self.at = np.concatenate(parts), at[np.concatenate(parts)]
+        self.first = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        self.least, self.largest = (f.reduceat(self.at, self.first[:-1], axis=0) for f in (np.minimum, np.maximum))
+
+    def gaps(self, points: np.ndarray) -> np.ndarray:
+        """Per box no more than the squared distance of any of its rows to any of
+        ``points``, also as rounded: summed as in :func:`squared`."""
+        low, high = points.min(axis=0), points.max(axis=0)
+        out = np.zeros(len(self.least))
+        for j in range(points.shape[1]):
+            out += np.maximum(np.maximum(self.least[:, j] - high[j], low[j] - self.largest[:, j]), 0) ** 2
+        return out
+
+    def meet(self, points: np.ndarray, boxes: np.ndarray):
+        """Distances of some ``points`` at a time to all rows in ``boxes``."""
+        at = [np.arange(self.first[b], self.first[b + 1]) for b in np.flatnonzero(boxes)]
+        if at:
+            at = np.concatenate(at)
+            step = max(1, CELLS // len(at))
+            for lo in range(0, len(points), step):
+                yield lo, self.rows[at], squared(points[lo:lo + step], self.at[at])
+
+    def nearest(self, points: np.ndarray, worst: np.ndarray, k: int):
+        """Point, row and squared distance, by point, of the k nearest rows no farther
+        than ``worst`` (squared); of equal ones the earlier rows."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        holds = (BOX_ROWS + 1) // 2  # any box of several
+        for group in _halves(points, GROUP_QUERIES):
+            some, most = points[group], worst[group]
+            gap = self.gaps(some)
+            boxes = gap <= most.max()
+            if np.count_nonzero(boxes) > max(FEW_BOXES, need := -(-k // holds)):
+                for lo, _, d in self.meet(some, gap <= np.partition(gap, need - 1)[need - 1]):
+                    most[lo:lo + len(d)] = np.minimum(most[lo:lo + len(d)], np.partition(d, k - 1, axis=1)[:, k - 1])
+                boxes = gap <= most.max()
+            for lo, cols, d in self.meet(some, boxes):
+                m = min(k, len(cols)) - 1
+                row, col = np.nonzero(d <= np.minimum(most[lo:lo + len(d)], np.partition(d, m, axis=1)[:, m])[:, None])
+                dist, col = d[row, col], cols[col]
+                order = np.lexsort((col, dist, row))
+                row, col, dist = row[order], col[order], dist[order]
+                kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+                found.append((group[lo + row[kept]], col[kept], dist[kept]))
+        row, col, dist = (np.concatenate(f) for f in zip(*found))
+        order = np.argsort(row, kind="stable")
+        return row[order], col[order], dist[order]
+
+
+def _k_nearest(asked, boxes: Boxes | None, table, k: int, width: int):
+    if boxes:
+        row, col, dist = boxes.nearest(_points(asked, width), (asked["limit"].to_numpy() * (1 + SLACK)) ** 2, k)
+        ids, ys = table["id"].take(pa.array(col)), table["y"].take(pa.array(col))
     else:
         row, dist, ids, ys = np.zeros(0, int), np.zeros(0), asked["id"].slice(0, 0), asked["y"].slice(0, 0)
-    offsets = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
+    offsets = pa.array(np.searchsorted(row, np.arange(asked.num_rows + 1)).astype(np.int32))
     near = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(dist), ids, ys], ["d", "id", "y"]))
     return pa.RecordBatch.from_arrays([asked["_k_row"], asked["x"], asked["bucket"], asked["limit"], near],
                                       ["_k_row", "x", "bucket", "limit", "near"])

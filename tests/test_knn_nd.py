@@ -81,3 +81,51 @@ def test_queries_reach_few_buckets():
     for r in range(200):
         assert {(r, int(c)) for c in cell[order[r]] if c != cell[r]} <= visits
     assert len(visits) < 200 * 3
+
+
+def test_work_per_query_does_not_grow_with_the_rows_of_a_bucket(monkeypatch):
+    import pyarrow as pa
+    cells, plain = [], knn_nd.squared
+
+    def counted(a, b):
+        cells.append(len(a) * len(b))
+        return plain(a, b)
+    monkeypatch.setattr(knn_nd, "squared", counted)
+    rng = np.random.default_rng(1)
+    at, asked = rng.normal(size=(20_000, 2)), rng.normal(size=(2000, 2))
+
+    def batch(points, known):
+        n = len(points)
+        place = pa.array(np.arange(n))
+        return pa.RecordBatch.from_pydict({
+            "bucket": pa.array(np.zeros(n, np.int32)), "chunk": pa.array(np.zeros(n, np.int32)), "known": [known] * n,
+            "x": pa.array(points.tolist()), "id": place if known else pa.nulls(n, pa.int64()),
+            "y": pa.array(points[:, 0]) if known else pa.nulls(n, pa.float64()),
+            "_k_row": pa.nulls(n, pa.int64()) if known else place, "limit": pa.array(np.full(n, np.inf))})
+    out = list(knn_nd._nearest(5)(iter([batch(at, True), batch(asked[:900], False), batch(asked[900:], False)])))
+    got = [[r["id"] for r in near] for b in out for near in b["near"].to_pylist()]
+    assert got == np.argsort(plain(asked, at), axis=1, kind="stable")[:, :5].tolist()
+    assert sum(cells) < len(at) * len(asked) / 5
+
+
+@pytest.mark.parametrize("box", [1, 4, 64])
+@pytest.mark.parametrize("k", [1, 5, 90])
+def test_boxes_leave_out_no_neighbour(monkeypatch, box, k):
+    monkeypatch.setattr(knn_nd, "BOX_ROWS", box)
+    monkeypatch.setattr(knn_nd, "FEW_BOXES", 2)
+    monkeypatch.setattr(knn_nd, "GROUP_QUERIES", 7)
+    monkeypatch.setattr(knn_nd, "CELLS", 500)
+    rng = np.random.default_rng(2)
+    grid = np.stack(np.meshgrid(np.arange(14.0), np.arange(14.0)), -1).reshape(-1, 2)  # many equal distances
+    rows = rng.permutation(np.concatenate([grid, np.repeat(grid[:1], 40, axis=0), rng.normal(size=(60, 2)) * 1e6,
+                                           [[1e200, -1e200], [0.0, 1e-300]]]))
+    for at in (rows, rows[:3]):
+        asked = np.concatenate([grid[::9], grid[:20] + 0.5, np.repeat(rows[:1], 30, axis=0), rng.normal(size=(20, 2)) * 1e6])
+        with np.errstate(over="ignore"):
+            d = knn_nd.squared(asked, at)
+            for worst in (np.full(len(asked), np.inf), rng.choice([0.0, 1.0, 9.0, 1e12], len(asked))):
+                row, col, dist = knn_nd.Boxes(at).nearest(asked, worst, k)
+                for r in range(len(asked)):
+                    order = np.argsort(d[r], kind="stable")[:k]
+                    order = order[d[r, order] <= worst[r]]
+                    assert col[row == r].tolist() == order.tolist() and dist[row == r].tolist() == d[r, order].tolist()
