@@ -77,11 +77,13 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document.  The
+    ids are written before they are decoded: in one stage each task would hold
+    two Python workers, which an executor keeps for all that follows."""
     ready(spark)
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(docs.select(*COLUMNS), path, pattern), path, pattern)
-    return bpe.digests(decoded, carry=("ids",))
+    ids = stored(bpe.encode(docs.select(*COLUMNS), path, pattern), "ids")
+    return bpe.digests(bpe.decode(ids, path, pattern), carry=("ids",))
 
 
 STAGES = [

@@ -461,9 +461,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     very long texts are read whole, in pieces."""
     spark = docs.sparkSession
     schema = (f"{key} long, {item_key} long, body long, start long, cosine double, lcs long, words long, kind string")
-    names = [f.split()[0] for f in schema.split(", ")]
-    found = spark.createDataFrame([], schema)
-    idf = None
+    fields = [f.split() for f in schema.split(", ")]
+    names = [name for name, _ in fields]
+    found = idf = None
     for part in _blocks(benchmark, item_key, item_text):
         if idf is None:
             idf = passage_frequencies(docs, text)
@@ -482,7 +482,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
         rows = docs.filter(docs[key].isNotNull()).select(
             docs[key].cast("long").alias(key), F.lower(docs[text].cast("string")).cast("binary").alias("text"))
-        found = found.union(rows.mapInPandas(run, schema))
+        hits = rows.mapInPandas(run, schema)
+        found = hits if found is None else found.union(hits)
+    if found is None:  # not from a list: that would start Python workers of its own
+        found = spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
     found = stored(found, "leaks")
     return found.groupBy(key, item_key).agg(
         F.count_distinct("body", "start").alias("passages"), F.max("cosine").alias("cosine"),

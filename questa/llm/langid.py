@@ -42,8 +42,10 @@ UNDETERMINED = "und"
 #: Code points handled at a time; a longer text is cut with an overlap.
 PIECE = 1 << 18
 _CHUNK = 1 << 18
-#: Partial counts held by a task before they are handed on.
-_HELD = 1 << 20
+#: Partial counts held by a task before they are handed on, and rows of a frame
+#: that it hands on.
+_HELD = 1 << 18
+_SENT = 1 << 16
 
 _LETTER: np.ndarray | None = None
 
@@ -129,6 +131,11 @@ def _counts(languages: list[str]):
         first = np.flatnonzero(np.concatenate(([True], (lang[1:] != lang[:-1]) | (gram[1:] != gram[:-1]))))
         return lang[first], gram[first], np.add.reduceat(n, first)
 
+    def frames(part):
+        for lo in range(0, len(part[0]), _SENT):
+            lang, gram, n = (x[lo:lo + _SENT] for x in part)
+            yield pd.DataFrame({"l": lang, "gram": gram.view(np.int64), "n": n})
+
     def run(batches):
         parts, held = [], 0
         for pdf in batches:
@@ -146,11 +153,10 @@ def _counts(languages: list[str]):
                     parts = [flush(parts)]
                     held = len(parts[0][0])
                     if held >= _HELD:
-                        yield pd.DataFrame(dict(zip(("l", "gram", "n"), (parts[0][0], parts[0][1].view(np.int64), parts[0][2]))))
+                        yield from frames(parts[0])
                         parts, held = [], 0
         if parts:
-            lang, gram, n = flush(parts)
-            yield pd.DataFrame({"l": lang, "gram": gram.view(np.int64), "n": n})
+            yield from frames(flush(parts))
     return run
 
 

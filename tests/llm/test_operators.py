@@ -10,6 +10,7 @@ from fractions import Fraction
 from math import comb
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import regex
@@ -162,6 +163,20 @@ def test_the_filter_grows_with_the_n_grams(spark, monkeypatch):
         langid.learn(make_docs(spark, rows), slots=1 << 10)
 
 
+def test_counts_are_handed_on_in_small_frames(monkeypatch):
+    rng = random.Random(8)
+    pdf = lambda: pd.DataFrame({"text": [prose(rng, 200) for _ in range(20)], "lang": ["de", "en"] * 10})
+    batches = [pdf(), pdf()]
+    total = lambda frames: pd.concat(frames).groupby(["l", "gram"])["n"].sum()
+    whole = total(langid._counts(["de", "en"])(iter(batches)))
+    assert len(whole) > 200
+    for held, sent in ((1 << 18, 64), (100, 64)):
+        monkeypatch.setattr(langid, "_HELD", held)
+        monkeypatch.setattr(langid, "_SENT", sent)
+        frames = list(langid._counts(["de", "en"])(iter(batches)))
+        assert max(map(len, frames)) <= sent and total(frames).equals(whole)
+
+
 def test_long_texts_count_like_short_ones(monkeypatch):
     text = prose(random.Random(1), 300) + "  12, " + prose(random.Random(2), 300)
     whole = Counter(h for hs, _ in langid.gram_rows([text]) for h in hs.tolist())
@@ -717,6 +732,24 @@ def test_latent_search_recalls_what_plain_lcs_finds_anywhere():
     assert not list(decontam.search(block, h, at))
 
 
+@pytest.mark.parametrize("items", [0, 1])
+def test_the_search_starts_no_second_kind_of_python_workers(spark, monkeypatch, items):
+    tables = [common.stored(spark.createDataFrame([(1, prose(random.Random(9), 40))], f"{key} long, text string"), key)
+              for key in ("doc_id", "item_id")]
+    plans, store = [], decontam.stored
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return store(df, name)
+    monkeypatch.setattr(decontam, "stored", watched)
+    got = decontam.contaminated(tables[0], tables[1].limit(items))
+    assert [(r.doc_id, r.item_id, r.kind) for r in got.collect()] == [(1, 1, "copy")] * items
+    assert dict(got.dtypes) == {"doc_id": "bigint", "item_id": "bigint", "passages": "bigint", "cosine": "double",
+                                "lcs_share": "double", "kind": "string"}
+    assert [name for name, _ in plans] == ["passages", "leaks"]
+    assert not [p for _, p in plans if "ExistingRDD" in p]  # rows from a list pass through workers of RDDs
+
+
 def test_words_without_spaces_and_repeated_item_ids(spark):
     zh = "\u5929\u5730\u7384\u9ec4\u5b87\u5b99\u6d2a\u8352\u65e5\u6708\u76c8\u6603\u8fb0\u5bbf\u5217\u5f20\u5bd2\u6765\u6691\u5f80"
     before, behind = "\u4eca\u65e5\u8bfb\u4e66", "\u4ee5\u540e\u518d\u8bf4"

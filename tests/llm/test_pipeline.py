@@ -59,6 +59,14 @@ def test_stages_keep_columns_and_take_empty_tables(spark, folder):
         assert name == "byte_bpe" or out.columns == empty.columns
 
 
+def test_a_task_of_the_last_stage_holds_one_python_worker(spark, folder):
+    path, docs = folder
+    out = corpus_pipeline.encode_tokens(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\b(?:ArrowEvalPython|MapInPandas|BatchEvalPython)\b", plan)) == 1
+    assert out.count() == len(docs)
+
+
 def test_entry_registers_every_operator():
     import __spark_entry__
     names = set(__spark_entry__.queries())
