@@ -77,13 +77,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document.  The
-    ids are written before they are decoded: in one stage each task would hold
-    two Python workers, which an executor keeps for all that follows."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document, encoded
+    and decoded in one pass over the rows, in which a task holds one Python worker
+    (an executor keeps its workers for all that follows)."""
     ready(spark)
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = stored(bpe.encode(docs.select(*COLUMNS), path, pattern), "ids")
-    return bpe.digests(bpe.decode(ids, path, pattern), carry=("ids",))
+    return bpe.digests(bpe.round_trip(docs.select(*COLUMNS), path, pattern), carry=("ids",))
 
 
 STAGES = [

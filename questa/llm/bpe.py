@@ -320,6 +320,42 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids",
     return encoded.withColumn(out, back(encoded[ids]))
 
 
+def _both(path: str, pattern: str):
+    """Batches of texts to frames of ids and decoded bytes, which leave as soon as
+    about BLOCK bytes of them are there."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def frame(rows):
+            return pd.DataFrame(rows, columns=["ids", "decoded"], dtype=object)
+
+        own = replay_of(path, pattern)
+        try:
+            for s in batches:
+                rows, size = [], 0
+                for ids in own.encode(s):
+                    rows.append((ids, own.decode(ids)))
+                    size += len(rows[-1][1])
+                    if size >= BLOCK:
+                        yield frame(rows)
+                        rows, size = [], 0
+                yield frame(rows)
+        finally:
+            own.known = {}  # an idle worker holds no words
+    return run
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
+               text: str = "text") -> DataFrame:
+    """(key, ids, decoded): :func:`encode` and then :func:`decode` of its ids, one
+    after the other in the same Python worker, so that a task holds one and the
+    ids need not be written between the two."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from _both(path, pattern)(batches)
+
+    return docs.select(docs[key], both(docs[text].cast("string")).alias("_both")).select(key, "_both.ids", "_both.decoded")
+
+
 def digests(decoded: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256, *carry) of encoded, decoded
     rows."""

@@ -231,6 +231,20 @@ def test_bpe_query_columns(spark):
     assert rows_of(got) == Counter(want(d, t) for d, t, _ in rows)
 
 
+def test_a_round_trip_is_encode_then_decode(spark, monkeypatch):
+    rows = AWKWARD + [(20 + i, t, "en") for i, t in enumerate(mixed_texts(30))] + [(None, "a b", "en"), (20, "a b", "de")]
+    docs = make_docs(spark, rows)
+    two, one = bpe.decode(bpe.encode(docs, PATH, PATTERN), PATH, PATTERN), bpe.round_trip(docs, PATH, PATTERN)
+    assert one.dtypes == two.dtypes and rows_of(one) == rows_of(two) and one.count() == len(rows)
+    enc, batches = encoder(), [pd.Series([t for _, t, _ in rows], dtype=object), pd.Series([], dtype=object)]
+    for block in (1, 1000, 1 << 21):  # frames of any size: the same rows in the same order
+        monkeypatch.setattr(bpe, "BLOCK", block)
+        got = pd.concat(bpe._both(PATH, PATTERN)(iter(batches)))
+        assert [np.frombuffer(x, "<u4").tolist() for x in got["ids"]] == [enc.encode_ordinary(t or "") for _, t, _ in rows]
+        assert list(got["decoded"]) == [(t or "").encode() for _, t, _ in rows]
+    assert not bpe.replay_of(PATH, PATTERN).known
+
+
 # ------------------------------------------------------------- token counts
 
 @pytest.mark.parametrize("few", [0, 128])

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from questa.llm import secrets
-from questa.llm.common import ready
+from questa.llm.common import ready, stored
 
 from .test_operators import PATH, PATTERN, brute_fingerprint, encoder, prose
 
@@ -67,6 +67,16 @@ def test_a_task_of_the_last_stage_holds_one_python_worker(spark, folder):
     assert out.count() == len(docs)
 
 
+def test_the_last_stage_reads_its_rows_once_and_writes_none(spark, folder, monkeypatch):
+    path, docs = folder
+    stores = []
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: stores.append(name) or stored(df, name))
+    out = corpus_pipeline.encode_tokens(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not stores and plan.count("FileScan") == 1 and f"{path}/documents.parquet"[:40] in plan
+    assert {r.doc_id for r in out.collect()} == {d[0] for d in docs}
+
+
 def test_entry_registers_every_operator():
     import __spark_entry__
     names = set(__spark_entry__.queries())
